@@ -6,23 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from storeledger.config import AMOUNT
-from storeledger.functions.text import strip
 
 
 def to_amount(value: Column) -> Column:
-    """Exact amount; text that is no number, null and NaN count as 0."""
-    return F.coalesce(value.try_cast(AMOUNT), F.lit(0).cast(AMOUNT))
-
+    """Exact amount; text that is no number, null and NaN count as 0.
 
-def text_to_amount(text: Column) -> Column:
-    return to_amount(strip(text))
+    Casting text straight to a decimal also rejects what a double would accept
+    in Java but is no number in a report, such as ``1D`` or ``Infinity``.
+    """
+    return F.coalesce(value.try_cast(AMOUNT), F.lit(0).cast(AMOUNT))
 
 
-def text_to_number(text: Column) -> Column:
-    """Double value of numeric text, null for anything else."""
-    number = strip(text)
-    plain = number.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
-    return F.when(plain, number.try_cast("double"))
+def to_number(value: Column) -> Column:
+    """Numeric value of a code, null for anything else."""
+    return value.try_cast("decimal(38,18)")
 
 
 def round_half_even(value: Column, digits: int) -> Column:

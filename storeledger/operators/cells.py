@@ -18,6 +18,7 @@ from storeledger.staging import materialise
 PLACE = ("customer_name", "address", "city", "state", "zip")
 LOCATION_GRAIN = ("source", "location_code", "yyyymm")
 SKU_GRAIN = ("source", "location_code", "vendor_item", "item_description", "yyyymm")
+LOCATION_PLACE_GRAIN = (*LOCATION_GRAIN, *PLACE)
 FULL_GRAIN = (*SKU_GRAIN, *PLACE)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from storeledger.config import STANDARD_COLUMNS
 from storeledger.functions.months import month_key, parse_report_date
-from storeledger.functions.numbers import text_to_amount, text_to_number, to_amount
+from storeledger.functions.numbers import to_amount, to_number
 from storeledger.functions.text import concat_address, header_name, strip
 
 
@@ -20,7 +20,7 @@ def filter_detail(raw: DataFrame) -> DataFrame:
     """Detail rows only; a report without record types has no other rows."""
     if "record_type" not in raw.columns:
         return raw
-    return raw.where(text_to_number(F.col("record_type")) == 1)
+    return raw.where(to_number(F.col("record_type")) == 1)
 
 
 def standardize(
@@ -35,10 +35,6 @@ def standardize(
     def text(name: str) -> Column:
         return column(name).cast("string")
 
-    def amount(name: str) -> Column:
-        is_text = isinstance(types.get(name, T.StringType()), T.StringType)
-        return text_to_amount(column(name)) if is_text else to_amount(column(name))
-
     def date(name: str) -> Column:
         is_text = isinstance(types.get(name, T.StringType()), T.StringType)
         return parse_report_date(column(name)) if is_text else column(name).cast("date")
@@ -55,9 +51,9 @@ def standardize(
         text("zipcode").alias("zip"),
         date("invoice_date").alias("invoice_date"),
         strip(column("invoice")).alias("invoice_num"),
-        amount("ship_qty").alias("qty"),
-        amount("net_price").alias("unit_price"),
-        amount("total").alias("total"),
+        to_amount(column("ship_qty")).alias("qty"),
+        to_amount(column("net_price")).alias("unit_price"),
+        to_amount(column("total")).alias("total"),
     )
     return standard.withColumn("yyyymm", month_key(F.col("invoice_date"))).select(
         *STANDARD_COLUMNS

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storeledger.config import Config
 from storeledger.operators import payloads as forms
-from storeledger.operators.cells import sales_cells
+from storeledger.operators.cells import FULL_GRAIN, sales_cells
 from storeledger.operators.locations import location_ref
 from storeledger.operators.matching import location_map, unmapped_locations
 from storeledger.operators.metrics import Period, month_list, period, sku_sales_3m
@@ -48,12 +48,14 @@ def run(
     crm: DataFrame,
     config: Config,
     saved_map: DataFrame | None = None,
+    grain: Sequence[str] = FULL_GRAIN,
 ) -> Run:
     """Prepare a run over the tagged, standardised union of all sources.
 
     The sales are read once. The location map is built unless one is given.
+    A coarser ``grain`` does for a run that makes some of the reports only.
     """
-    cells = sales_cells(sales)
+    cells = sales_cells(sales, grain)
     mapped = saved_map
     if mapped is None:
         mapped = materialise(location_map(location_ref(cells), crm, config), "location-map")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storeledger.config import CHAIN_A, CHAIN_B, DISTRIBUTOR
-from storeledger.functions.numbers import text_to_number
+from storeledger.functions.numbers import to_number
 from storeledger.functions.text import normalize_header
 from storeledger.operators.standardize import filter_detail, normalize_columns, standardize
 from storeledger.operators.unify import unify
@@ -80,7 +80,7 @@ def read_reports(
     )
     if details_only:
         report = report.where(
-            ~F.col("typed") | (text_to_number(F.col("record_type")) == 1)
+            ~F.col("typed") | (to_number(F.col("record_type")) == 1)
         )
     return report.drop("typed")
 

@@ -24,6 +24,8 @@ from storeledger.workload import report_files, star
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 CONFIG = star.CONFIG
+# the snapshot shows SKUs but no descriptions
+SNAPSHOT_GRAIN = tuple(c for c in cell_ops.FULL_GRAIN if c != "item_description")
 
 
 def query(fn: Query) -> Query:
@@ -48,8 +50,9 @@ def _period(cells: DataFrame) -> metrics.Period:
     return metrics.period(metrics.month_list(cells), CONFIG)
 
 
-def _run(spark, sf) -> runs.Run:
-    return runs.run(star.tagged_sales(spark, sf), star.crm(spark, sf), CONFIG)
+def _run(spark, sf, grain=cell_ops.FULL_GRAIN) -> runs.Run:
+    sales = star.tagged_sales(spark, sf, "vendor_item" in grain)
+    return runs.run(sales, star.crm(spark, sf), CONFIG, grain=grain)
 
 
 def _forms(spark, sf) -> runs.Forms:
@@ -57,7 +60,7 @@ def _forms(spark, sf) -> runs.Forms:
 
 
 def _resolved(spark, sf) -> DataFrame:
-    snapshot = _run(spark, sf).views()["location_snapshot"]
+    snapshot = location_snapshot(spark, sf)
     return targets.resolve_targets(star.all_targets(spark, sf), snapshot)
 
 
@@ -155,7 +158,7 @@ def coerce_numeric(spark, sf):
     )
     orders = star.table(spark, sf, "orders")
     return orders.select(
-        "o_orderkey", numbers.text_to_amount(raw).cast("double").alias("amount")
+        "o_orderkey", numbers.to_amount(raw).cast("double").alias("amount")
     )
 
 
@@ -498,39 +501,44 @@ def qty_by_sku_location_month_long(spark, sf):
 
 @query
 def enrich_locations(spark, sf):
-    run = _run(spark, sf)
+    run = _run(spark, sf, cell_ops.LOCATION_PLACE_GRAIN)
     long = views.sales_by_location_month_long(run.cells)
     return as_double(locations.enrich(long, run.location_map), "total")
 
 
 @query
 def sales_by_location_month(spark, sf):
-    return _run(spark, sf).views()["sales_by_location_month"]
+    run = _run(spark, sf, cell_ops.LOCATION_PLACE_GRAIN)
+    return views.sales_by_location_month(run.cells, run.location_map, run.months)
 
 
 @query
 def sales_by_sku_location_month(spark, sf):
-    return _run(spark, sf).views()["sales_by_sku_location_month"]
+    run = _run(spark, sf)
+    return views.sales_by_sku_location_month(run.cells, run.location_map, run.months)
 
 
 @query
 def qty_by_sku_location_month(spark, sf):
-    return _run(spark, sf).views()["qty_by_sku_location_month"]
+    run = _run(spark, sf)
+    return views.qty_by_sku_location_month(run.cells, run.location_map, run.months)
 
 
 @query
 def location_snapshot(spark, sf):
-    return _run(spark, sf).views()["location_snapshot"]
+    run = _run(spark, sf, SNAPSHOT_GRAIN)
+    return views.location_snapshot(run.cells, run.location_map, run.period, CONFIG)
 
 
 @query
 def top_skus(spark, sf):
-    return _run(spark, sf).views()["top_skus"]
+    run = _run(spark, sf)
+    return views.top_skus(run.cells, run.location_map, run.period, CONFIG)
 
 
 @query
 def tier_distribution(spark, sf):
-    return quality.tier_distribution(_run(spark, sf).views()["location_snapshot"])
+    return quality.tier_distribution(location_snapshot(spark, sf))
 
 
 # --- Targets and payloads -----------------------------------------------------

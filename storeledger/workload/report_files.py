@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeledger.sources.reports import REPORT_COLUMNS
@@ -28,19 +28,15 @@ def write_title_block_reports(raw: DataFrame, path: str, row_count: int) -> str:
         F.to_csv(F.struct(*names), keep_blanks).alias("value"),
     )
     slices = 1 + row_count // _ROWS_PER_SLICE
-    body = lines.withColumn("slice", F.pmod("spread", F.lit(slices)).cast("int")).select(
-        "month", "slice", F.lit(len(_TITLE) + 1).alias("at"), "value"
-    )
-    title = F.array(*[F.lit(row) for row in (*_TITLE, _header(names))])
-    heads = (
-        body.select("month", "slice").distinct().select("*", F.posexplode(title))
-        .withColumnsRenamed({"pos": "at", "col": "value"})
-    )
+    title = "".join(f"{row}\n" for row in (*_TITLE, _header(names)))
+    file_order = Window.partitionBy("month", "slice").orderBy("value")
+    first = F.row_number().over(file_order) == 1
     (
-        heads.unionByName(body)
-        .repartition("month", "slice")
-        .sortWithinPartitions("month", "slice", "at")
-        .drop("at")
+        lines.withColumn("slice", F.pmod("spread", F.lit(slices)).cast("int"))
+        .withColumn("first", first)
+        .withColumn("value", F.when(F.col("first"), F.concat(F.lit(title), "value"))
+                    .otherwise(F.col("value")))
+        .select("month", "slice", "value")
         .write.partitionBy("month", "slice")
         .text(path)
     )

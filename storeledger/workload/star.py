@@ -50,22 +50,55 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def invoices(spark: SparkSession, sf_dir: str, sources: tuple[str, ...]) -> DataFrame:
+    """Report columns that all lines of an order share, once per source."""
+    buyers = customers(spark, sf_dir)
+    if DISTRIBUTOR not in sources:
+        buyers = buyers.where(F.col("chain").isin(*sources))
+    reported_by = F.array(*[F.lit(DISTRIBUTOR)] * (DISTRIBUTOR in sources))
+    if set(sources) - {DISTRIBUTOR}:
+        reported_by = F.array_compact(F.concat(reported_by, F.array("chain")))
+    by_chain = F.col("source") != DISTRIBUTOR
+    code = F.expr("concat(' ', c_name, ' ')")
+    name = (
+        F.when(by_chain, F.expr("concat(brand, ' ', street_no, ' ', n_name)"))
+        .when(F.col("r_name") == "MIDDLE EAST", F.expr("concat(c_name, ' Annex')"))
+        .otherwise(F.col("c_name"))
+    )
+    return (
+        table(spark, sf_dir, "orders")
+        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        .withColumn("source", F.explode(reported_by))
+        .select(
+            "o_orderkey",
+            "source",
+            F.expr("concat(' ', o_orderkey, ' ')").alias("invoice"),
+            F.date_format(F.col("o_orderdate").cast("date"), "MM/dd/yy").alias("invoice_date"),
+            F.when(by_chain, F.lit("HEAD OFFICE")).otherwise(code).alias("customer"),
+            F.when(by_chain, code).alias("location"),
+            name.alias("customer_name"),
+            F.col("street").alias("address1"),
+            F.expr("case when o_orderpriority <> '5-LOW' then r_name end").alias("address2"),
+            F.col("n_name").alias("city"),
+            F.expr("case when r_name <> 'ASIA' then r_name end").alias("state"),
+            F.expr("lpad(cast(c_nationkey as string), 5, '0')").alias("zipcode"),
+            F.concat(
+                "source", F.lit("_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".csv")
+            ).alias("sourcefile"),
+        )
+    )
+
+
 def report_lines(
     spark: SparkSession, sf_dir: str, sources: tuple[str, ...], items: bool = True
 ) -> DataFrame:
     """Raw report lines of the given sources, tagged with ``source``.
 
-    One scan serves all sources. ``items`` False leaves out the part table for
-    reports without SKUs.
+    One scan of the order lines serves all sources. ``items`` False leaves out
+    the part table for reports without SKUs.
     """
-    buyers = customers(spark, sf_dir)
-    if DISTRIBUTOR not in sources:
-        buyers = buyers.where(F.col("chain").isin(*sources))
-    orders = table(spark, sf_dir, "orders").join(
-        buyers, F.col("o_custkey") == F.col("c_custkey")
-    )
     lines = table(spark, sf_dir, "lineitem").join(
-        orders, F.col("l_orderkey") == F.col("o_orderkey")
+        invoices(spark, sf_dir, sources), F.col("l_orderkey") == F.col("o_orderkey")
     )
     if items:
         parts = table(spark, sf_dir, "part")
@@ -74,35 +107,11 @@ def report_lines(
         lines = lines.withColumns(
             {"p_name": F.lit(None).cast("string"), "p_type": F.lit(None).cast("string")}
         )
-    wanted = [s for s in (DISTRIBUTOR, CHAIN_A, CHAIN_B) if s in sources]
-    if wanted == [DISTRIBUTOR]:
-        lines = lines.withColumn("source", F.lit(DISTRIBUTOR))
-    elif DISTRIBUTOR not in wanted:
-        lines = lines.withColumn("source", F.col("chain"))
-    else:
-        tags = F.array_compact(F.array(F.lit(DISTRIBUTOR), F.col("chain")))
-        lines = lines.withColumn("source", F.explode(tags))
-    by_chain = F.col("source") != DISTRIBUTOR
-    name = (
-        F.when(by_chain, F.expr("concat(brand, ' ', street_no, ' ', n_name)"))
-        .when(F.col("r_name") == "MIDDLE EAST", F.expr("concat(c_name, ' Annex')"))
-        .otherwise(F.col("c_name"))
-    )
-    code = F.expr("concat(' ', c_name, ' ')")
     return lines.select(
-        "source",
+        "source", "sourcefile", "invoice", "invoice_date", "customer", "location",
+        "customer_name", "address1", "address2", "city", "state", "zipcode",
         F.col("p_name").alias("vendor_item"),
         F.expr("concat(p_name, ' ', p_type)").alias("item_description"),
-        F.expr("concat(' ', o_orderkey, ' ')").alias("invoice"),
-        F.date_format(F.col("o_orderdate").cast("date"), "MM/dd/yy").alias("invoice_date"),
-        F.when(by_chain, F.lit("HEAD OFFICE")).otherwise(code).alias("customer"),
-        F.when(by_chain, code).alias("location"),
-        name.alias("customer_name"),
-        F.col("street").alias("address1"),
-        F.expr("case when o_orderpriority <> '5-LOW' then r_name end").alias("address2"),
-        F.col("n_name").alias("city"),
-        F.expr("case when r_name <> 'ASIA' then r_name end").alias("state"),
-        F.expr("lpad(cast(c_nationkey as string), 5, '0')").alias("zipcode"),
         F.expr(
             "cast(case when cast(l_tax as decimal(4,2)) = 0.08 then -l_quantity"
             " else l_quantity end as decimal(12,2))"
@@ -117,9 +126,6 @@ def report_lines(
         F.expr("case l_returnflag when 'R' then '2' when 'A' then '1.0' else '1' end").alias(
             "record_type"
         ),
-        F.concat(
-            "source", F.lit("_"), F.date_format(F.col("o_orderdate"), "yyyy-MM"), F.lit(".csv")
-        ).alias("sourcefile"),
     )
 
 
