@@ -47,7 +47,7 @@ def location_ref(cells: DataFrame) -> DataFrame:
 
 
 def one_per_location(location_map: DataFrame) -> DataFrame:
-    """Smallest row per code; a map edited by hand may repeat one."""
+    """Smallest row per code, for a map edited by hand that may repeat one."""
     rest = [name for name in location_map.columns if name != "location_code"]
     return (
         located(location_map)
@@ -58,10 +58,11 @@ def one_per_location(location_map: DataFrame) -> DataFrame:
 
 
 def enrich(report: DataFrame, location_map: DataFrame) -> DataFrame:
-    """Add name, chain and CRM customer to a report keyed by location."""
-    details = one_per_location(
-        location_map.select(
-            "location_code", "customer_name", "chain", "crm_customer_id", "crm_customer_name"
-        )
+    """Add name, chain and CRM customer to a report keyed by location.
+
+    The map is a stored table with one row per location.
+    """
+    details = location_map.select(
+        "location_code", "customer_name", "chain", "crm_customer_id", "crm_customer_name"
     )
     return report.join(details, "location_code", "left")

@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from storeledger.config import MIN_ADDRESS_LENGTH, MIN_NAME_LENGTH, Config
 from storeledger.functions.text import is_street_number, norm_key, street_numbers, words
 from storeledger.operators.locations import LOCATION_COLUMNS
-from storeledger.staging import materialise
+from storeledger.staging import lookup, materialise
 
-MAP_COLUMNS = (*LOCATION_COLUMNS, "crm_customer_id", "crm_customer_name")
+PLACE_KEY = ["norm_name", "norm_addr"]
 
 
 def with_keys(locations: DataFrame) -> DataFrame:
@@ -62,20 +62,20 @@ def match_exact_name(keyed: DataFrame, crm: DataFrame) -> DataFrame:
     same_name = first_by(crm, "norm_name")
     same_place = first_by(crm, "norm_name", "norm_addr").withColumnRenamed("hit", "place_hit")
     return (
-        keyed.join(same_name, "norm_name")
-        .join(same_place, ["norm_name", "norm_addr"], "left")
+        lookup(lookup(keyed, same_name, "norm_name", "inner"), same_place, PLACE_KEY)
         .select("location_code", F.coalesce("place_hit", "hit").alias("hit"))
     )
 
 
 def match_location_name(keyed: DataFrame, crm: DataFrame) -> DataFrame:
     by_location = first_by(crm, "norm_loc").withColumnRenamed("norm_loc", "norm_name")
-    return keyed.join(by_location, "norm_name").select("location_code", "hit")
+    return lookup(keyed, by_location, "norm_name", "inner").select("location_code", "hit")
 
 
 def match_address(keyed: DataFrame, crm: DataFrame) -> DataFrame:
     named = keyed.where(F.col("norm_name") != "")
-    return named.join(only_by_address(crm), "norm_addr").select("location_code", "hit")
+    hits = only_by_address(crm)
+    return lookup(named, hits, "norm_addr", "inner").select("location_code", "hit")
 
 
 # --- Rules on parts of names --------------------------------------------------
@@ -103,7 +103,7 @@ def _cuts(texts: DataFrame, needles: DataFrame) -> DataFrame:
     )
     fitting = F.filter("lengths", lambda size: size <= F.length("tail"))
     return (
-        tails.join(lengths, "gram")
+        lookup(tails, lengths, "gram", "inner")
         .withColumn("size", F.explode(fitting))
         .withColumn("needle", F.expr("substring(tail, 1, size)"))
         .drop("gram", "lengths", "tail", "size")
@@ -139,6 +139,7 @@ def contained_by_hits(names: DataFrame, crm: DataFrame) -> DataFrame:
         .groupBy("needle")
         .agg(F.min("ref_ord").alias("lo"), F.max("ref_ord").alias("hi"))
     )
+    needles = materialise(needles, "needles")
     texts = names.select(F.col("norm_name").alias("text")).distinct()
     return (
         _cuts(texts, needles.select("needle"))
@@ -151,11 +152,13 @@ def contained_by_hits(names: DataFrame, crm: DataFrame) -> DataFrame:
 
 
 def match_contains(keyed: DataFrame, crm: DataFrame) -> DataFrame:
-    return keyed.join(contains_hits(keyed, crm), "norm_name").select("location_code", "hit")
+    hits = contains_hits(keyed, crm)
+    return lookup(keyed, hits, "norm_name", "inner").select("location_code", "hit")
 
 
 def match_contained_by(keyed: DataFrame, crm: DataFrame) -> DataFrame:
-    return keyed.join(contained_by_hits(keyed, crm), "norm_name").select("location_code", "hit")
+    hits = contained_by_hits(keyed, crm)
+    return lookup(keyed, hits, "norm_name", "inner").select("location_code", "hit")
 
 
 # --- Rule on street numbers of chains -----------------------------------------
@@ -250,12 +253,11 @@ def resolve(keyed: DataFrame, crm: DataFrame, config: Config) -> DataFrame:
     street = match_street_number(keyed, crm, config).withColumnRenamed("hit", "street_hit")
 
     named = names.join(inside, "norm_name", "left").join(around, "norm_name", "left")
-    candidates = (
-        keyed.join(named, "norm_name", "left")
-        .join(place, ["norm_name", "norm_addr"], "left")
-        .join(address, "norm_addr", "left")
-        .join(street, "location_code", "left")
-    )
+    candidates = lookup(keyed, named, "norm_name")
+    candidates = lookup(candidates, place, PLACE_KEY)
+    candidates = lookup(candidates, address, "norm_addr")
+    # one row per location on both sides
+    candidates = candidates.join(street, "location_code", "left")
     in_order = (
         F.coalesce("place_hit", "name_hit"), F.col("location_hit"), F.col("contains_hit"),
         F.col("contained_hit"), F.col("address_hit"), F.col("street_hit"),
@@ -311,8 +313,7 @@ def _override_rows(overrides: DataFrame) -> DataFrame:
 def customer_overrides(locations: DataFrame, overrides: DataFrame) -> DataFrame:
     """Customer set by hand for a location's name and ship-to address."""
     return (
-        with_keys(locations)
-        .join(_override_rows(overrides), ["norm_name", "norm_addr"])
+        lookup(with_keys(locations), _override_rows(overrides), PLACE_KEY, "inner")
         .select("location_code", "row.crm_customer_id", "row.crm_customer_name")
     )
 
@@ -340,6 +341,6 @@ def unused_overrides(locations: DataFrame, overrides: DataFrame) -> DataFrame:
     keyed = overrides.withColumn("norm_name", norm_key(F.col("excel_customer"))).withColumn(
         "norm_addr", norm_key(F.col("excel_shipto"))
     )
-    return keyed.join(known, ["norm_name", "norm_addr"], "left_anti").drop(
+    return keyed.join(known, PLACE_KEY, "left_anti").drop(
         "norm_name", "norm_addr"
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storeledger.config import Config
 from storeledger.functions.text import norm_key, norm_key_text
+from storeledger.staging import lookup
 
 
 def canonical_description(sales: DataFrame) -> DataFrame:
@@ -60,7 +61,7 @@ def apply_sku_aliases(sales: DataFrame, aliases: DataFrame) -> DataFrame:
         .agg(F.min("mapped_sku").alias("mapped_sku"))
     )
     return (
-        sales.join(one_each, "vendor_item", "left")
+        lookup(sales, one_each, "vendor_item")
         .withColumn("vendor_item", F.coalesce("mapped_sku", "vendor_item"))
         .select(*sales.columns)
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storeledger.config import Config
 from storeledger.functions.numbers import fmt_money, fmt_qty
+from storeledger.staging import lookup, materialise
 
 LOCATION, CUSTOMER = "location", "customer"
 SNAPSHOT_VALUES = ("report_month", "last_month_total")
@@ -19,14 +20,15 @@ def resolve_targets(targets: DataFrame, snapshot: DataFrame) -> DataFrame:
     several locations with one customer id the last location code counts.
     """
     row = F.struct("location_code", *SNAPSHOT_VALUES)
+    snapshot = materialise(snapshot, "snapshot")
     by_location = snapshot.select("location_code", row.alias("loc_row"))
     by_customer = (
         snapshot.where(F.btrim("crm_customer_id") != "")
         .groupBy("crm_customer_id")
         .agg(F.max_by(row, "location_code").alias("id_row"))
     )
-    found = targets.join(by_location, "location_code", "left").join(
-        by_customer, "crm_customer_id", "left"
+    found = lookup(
+        targets.join(by_location, "location_code", "left"), by_customer, "crm_customer_id"
     )
     chosen = F.coalesce("loc_row", "id_row")
     kind = F.when(F.col("loc_row").isNotNull(), LOCATION).when(
@@ -96,7 +98,7 @@ def key_skus(top_skus: DataFrame, top_n: int) -> DataFrame:
 
 def target_units(resolved: DataFrame, top_skus: DataFrame) -> DataFrame:
     known = resolved.where(F.col("key_kind").isNotNull())
-    return known.join(key_units(top_skus), ["key_kind", "key"], "left").fillna(
+    return lookup(known, key_units(top_skus), ["key_kind", "key"]).fillna(
         {"total_units": 0, "sku_rows": 0}
     )
 
@@ -106,16 +108,14 @@ def target_skus(resolved: DataFrame, top_skus: DataFrame, config: Config) -> Dat
     wanted = resolved.where(F.col("key_kind").isNotNull()).select(
         "target_ord", "target_id", "location_code", "key_kind", "key"
     )
-    return wanted.join(key_skus(top_skus, config.top_n), ["key_kind", "key"])
+    rows = materialise(key_skus(top_skus, config.top_n), "key-skus")
+    return wanted.join(rows, ["key_kind", "key"])
 
 
 def with_sku_sales(listed: DataFrame, sku_sales: DataFrame) -> DataFrame:
     """Add average SKU sales by the target's own location code, else 0."""
-    return listed.join(
-        sku_sales.select("location_code", "vendor_item", "avg_sales_3m"),
-        ["location_code", "vendor_item"],
-        "left",
-    ).withColumn("avg_sales_3m", F.coalesce("avg_sales_3m", F.lit(0.0)))
+    sales = sku_sales.select("location_code", "vendor_item", "avg_sales_3m")
+    return lookup(listed, sales, ["location_code", "vendor_item"]).withColumn("avg_sales_3m", F.coalesce("avg_sales_3m", F.lit(0.0)))
 
 
 def sku_lines(listed: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from storeledger.config import Config
 from storeledger.operators import payloads as forms
 from storeledger.operators.cells import FULL_GRAIN, sales_cells
-from storeledger.operators.locations import location_ref
+from storeledger.operators.locations import location_ref, one_per_location
 from storeledger.operators.matching import location_map, unmapped_locations
 from storeledger.operators.metrics import Period, month_list, period, sku_sales_3m
 from storeledger.operators.payloads import form_fields, form_payloads
+from storeledger.operators.skus import canonical_description
 from storeledger.operators.targets import (
     resolve_targets, sku_lines, target_skus, target_units, with_sku_sales,
 )
@@ -30,16 +32,42 @@ class Run:
     period: Period
     config: Config
 
+    @cached_property
+    def descriptions(self) -> DataFrame:
+        return materialise(canonical_description(self.cells), "descriptions")
+
+    def sales_by_location_month(self) -> DataFrame:
+        return views.sales_by_location_month(self.cells, self.location_map, self.months)
+
+    def sales_by_sku_location_month(self) -> DataFrame:
+        return views.sales_by_sku_location_month(
+            self.cells, self.descriptions, self.location_map, self.months
+        )
+
+    def qty_by_sku_location_month(self) -> DataFrame:
+        return views.qty_by_sku_location_month(
+            self.cells, self.descriptions, self.location_map, self.months
+        )
+
+    def location_snapshot(self) -> DataFrame:
+        return views.location_snapshot(self.cells, self.location_map, self.period, self.config)
+
+    def top_skus(self) -> DataFrame:
+        return views.top_skus(
+            self.cells, self.descriptions, self.location_map, self.period, self.config
+        )
+
+    def sku_sales_3m(self) -> DataFrame:
+        return sku_sales_3m(self.cells, self.months)
+
     def views(self) -> dict[str, DataFrame]:
         """All five report tables, unevaluated."""
-        by_month = (self.cells, self.location_map, self.months)
-        by_period = (self.cells, self.location_map, self.period, self.config)
         return {
-            "sales_by_location_month": views.sales_by_location_month(*by_month),
-            "sales_by_sku_location_month": views.sales_by_sku_location_month(*by_month),
-            "qty_by_sku_location_month": views.qty_by_sku_location_month(*by_month),
-            "location_snapshot": views.location_snapshot(*by_period),
-            "top_skus": views.top_skus(*by_period),
+            "sales_by_location_month": self.sales_by_location_month(),
+            "sales_by_sku_location_month": self.sales_by_sku_location_month(),
+            "qty_by_sku_location_month": self.qty_by_sku_location_month(),
+            "location_snapshot": self.location_snapshot(),
+            "top_skus": self.top_skus(),
         }
 
 
@@ -56,9 +84,11 @@ def run(
     A coarser ``grain`` does for a run that makes some of the reports only.
     """
     cells = sales_cells(sales, grain)
-    mapped = saved_map
-    if mapped is None:
-        mapped = materialise(location_map(location_ref(cells), crm, config), "location-map")
+    if saved_map is None:
+        mapped = location_map(location_ref(cells), crm, config)
+    else:
+        mapped = one_per_location(saved_map)
+    mapped = materialise(mapped, "location-map")
     months = tuple(month_list(cells))
     return Run(cells, mapped, months, period(months, config), config)
 
@@ -92,19 +122,18 @@ def build_forms(
     config: Config,
 ) -> Forms:
     """Payloads of all targets from the report tables."""
-    resolved = resolve_targets(targets, snapshot)
+    resolved = materialise(resolve_targets(targets, snapshot), "resolved")
     listed = with_sku_sales(target_skus(resolved, top_skus, config), sku_sales)
     fields = form_fields(target_units(resolved, top_skus), sku_lines(listed))
     return Forms(resolved, fields, form_payloads(resolved, fields))
 
 
 def run_forms(prepared: Run, targets: DataFrame) -> Forms:
-    tables = prepared.views()
     return build_forms(
         targets,
-        materialise(tables["location_snapshot"], "snapshot"),
-        materialise(tables["top_skus"], "top-skus"),
-        sku_sales_3m(prepared.cells, prepared.months),
+        prepared.location_snapshot(),
+        materialise(prepared.top_skus(), "top-skus"),
+        prepared.sku_sales_3m(),
         prepared.config,
     )
 

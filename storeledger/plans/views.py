@@ -13,7 +13,7 @@ from storeledger.functions.tiers import sla_tier, visit_frequency
 from storeledger.operators.cells import located
 from storeledger.operators.locations import enrich
 from storeledger.operators.metrics import Period, in_months, rolling_qty, sum_in
-from storeledger.operators.skus import canonical_description, variant_groups
+from storeledger.operators.skus import variant_groups
 
 
 def _dated(cells: DataFrame) -> DataFrame:
@@ -52,25 +52,29 @@ def sales_by_location_month(
 
 
 def _by_sku_location_month(
-    cells: DataFrame, location_map: DataFrame, months: Sequence[str], value: str
+    cells: DataFrame,
+    descriptions: DataFrame,
+    location_map: DataFrame,
+    months: Sequence[str],
+    value: str,
 ) -> DataFrame:
     skus = _dated(cells).where(F.col("vendor_item").isNotNull())
     wide = _widen(skus, ["location_code", "vendor_item"], value, months)
-    described = wide.join(canonical_description(cells), "vendor_item", "left")
+    described = wide.join(descriptions, "vendor_item", "left")
     meta = ("location_code", "chain", "crm_customer_id", "vendor_item", "item_description")
     return enrich(described, location_map).select(*meta, *[F.col(f"`{m}`") for m in months])
 
 
 def sales_by_sku_location_month(
-    cells: DataFrame, location_map: DataFrame, months: Sequence[str]
+    cells: DataFrame, descriptions: DataFrame, location_map: DataFrame, months: Sequence[str]
 ) -> DataFrame:
-    return _by_sku_location_month(cells, location_map, months, "total")
+    return _by_sku_location_month(cells, descriptions, location_map, months, "total")
 
 
 def qty_by_sku_location_month(
-    cells: DataFrame, location_map: DataFrame, months: Sequence[str]
+    cells: DataFrame, descriptions: DataFrame, location_map: DataFrame, months: Sequence[str]
 ) -> DataFrame:
-    return _by_sku_location_month(cells, location_map, months, "qty")
+    return _by_sku_location_month(cells, descriptions, location_map, months, "qty")
 
 
 def snapshot_metrics(cells: DataFrame, when: Period, config: Config) -> DataFrame:
@@ -143,11 +147,13 @@ def ranked_skus(cells: DataFrame, when: Period, config: Config) -> DataFrame:
 
 
 def top_skus(
-    cells: DataFrame, location_map: DataFrame, when: Period, config: Config
+    cells: DataFrame,
+    descriptions: DataFrame,
+    location_map: DataFrame,
+    when: Period,
+    config: Config,
 ) -> DataFrame:
-    top = ranked_skus(cells, when, config).join(
-        canonical_description(cells), "vendor_item", "left"
-    )
+    top = ranked_skus(cells, when, config).join(descriptions, "vendor_item", "left")
     return enrich(top, location_map).select(
         "location_code", "chain", "crm_customer_id", "vendor_item", "item_description",
         "last_month_qty",

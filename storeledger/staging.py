@@ -34,3 +34,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def lookup(many: DataFrame, one: DataFrame, keys: str | list[str], how: str = "left") -> DataFrame:
+    """Join rows to a table with one row per key.
+
+    The table is written first. Spark then broadcasts it or not by its real
+    size, and if not, both inputs of the join are plain shuffles, which is what
+    adaptive execution needs to split a key that holds much of ``many``. (A join
+    directly on the output of an aggregation is not split.)
+    """
+    return many.join(materialise(one, "lookup"), keys, how)

@@ -508,32 +508,27 @@ def enrich_locations(spark, sf):
 
 @query
 def sales_by_location_month(spark, sf):
-    run = _run(spark, sf, cell_ops.LOCATION_PLACE_GRAIN)
-    return views.sales_by_location_month(run.cells, run.location_map, run.months)
+    return _run(spark, sf, cell_ops.LOCATION_PLACE_GRAIN).sales_by_location_month()
 
 
 @query
 def sales_by_sku_location_month(spark, sf):
-    run = _run(spark, sf)
-    return views.sales_by_sku_location_month(run.cells, run.location_map, run.months)
+    return _run(spark, sf).sales_by_sku_location_month()
 
 
 @query
 def qty_by_sku_location_month(spark, sf):
-    run = _run(spark, sf)
-    return views.qty_by_sku_location_month(run.cells, run.location_map, run.months)
+    return _run(spark, sf).qty_by_sku_location_month()
 
 
 @query
 def location_snapshot(spark, sf):
-    run = _run(spark, sf, SNAPSHOT_GRAIN)
-    return views.location_snapshot(run.cells, run.location_map, run.period, CONFIG)
+    return _run(spark, sf, SNAPSHOT_GRAIN).location_snapshot()
 
 
 @query
 def top_skus(spark, sf):
-    run = _run(spark, sf)
-    return views.top_skus(run.cells, run.location_map, run.period, CONFIG)
+    return _run(spark, sf).top_skus()
 
 
 @query
@@ -567,9 +562,8 @@ def delivery_status(spark, sf):
 
 def _target_tables(spark, sf):
     run = _run(spark, sf)
-    tables = run.views()
-    top = runs.materialise(tables["top_skus"], "top-skus")
-    resolved = targets.resolve_targets(star.all_targets(spark, sf), tables["location_snapshot"])
+    top = runs.materialise(run.top_skus(), "top-skus")
+    resolved = targets.resolve_targets(star.all_targets(spark, sf), run.location_snapshot())
     return run, runs.materialise(resolved, "resolved"), top
 
 
@@ -599,7 +593,7 @@ def target_units(spark, sf):
 def target_sku_sales(spark, sf):
     run, resolved, top = _target_tables(spark, sf)
     listed = targets.target_skus(resolved, top, CONFIG)
-    priced = targets.with_sku_sales(listed, metrics.sku_sales_3m(run.cells, run.months))
+    priced = targets.with_sku_sales(listed, run.sku_sales_3m())
     return priced.select("target_ord", "target_id", "position", "vendor_item", "avg_sales_3m")
 
 
@@ -607,7 +601,7 @@ def target_sku_sales(spark, sf):
 def sku_lines(spark, sf):
     run, resolved, top = _target_tables(spark, sf)
     listed = targets.target_skus(resolved, top, CONFIG)
-    priced = targets.with_sku_sales(listed, metrics.sku_sales_3m(run.cells, run.months))
+    priced = targets.with_sku_sales(listed, run.sku_sales_3m())
     return targets.sku_lines(priced)
 
 
