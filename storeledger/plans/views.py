@@ -12,7 +12,7 @@ from storeledger.functions.numbers import round_half_even
 from storeledger.functions.tiers import sla_tier, visit_frequency
 from storeledger.operators.cells import located
 from storeledger.operators.locations import enrich
-from storeledger.operators.metrics import Period, in_months, rolling_qty, sum_in
+from storeledger.operators.metrics import Period, in_months, rolling_qty
 from storeledger.operators.skus import variant_groups
 
 

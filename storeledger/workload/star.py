@@ -26,6 +26,8 @@ CONFIG = Config(
     },
 )
 
+SEGMENTS = {CHAIN_A: "AUTOMOBILE", CHAIN_B: "BUILDING"}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,8 +42,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .withColumn(
             "chain",
-            F.when(F.col("c_mktsegment") == "AUTOMOBILE", CHAIN_A).when(
-                F.col("c_mktsegment") == "BUILDING", CHAIN_B
+            F.when(F.col("c_mktsegment") == SEGMENTS[CHAIN_A], CHAIN_A).when(
+                F.col("c_mktsegment") == SEGMENTS[CHAIN_B], CHAIN_B
             ),
         )
         .withColumn("brand", F.when(F.col("chain") == CHAIN_A, "LPQ").otherwise("JTJ"))
@@ -54,7 +56,7 @@ def invoices(spark: SparkSession, sf_dir: str, sources: tuple[str, ...]) -> Data
     """Report columns that all lines of an order share, once per source."""
     buyers = customers(spark, sf_dir)
     if DISTRIBUTOR not in sources:
-        buyers = buyers.where(F.col("chain").isin(*sources))
+        buyers = buyers.where(F.col("c_mktsegment").isin([SEGMENTS[s] for s in sources]))
     reported_by = F.array(*[F.lit(DISTRIBUTOR)] * (DISTRIBUTOR in sources))
     if set(sources) - {DISTRIBUTOR}:
         reported_by = F.array_compact(F.concat(reported_by, F.array("chain")))

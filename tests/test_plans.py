@@ -1,0 +1,65 @@
+"""Shape of the physical plans at a size where nothing fits a broadcast."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+import pytest
+
+from storeledger.plans.views import ranked_skus
+from storeledger.workload import queries as q
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "MapInPandas", "FlatMapGroups", "BroadcastExchange")
+
+
+@pytest.mark.parametrize("name", [
+    "unified_sales", "location_map", "location_snapshot", "top_skus",
+    "sales_by_sku_location_month", "form_payloads", "match_contains", "match_contained_by",
+    "match_street_number", "customer_override", "reconcile_totals", "sku_alias",
+])
+def test_no_nested_loops_python_or_forced_broadcasts(no_broadcast, name):
+    text = plan(q.registry()[name](no_broadcast, SF))
+    assert [word for word in FORBIDDEN if word in text] == []
+
+
+def test_top_n_is_cut_before_the_shuffle(no_broadcast):
+    cells = q._cells(no_broadcast, SF)
+    ranked = ranked_skus(cells, q._period(cells), q.CONFIG)
+    assert "WindowGroupLimit" in plan(ranked)
+
+
+def test_small_dimensions_are_broadcast_by_size(spark):
+    assert "BroadcastHashJoin" in plan(q.registry()["unified_sales"](spark, SF))
+
+
+def test_scan_reads_needed_columns_only(no_broadcast):
+    text = plan(q.registry()["dedup_audit"](no_broadcast, SF))
+    scans = [line for line in text.splitlines() if line.startswith("ReadSchema")]
+    lines = [s for s in scans if "l_orderkey" in s]
+    assert lines and all("l_shipdate" not in s and "l_extendedprice" not in s for s in lines)
+    assert not any("p_partkey" in s for s in scans)
+
+
+def test_chain_filter_reaches_the_scan(no_broadcast):
+    text = plan(q.registry()["scan_chain_a"](no_broadcast, SF))
+    pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]
+    assert any("c_mktsegment" in line for line in pushed)
