@@ -21,17 +21,20 @@ def chain_codes(sales: DataFrame) -> DataFrame:
     return chains.where(F.col("location_code").isNotNull()).select("location_code").distinct()
 
 
-def precedence_dedup(sales: DataFrame) -> DataFrame:
+def precedence_dedup(sales: DataFrame, chains: DataFrame | None = None) -> DataFrame:
     """Drop distributor rows of locations that an authoritative source reports.
 
     ``sales`` is any frame with ``source`` and ``location_code``: single sales
-    or sums of them. The codes are written first, so that their size is known
-    and the wide side is not shuffled when they are few. When they are many,
-    the sort-merge anti join splits a hot location at run time.
+    or sums of them. The codes come from ``chains``, any frame that holds the
+    authoritative sales, or else from ``sales``. Of a union of sources, only the
+    authoritative ones are read for them, and of those two columns.
+
+    The codes are written first, so that their size is known and the wide side
+    is not shuffled when they are few. When they are many, the sort-merge anti
+    join splits a hot location at run time.
     """
-    codes = materialise(chain_codes(sales), "chain-codes").withColumnRenamed(
-        "location_code", "chain_code"
-    )
+    known = chain_codes(sales if chains is None else chains)
+    codes = materialise(known, "chain-codes").withColumnRenamed("location_code", "chain_code")
     reported_twice = ~F.col("source").isin(*AUTHORITATIVE) & (
         F.col("location_code") == F.col("chain_code")
     )

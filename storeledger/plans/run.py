@@ -13,10 +13,10 @@ from storeledger.config import Config
 from storeledger.operators import payloads as forms
 from storeledger.operators.cells import FULL_GRAIN, sales_cells
 from storeledger.operators.locations import location_ref, one_per_location
-from storeledger.operators.matching import location_map, unmapped_locations
+from storeledger.operators.matching import apply_overrides, location_map, unmapped_locations
 from storeledger.operators.metrics import Period, month_list, period, sku_sales_3m
 from storeledger.operators.payloads import form_fields, form_payloads
-from storeledger.operators.skus import canonical_description
+from storeledger.operators.skus import apply_sku_aliases, canonical_description
 from storeledger.operators.targets import (
     resolve_targets, sku_lines, target_skus, target_units, with_sku_sales,
 )
@@ -73,21 +73,31 @@ class Run:
 
 def run(
     sales: DataFrame,
-    crm: DataFrame,
+    crm: DataFrame | None,
     config: Config,
     saved_map: DataFrame | None = None,
+    chains: DataFrame | None = None,
+    overrides: DataFrame | None = None,
+    sku_aliases: DataFrame | None = None,
     grain: Sequence[str] = FULL_GRAIN,
 ) -> Run:
     """Prepare a run over the tagged, standardised union of all sources.
 
-    The sales are read once. The location map is built unless one is given.
-    A coarser ``grain`` does for a run that makes some of the reports only.
+    The sales are read once, and the chains' location codes once more, from
+    ``chains`` if that frame of the chains' sales is given. The location map is built unless one is given;
+    customers set by hand in ``overrides`` win over matched ones. SKUs named in
+    ``sku_aliases`` are renamed. A coarser ``grain`` does for a run that makes
+    some of the reports only.
     """
-    cells = sales_cells(sales, grain)
+    cells = sales_cells(sales, grain, chains)
+    if sku_aliases is not None:
+        cells = apply_sku_aliases(cells, sku_aliases)
     if saved_map is None:
         mapped = location_map(location_ref(cells), crm, config)
     else:
         mapped = one_per_location(saved_map)
+    if overrides is not None:
+        mapped = apply_overrides(mapped, overrides)
     mapped = materialise(mapped, "location-map")
     months = tuple(month_list(cells))
     return Run(cells, mapped, months, period(months, config), config)

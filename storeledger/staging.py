@@ -26,7 +26,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/storeledger/{label}-{uuid4().hex}"
+    """A new path below a folder of this application, which may be removed as a
+    whole once the application has ended."""
+    application = spark.conf.get("spark.app.id", "session")
+    return f"{shared_folder(spark)}/storeledger/{application}/{label}-{uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -42,8 +42,8 @@ def as_double(df: DataFrame, *names: str) -> DataFrame:
 
 
 def _cells(spark, sf, grain=cell_ops.SKU_GRAIN) -> DataFrame:
-    items = "vendor_item" in grain
-    return cell_ops.sales_cells(star.tagged_sales(spark, sf, items), grain)
+    sales = star.tagged_sales(spark, sf, "vendor_item" in grain)
+    return cell_ops.sales_cells(sales, grain, star.chain_sales(spark, sf))
 
 
 def _period(cells: DataFrame) -> metrics.Period:
@@ -52,7 +52,8 @@ def _period(cells: DataFrame) -> metrics.Period:
 
 def _run(spark, sf, grain=cell_ops.FULL_GRAIN) -> runs.Run:
     sales = star.tagged_sales(spark, sf, "vendor_item" in grain)
-    return runs.run(sales, star.crm(spark, sf), CONFIG, grain=grain)
+    chains = star.chain_sales(spark, sf)
+    return runs.run(sales, star.crm(spark, sf), CONFIG, chains=chains, grain=grain)
 
 
 def _forms(spark, sf) -> runs.Forms:
@@ -259,8 +260,7 @@ def filter_trailing(spark, sf):
 
 @query
 def chain_codes(spark, sf):
-    sales = star.tagged_sales(spark, sf, items=False)
-    return unify.chain_codes(sales)
+    return unify.chain_codes(star.chain_sales(spark, sf))
 
 
 @query
@@ -271,7 +271,7 @@ def precedence_dedup(spark, sf):
 
 @query
 def unified_sales(spark, sf):
-    sales = unify.precedence_dedup(star.tagged_sales(spark, sf))
+    sales = unify.precedence_dedup(star.tagged_sales(spark, sf), star.chain_sales(spark, sf))
     return as_double(sales, "qty", "unit_price", "total")
 
 
@@ -303,8 +303,7 @@ def reconcile_invoices(spark, sf):
 
 @query
 def reconcile_totals(spark, sf):
-    sales = star.tagged_sales(spark, sf, items=False)
-    cells = cell_ops.sales_cells(sales, cell_ops.LOCATION_GRAIN)
+    cells = _cells(spark, sf, cell_ops.LOCATION_GRAIN)
     view = views.sales_by_location_month_long(cells)
     # the chains' own totals, straight from their order lines, refunds included
     raw = star.report_lines(spark, sf, AUTHORITATIVE, items=False)

@@ -139,6 +139,12 @@ def tagged_sales(spark: SparkSession, sf_dir: str, items: bool = True) -> DataFr
     return standardize(filter_detail(raw), F.col("source"), location)
 
 
+def chain_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standardised sales of the chains alone, without SKUs."""
+    raw = report_lines(spark, sf_dir, (CHAIN_A, CHAIN_B), items=False)
+    return standardize(filter_detail(raw), F.col("source"), "location")
+
+
 def crm_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CRM export; customers with a balance above 9000 have a second row."""
     known = customers(spark, sf_dir).where("c_acctbal >= 0")

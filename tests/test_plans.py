@@ -7,7 +7,9 @@ import io
 
 import pytest
 
+from storeledger.operators.unify import chain_codes
 from storeledger.plans.views import ranked_skus
+from storeledger.sources.reports import all_sales, read_table
 from storeledger.workload import queries as q
 
 SF = "/root/testdata/sf0.001"
@@ -59,6 +61,18 @@ def test_scan_reads_needed_columns_only(no_broadcast):
     assert not any("p_partkey" in s for s in scans)
 
 
+def test_chain_codes_do_not_read_the_distributor(no_broadcast, tmp_path):
+    schema = "customer string, location string, total string, invoice_date string, record_type string"
+    paths = []
+    for name in ("distributor", "chain_a", "chain_b"):
+        paths.append(str(tmp_path / f"{name}.parquet"))
+        no_broadcast.createDataFrame([("C", "L", "1", "1/1/25", "1")], schema).write.parquet(paths[-1])
+    sales = all_sales(*[read_table(no_broadcast, path) for path in paths])
+    text = plan(chain_codes(sales))
+    assert "chain_a.parquet" in text and "chain_b.parquet" in text
+    assert "distributor.parquet" not in text
+
+
 def test_chain_filter_reaches_the_scan(no_broadcast):
     text = plan(q.registry()["scan_chain_a"](no_broadcast, SF))
     pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]

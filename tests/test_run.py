@@ -108,6 +108,18 @@ def test_forms(done, frame):
     }
 
 
+def test_aliases_and_overrides_when_given(done, frame):
+    aliases = frame("excel_sku, mapped_sku", [("SOAP", "MOP")])
+    manual = frame("excel_customer, excel_shipto, crm_customer_id, crm_customer_name",
+                   [("lone diner", "1 ELM STREET", "77", "Diner")])
+    again = run(done.cells.drop("lines"), None, Config(), saved_map=done.location_map,
+                overrides=manual, sku_aliases=aliases)
+    assert rows(again.location_map, "location_code", "crm_customer_id") == [
+        ("A1", "501"), ("B2", "77"), ("J9", ""), ("Q7", "502")]
+    assert rows(again.top_skus(), "location_code", "vendor_item", "last_month_qty") == [
+        ("A1", "MOP", 11.0), ("B2", "MOP", 1.0), ("J9", "WAX", 0.0), ("Q7", "MOP", 5.0)]
+
+
 def test_saved_map(done, spark):
     saved = done.location_map.unionByName(done.location_map)  # codes repeated by hand
     again = run(done.cells.drop("lines"), None, Config(), saved_map=saved)
