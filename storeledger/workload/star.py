@@ -9,8 +9,11 @@ matching rule has work to do. ``oracles.py`` states the same in SQL.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from storeledger.config import CHAIN_A, CHAIN_B, DISTRIBUTOR, Config
 from storeledger.operators.standardize import filter_detail, standardize
@@ -29,8 +32,15 @@ CONFIG = Config(
 SEGMENTS = {CHAIN_A: "AUTOMOBILE", CHAIN_B: "BUILDING"}
 
 
+@cache
+def _schema(path: str) -> StructType:
+    """Schema of a given table; these do not change, so it is looked up once."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
