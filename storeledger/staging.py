@@ -7,29 +7,26 @@ Spark broadcasts it in a later join only when it is below
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; without that setting a folder in the
+    session's warehouse, which every executor reaches as it does any saved table."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="storeledger-"))
-    return context.getCheckpointDir().rstrip("/")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-def staging_path(spark: SparkSession, label: str) -> str:
-    """A new path below a folder of this application, which may be removed as a
-    whole once the application has ended."""
+def application_folder(spark: SparkSession) -> str:
+    """All staged tables of this application; may be removed once it has ended."""
     application = spark.conf.get("spark.app.id", "session")
-    return f"{shared_folder(spark)}/storeledger/{application}/{label}-{uuid4().hex}"
+    return f"{shared_folder(spark)}/storeledger/{application}"
+
+
+def staging_path(spark: SparkSession, label: str) -> str:
+    return f"{application_folder(spark)}/{label}-{uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -39,6 +36,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_staged(spark: SparkSession) -> None:
+    """Delete every table this application has staged; frames that read them end with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def lookup(many: DataFrame, one: DataFrame, keys: str | list[str], how: str = "left") -> DataFrame:
     """Join rows to a table with one row per key.
 

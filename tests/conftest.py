@@ -5,7 +5,8 @@ from pyspark.sql import SparkSession
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("storeledger-tests")
@@ -14,6 +15,8 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared.as_uri())
+        .config("spark.sql.warehouse.dir", (shared / "warehouse").as_uri())
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -7,10 +7,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from storeledger.workload import oracles, queries
 from tests.oracle import connect, differences
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-SQL = entry.oracle_sql()
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,12 +20,12 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(queries.registry())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, tables, name):
-    assert differences(entry.queries()[name](spark, SF), tables, SQL[name]) == []
+    assert differences(queries.registry()[name](spark, SF), tables, SQL[name]) == []
 
 
 def test_entry(spark):
