@@ -41,7 +41,7 @@ def differences(df, con, sql: str) -> list[str]:
     if sorted(names) != sorted(df.columns):
         problems.append(f"columns {sorted(df.columns)} / {sorted(names)}")
     kinds = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
-             "date": "DATE"}
+             "date": "DATE", "boolean": "BOOLEAN"}
     relation = con.sql(sql)
     sql_types = dict(zip(relation.columns, map(str, relation.types), strict=True))
     for field in df.schema.fields:
