@@ -1,6 +1,27 @@
 """The same results in SQL, for the operators that SQL can express."""
 
 SQL = {
+    "op5_line_dedup": """
+        WITH line AS (
+            SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS position
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+        ), keyed AS (
+            SELECT *, translate(
+                trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM line
+        ), cut AS (
+            SELECT key, max(doc_id) AS newest FROM keyed WHERE length(key) >= 20
+            GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+        ), marked AS (
+            SELECT k.doc_id, k.line, k.position, coalesce(k.doc_id <> c.newest, false) AS dropped
+            FROM keyed k LEFT JOIN cut c ON k.key = c.key
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY position)
+                               FILTER (WHERE NOT dropped), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id
+    """,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

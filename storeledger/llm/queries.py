@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from storeledger.llm import exact_dedup, mixing, packing, sharding
-from storeledger.llm.common import documents
+from storeledger.llm import exact_dedup, line_dedup, mixing, packing, sharding
+from storeledger.llm.common import documents, whole
 from storeledger.llm.oracles import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,12 @@ def op2_mix(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_lines(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(whole(F.col("text")), 256).alias("kept_sha256")
+    )
+
+
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -28,6 +35,7 @@ def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "op2_mix": op2_mix,
+        "op5_line_dedup": op5_line_dedup,
         "op7_shard": sharding.op7_shard,
         "op9_pack": packing.op9_pack,
         "op10_exact_dedup": op10_exact_dedup,
