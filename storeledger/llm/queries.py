@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.llm import exact_dedup, line_dedup, mixing, packing, sharding
+from storeledger.llm import exact_dedup, line_dedup, mixing, near_join, packing, sharding
 from storeledger.llm.common import documents, whole
 from storeledger.llm.oracles import SQL
 
@@ -20,6 +20,10 @@ def op2_mix(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_join(spark, sf_dir: str) -> DataFrame:
+    return near_join.near_components(documents(spark, sf_dir), width=4, percent=85)
+
+
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(whole(F.col("text")), 256).alias("kept_sha256")
@@ -35,6 +39,7 @@ def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "op2_mix": op2_mix,
+        "op4_near_join": op4_near_join,
         "op5_line_dedup": op5_line_dedup,
         "op7_shard": sharding.op7_shard,
         "op9_pack": packing.op9_pack,
