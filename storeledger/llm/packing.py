@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storeledger.llm.common import documents, named, whole
+from storeledger.llm.common import named, whole
 from storeledger.staging import materialise
 
 _TOKENS = "doc_id long, task int, start long, tokens int, ids binary"
@@ -172,7 +172,3 @@ def public_vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
-
-
-def op9_pack(spark, sf_dir: str) -> DataFrame:
-    return with_checksums(pack(documents(spark, sf_dir), public_vocabulary()))

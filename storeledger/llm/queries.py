@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.llm import exact_dedup, line_dedup, mixing, near_join, packing, sharding
+from storeledger.llm import (
+    exact_dedup, language_id, line_dedup, mixing, near_join, packing, sharding,
+)
 from storeledger.llm.common import documents, whole
 from storeledger.llm.oracles import SQL
 
@@ -30,6 +32,23 @@ def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_shard(spark, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir)).select(
+        "*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op8_language_id(spark, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    known = docs.where(F.col("doc_id").isNotNull() & ~language_id.held_out())
+    return language_id.predict(docs.select("doc_id", "text"), language_id.train(known))
+
+
+def op9_pack(spark, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir), packing.public_vocabulary())
+    return packing.with_checksums(pieces)
+
+
 def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -41,8 +60,9 @@ def registry() -> dict[str, Query]:
         "op2_mix": op2_mix,
         "op4_near_join": op4_near_join,
         "op5_line_dedup": op5_line_dedup,
-        "op7_shard": sharding.op7_shard,
-        "op9_pack": packing.op9_pack,
+        "op7_shard": op7_shard,
+        "op8_language_id": op8_language_id,
+        "op9_pack": op9_pack,
         "op10_exact_dedup": op10_exact_dedup,
     }
 

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storeledger.llm.common import documents, named, whole
+from storeledger.llm.common import named, whole
 from storeledger.staging import materialise
 
 _BITS = 16  # cells of the first search: 65,536 sums on the driver, whatever the input
@@ -130,9 +130,3 @@ def shard(
             (F.col("base") + F.col("rank") - 1).alias("slot"),
         )
     )
-
-
-def op7_shard(spark, sf_dir: str) -> DataFrame:
-    return shard(documents(spark, sf_dir)).select(
-        "*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
-    )
