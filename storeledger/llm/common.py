@@ -43,5 +43,14 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row.
+
+    A column that is named and then used several times may be put back into every use when a
+    filter or a projection is pushed down; the argument of a function is not.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -1,6 +1,9 @@
 """The same results in SQL, for the operators that SQL can express."""
 
+from storeledger.llm import licenses
+
 SQL = {
+    "op3_license_scan": licenses.oracle_sql(),
     "op5_line_dedup": """
         WITH line AS (
             SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS position

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.llm import (
-    exact_dedup, language_id, line_dedup, mixing, near_join, packing, sharding,
+    exact_dedup, fingerprints, language_id, licenses, line_dedup, mixing, near_join, packing, sharding,
 )
 from storeledger.llm.common import documents, whole
 from storeledger.llm.oracles import SQL
@@ -22,6 +22,10 @@ def op2_mix(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op4_near_join(spark, sf_dir: str) -> DataFrame:
     return near_join.near_components(documents(spark, sf_dir), width=4, percent=85)
 
@@ -32,6 +36,19 @@ def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_fingerprints(spark, sf_dir: str) -> DataFrame:
+    paired = fingerprints.edited_pairs(documents(spark, sf_dir)).withColumn(
+        "edited_sketch", fingerprints.sketch(F.col("edited"))
+    )
+    return paired.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 def op7_shard(spark, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir)).select(
         "*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
@@ -58,8 +75,10 @@ def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Query]:
     return {
         "op2_mix": op2_mix,
+        "op3_license_scan": op3_license_scan,
         "op4_near_join": op4_near_join,
         "op5_line_dedup": op5_line_dedup,
+        "op6_fingerprints": op6_fingerprints,
         "op7_shard": op7_shard,
         "op8_language_id": op8_language_id,
         "op9_pack": op9_pack,
