@@ -1,11 +1,12 @@
 """License scans: MinHash bands over text windows, then exact containment.
 
 Texts are cut into overlapping windows about as long as a template. A window becomes a candidate
-when the smallest hash of its shingles under one of several hash functions equals the
-template's. A window that holds the whole template has Jaccard similarity of 0.75 or more with
-it, one that just reaches the containment asked for 0.5 or more, so with ten single-row bands a
-window with the template is found with probability above 0.999999, and one at the limit above
-0.999. Candidate documents are then compared exactly, window by window.
+when the smallest hash of its shingles under one of five hash functions equals the template's
+(five bands of one row). A window that holds the whole template has a Jaccard similarity of 0.8
+or more with it, and meets in some band with probability 0.9997 or more; one that holds just the
+share asked for has 0.55 or more, and meets with 0.98 or more. Templates of up to four shingles
+cannot miss one: their windows are single shingles, and the probability is 1. Documents with a
+candidate are then compared exactly, window by window.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ TEMPLATES = {
 }
 WIDTH = 5  # words of a shingle
 CONTAINED = 0.8
-_BANDS = 10
+_BANDS = 5
+_SHORT = 4  # templates of which no shingle may be missing
 _WORD = r"[\p{L}\p{N}]+"
 
 
@@ -76,10 +78,10 @@ def template(name: str, text: str) -> Template:
 
 
 def _classes(templates: Sequence[Template]) -> dict[tuple[int, int], list[Template]]:
-    """Templates by (window, stride); one of three shingles goes with those of four."""
+    """Templates by window and stride of the search; the short ones by single shingles."""
     found: dict[tuple[int, int], list[Template]] = {}
     for t in templates:
-        size = (t.window, t.stride) if t.window != 3 else (4, 1)
+        size = (1, 1) if len(t.shingles) <= _SHORT else (t.window, t.stride)
         found.setdefault(size, []).append(t)
     return found
 
@@ -109,7 +111,10 @@ def _band_values(spark, templates: Sequence[Template]) -> dict[str, list[int]]:
     """The smallest hash of each template under each band's function, by Spark's own hash."""
     rows = spark.createDataFrame([(t.name, list(t.shingles)) for t in templates],
                                  "name string, shingles array<string>")
-    hashes = F.flatten(F.transform("shingles", lambda s: _hashes(F.split(s, " "))))
+    searched = F.when(F.size("shingles") <= _SHORT, F.slice("shingles", 1, 1)).otherwise(
+        F.col("shingles")
+    )
+    hashes = F.flatten(F.transform(searched, lambda s: _hashes(F.split(s, " "))))
     smallest = [F.array_min(_mixed(hashes, b)) for b in range(_BANDS)]
     return {r[0]: list(r[1]) for r in rows.select("name", F.array(*smallest)).collect()}
 
@@ -147,6 +152,7 @@ def candidates(docs: DataFrame, templates: Sequence[Template]) -> DataFrame:
                     _smallest(mixed, *size), F.array(*[F.lit(values[t.name][band]) for t in own])
                 )
                 for size, own in _classes(templates).items()
+                if size != (1, 1) or band == 0  # equal hashes are equal under any function
             ])
 
         return let(_mixed(hashes, band), of)
