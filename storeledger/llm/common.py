@@ -52,5 +52,27 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
+class Recent(dict):
+    """Values of a function, remembered for the keys asked for last.
+
+    Holds at most twice ``size`` short keys: a full generation becomes the older one, from
+    which keys come back when they are asked for again.
+    """
+
+    def __init__(self, make, size: int):
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -27,7 +27,7 @@ UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LONGEST = 40  # a longer run of letters is scored in parts of this length
 _UNKNOWN_CHARACTER = 1e-7
-_CACHED = 200_000
+_CACHED = 150_000
 
 
 def public_pieces(name: str = "piece_bpe_32k.model") -> list[str]:
@@ -229,13 +229,15 @@ class Predictor:
     """Scores texts, remembering the scores of a fixed number of words."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.known = model, {}
+        self.model, self.known, self.older = model, {}, {}
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         found = [words_of(t) if t else Counter() for t in texts]
         if len(self.known) > _CACHED:
-            self.known = {}
-        new = list({w: None for words in found for w in words if w not in self.known})
+            self.known, self.older = {}, self.known
+        new = {w: None for words in found for w in words if w not in self.known}
+        self.known.update((w, self.older[w]) for w in new if w in self.older)
+        new = [w for w in new if w not in self.known]
         if new and self.model.languages:
             scores = self.model.pieces.score(new)
             self.known.update(zip(new, scores, strict=True))

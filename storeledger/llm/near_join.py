@@ -24,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storeledger.llm.common import fresh, named, whole
+from storeledger.llm.common import Recent, fresh, named, whole
 from storeledger.staging import materialise
 
 _BUCKET_BITS = 20  # two tables of 1 M counts: 8 MB, whatever the input
 _SLICES = 64
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 250_000
 _FILTER_BITS = 24  # bit table of candidate documents: 2 MB
 # --- Fixed values: odd multipliers that mix hashes ---
 _MIX = np.array(
@@ -37,23 +37,13 @@ _MIX = np.array(
 )
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        value = xxhash.xxh64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= _CACHED_WORDS:
-                self.clear()
-            self[word] = value
-        return value
-
-
 class Shingler:
     """Hashes of the word shingles of texts."""
 
     def __init__(self, width: int):
-        self.width, self.known = width, _Words()
+        import xxhash
+
+        self.width, self.known = width, Recent(xxhash.xxh64_intdigest, _CACHED_WORDS)
 
     def hashes(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all texts one after the other, and the text each belongs to."""
