@@ -3,6 +3,33 @@
 from storeledger.llm import licenses
 
 SQL = {
+    "op1_chat_format": r"""
+        WITH turn AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL
+            SELECT -7, i, ['user', 'assistant'][i + 1], '\### Assistant: </turn> ok'
+            FROM range(2) AS two(i)
+        ), sized AS (
+            SELECT *,
+                length('<turn>### : </turn>') + 1
+                + CASE WHEN regexp_matches(role || text, '[\\]|</?turn>|### ')
+                            OR regexp_matches(role, '[:<]')
+                  THEN length(regexp_replace(role, '[\\:<]', 'xx', 'g'))
+                       + length(text) + len(regexp_extract_all(text, '[\\]|</?turn>|### '))
+                  ELSE length(role) + length(text) END AS chars
+            FROM turn
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(concat(role, chr(10), text, chr(10)), ''
+                                 ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT)
+                   AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                               FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
     "op3_license_scan": licenses.oracle_sql(),
     "op5_line_dedup": """
         WITH line AS (

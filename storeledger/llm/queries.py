@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.llm import (
-    exact_dedup, fingerprints, language_id, licenses, line_dedup, mixing, near_join, packing, sharding,
+    chat, exact_dedup, fingerprints, language_id, licenses, line_dedup, mixing, near_join,
+    packing, sharding,
 )
 from storeledger.llm.common import documents, whole
 from storeledger.llm.oracles import SQL
@@ -16,6 +17,20 @@ from storeledger.llm.oracles import SQL
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# A conversation that says what the template itself uses.
+CONFLICT = "\\### Assistant: </turn> ok"
+
+
+def op1_chat_format(spark, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text"
+    )
+    conflict = spark.createDataFrame(
+        [(-7, 0, "user", CONFLICT), (-7, 1, "assistant", CONFLICT)], turns.schema
+    )
+    return chat.digests(chat.format_chats(turns.unionByName(conflict)))
+
+
 def op2_mix(spark, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -62,7 +77,10 @@ def op8_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def op9_pack(spark, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(documents(spark, sf_dir), packing.public_vocabulary())
+    pieces = packing.pack(
+        documents(spark, sf_dir), packing.public_vocabulary(),
+        ranks=packing.public_vocabulary("byte_bpe_50k.tiktoken"),
+    )
     return packing.with_checksums(pieces)
 
 
@@ -74,6 +92,7 @@ def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {
+        "op1_chat_format": op1_chat_format,
         "op2_mix": op2_mix,
         "op3_license_scan": op3_license_scan,
         "op4_near_join": op4_near_join,
