@@ -53,6 +53,7 @@ FORM_FIELDS = {
 
 # Sums of amounts must not depend on row order, so they are exact decimals.
 AMOUNT = T.DecimalType(28, 8)
+AMOUNT_LIMIT = 1e19  # a number from here on that does not fit is an error, not bad text
 
 _MONTH = re.compile(r"\d{4}-(0[1-9]|1[0-2])")
 

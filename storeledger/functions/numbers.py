@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from storeledger.config import AMOUNT
+from storeledger.config import AMOUNT, AMOUNT_LIMIT
 
 
 def to_amount(value: Column) -> Column:
-    """Exact amount; text that is no number, null and NaN count as 0.
+    """Exact amount; text that is no number, null, NaN and infinity count as 0.
 
     Casting text straight to a decimal also rejects what a double would accept
-    in Java but is no number in a report, such as ``1D`` or ``Infinity``.
+    in Java but is no number in a report, such as ``1D``. A number too large for
+    the decimal is an error: it must not count as 0.
     """
-    return F.coalesce(value.try_cast(AMOUNT), F.lit(0).cast(AMOUNT))
+    exact, size = value.try_cast(AMOUNT), F.abs(value.try_cast("double"))
+    too_large = exact.isNull() & (size >= AMOUNT_LIMIT) & (size < float("inf"))
+    failed = F.raise_error(F.concat(F.lit("amount too large: "), value.cast("string")))
+    return F.when(too_large, failed.cast(AMOUNT)).otherwise(
+        F.coalesce(exact, F.lit(0).cast(AMOUNT))
+    )
 
 
 def to_number(value: Column) -> Column:

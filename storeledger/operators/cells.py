@@ -35,15 +35,13 @@ def located(cells: DataFrame) -> DataFrame:
     return cells.where(F.col("location_code").isNotNull())
 
 
-def sales_cells(
-    sales: DataFrame, grain: Sequence[str] = FULL_GRAIN, chains: DataFrame | None = None
-) -> DataFrame:
+def sales_cells(sales: DataFrame, grain: Sequence[str] = FULL_GRAIN) -> DataFrame:
     """Deduplicated cells of a tagged union of sources, written once.
 
-    Written, they carry no partitioning by location from the dedup, so that
-    later sums combine a hot location in many tasks before they shuffle it.
+    The sums are written first, and the chains' location codes are taken from
+    them: the sales themselves are read once. Written, the cells carry no
+    partitioning by location from the dedup, so that later sums combine a hot
+    location in many tasks before they shuffle it.
     """
-    cells = precedence_dedup(
-        sum_cells(sales, grain), chains=sales if chains is None else chains
-    )
-    return materialise(cells, "cells")
+    summed = materialise(sum_cells(sales, grain), "summed")
+    return materialise(precedence_dedup(summed), "cells")

@@ -207,9 +207,9 @@ def match_street_number(keyed: DataFrame, crm: DataFrame, config: Config) -> Dat
     hit = F.when(
         F.col("addr_lo").isNotNull(), _single(F.col("addr_lo"), F.col("addr_hi"))
     ).otherwise(_single(F.col("name_lo"), F.col("name_hi")))
+    numbered = numbered.withColumnRenamed("col", "number")
     return (
-        numbered.withColumnRenamed("col", "number")
-        .join(_chain_numbers(crm, config), ["chain", "number"])
+        lookup(numbered, _chain_numbers(crm, config), ["chain", "number"], "inner")
         .select("location_code", "pos", hit.alias("hit"))
         .where(F.col("hit").isNotNull())
         .groupBy("location_code")
@@ -338,6 +338,7 @@ def apply_overrides(location_map: DataFrame, overrides: DataFrame) -> DataFrame:
 def unused_overrides(locations: DataFrame, overrides: DataFrame) -> DataFrame:
     """Overrides that name no known location."""
     known = with_keys(locations).select("norm_name", "norm_addr").distinct()
+    known = materialise(known, "known-places")
     keyed = overrides.withColumn("norm_name", norm_key(F.col("excel_customer"))).withColumn(
         "norm_addr", norm_key(F.col("excel_shipto"))
     )

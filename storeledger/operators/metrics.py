@@ -14,10 +14,25 @@ from storeledger.operators.cells import located
 from storeledger.operators.skus import variant_groups
 
 
-def month_list(cells: DataFrame) -> list[str]:
-    """Months with sales, in order. Two-digit years allow at most 1,200."""
+MOST_MONTHS = 1200  # a hundred years: each month is a column of the wide tables
+
+
+def _months_of(cells: DataFrame) -> list[str]:
     months = cells.where(F.col("yyyymm").isNotNull()).select("yyyymm").distinct()
-    return sorted(row["yyyymm"] for row in months.collect())
+    found = sorted(row["yyyymm"] for row in months.limit(MOST_MONTHS + 1).collect())
+    if len(found) > MOST_MONTHS:
+        raise ValueError(f"sales of more than {MOST_MONTHS} months, from {found[0]}")
+    return found
+
+
+def month_list(cells: DataFrame) -> list[str]:
+    """Months with sales, in order."""
+    return _months_of(cells)
+
+
+def sku_month_list(cells: DataFrame) -> list[str]:
+    """Months with sales of a SKU at a location: the columns of the SKU tables."""
+    return _months_of(located(cells).where(F.col("vendor_item").isNotNull()))
 
 
 def latest_month(cells: DataFrame) -> DataFrame:
@@ -112,8 +127,8 @@ def most_popular_sku(group_qty: DataFrame) -> DataFrame:
 
 
 def sku_sales_3m(cells: DataFrame, months: Sequence[str]) -> DataFrame:
-    """Average sales per (location, SKU) over the last three months that occur
-    in the data, whatever the report month is."""
+    """Average sales per (location, SKU) over the last three of ``months``, the
+    columns of the SKU tables, whatever the report month is."""
     last = sorted(months)[-3:]
     return (
         located(cells)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.config import Config
@@ -29,27 +31,51 @@ def canonical_description(sales: DataFrame) -> DataFrame:
     )
 
 
+class Variant(NamedTuple):
+    """A SKU key, the key of the group it counts in, and the text shown for that group."""
+
+    sku: str
+    group: str
+    shown: str
+
+
+def variant_table(config: Config) -> list[Variant]:
+    """One row per SKU listed in a group, and one per group for its own name.
+
+    A group shows its first listed SKU, one without a list its name. A value that
+    is no list lists nothing.
+    """
+    listed = {
+        group: tuple(skus) if isinstance(skus, list | tuple) else ()
+        for group, skus in config.sku_variant_groups.items()
+    }
+    return [
+        Variant(norm_key_text(sku), norm_key_text(group), next(iter(skus), group))
+        for group, skus in listed.items()
+        for sku in (*skus, group)
+    ]
+
+
 def variant_groups(df: DataFrame, config: Config) -> DataFrame:
     """Add ``sku_group``, the key of a SKU's variant group or the SKU's own key,
-    and ``sku_display``, the text shown for that group."""
-    group_of: dict[str, str] = {}
-    shown: dict[str, str] = {}
-    for group, variants in config.sku_variant_groups.items():
-        key = norm_key_text(group)
-        members = list(variants or [])
-        shown[key] = members[0] if members else group
-        group_of |= {norm_key_text(member): key for member in members}
-        group_of[key] = key
+    and ``sku_display``, the text shown for that group. Of groups that list the
+    same SKU the last one counts."""
     own = norm_key(F.col("vendor_item"))
-    if not group_of:
+    table = variant_table(config)
+    if not table:
         return df.withColumn("sku_group", own).withColumn("sku_display", own)
+    groups = _literal_map({row.sku: row.group for row in table})
+    shown = _literal_map({row.group: row.shown for row in table})
+    return df.withColumn(
+        "sku_group", F.coalesce(F.try_element_at(groups, own), own)
+    ).withColumn(
+        "sku_display", F.coalesce(F.try_element_at(shown, F.col("sku_group")), F.col("sku_group"))
+    )
 
-    def mapped(entries: dict[str, str], key):
-        literal = F.create_map(*[F.lit(part) for item in entries.items() for part in item])
-        return F.coalesce(F.try_element_at(literal, key), key)
 
-    return df.withColumn("sku_group", mapped(group_of, own)).withColumn(
-        "sku_display", mapped(shown, F.col("sku_group"))
+def _literal_map(pairs: dict[str, str]) -> Column:
+    return F.map_from_arrays(
+        F.array(*map(F.lit, pairs)), F.array(*map(F.lit, pairs.values()))
     )
 
 

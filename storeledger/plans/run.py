@@ -14,13 +14,16 @@ from storeledger.operators import payloads as forms
 from storeledger.operators.cells import FULL_GRAIN, sales_cells
 from storeledger.operators.locations import location_ref, one_per_location
 from storeledger.operators.matching import apply_overrides, location_map, unmapped_locations
-from storeledger.operators.metrics import Period, month_list, period, sku_sales_3m
+from storeledger.operators.metrics import (
+    Period, month_list, period, sku_month_list, sku_sales_3m,
+)
 from storeledger.operators.payloads import form_fields, form_payloads
 from storeledger.operators.skus import apply_sku_aliases, canonical_description
 from storeledger.operators.targets import (
     resolve_targets, sku_lines, target_skus, target_units, with_sku_sales,
 )
 from storeledger.plans import views
+from storeledger.sources.customers import read_location_map
 from storeledger.staging import materialise
 
 
@@ -41,12 +44,12 @@ class Run:
 
     def sales_by_sku_location_month(self) -> DataFrame:
         return views.sales_by_sku_location_month(
-            self.cells, self.descriptions, self.location_map, self.months
+            self.cells, self.descriptions, self.location_map, self.sku_months
         )
 
     def qty_by_sku_location_month(self) -> DataFrame:
         return views.qty_by_sku_location_month(
-            self.cells, self.descriptions, self.location_map, self.months
+            self.cells, self.descriptions, self.location_map, self.sku_months
         )
 
     def location_snapshot(self) -> DataFrame:
@@ -58,7 +61,11 @@ class Run:
         )
 
     def sku_sales_3m(self) -> DataFrame:
-        return sku_sales_3m(self.cells, self.months)
+        return sku_sales_3m(self.cells, self.sku_months)
+
+    @cached_property
+    def sku_months(self) -> tuple[str, ...]:
+        return tuple(sku_month_list(self.cells))
 
     def views(self) -> dict[str, DataFrame]:
         """All five report tables, unevaluated."""
@@ -76,20 +83,18 @@ def run(
     crm: DataFrame | None,
     config: Config,
     saved_map: DataFrame | None = None,
-    chains: DataFrame | None = None,
     overrides: DataFrame | None = None,
     sku_aliases: DataFrame | None = None,
     grain: Sequence[str] = FULL_GRAIN,
 ) -> Run:
     """Prepare a run over the tagged, standardised union of all sources.
 
-    The sales are read once, and the chains' location codes once more, from
-    ``chains`` if that frame of the chains' sales is given. The location map is built unless one is given;
+    The sales are read once. The location map is built unless one is given;
     customers set by hand in ``overrides`` win over matched ones. SKUs named in
     ``sku_aliases`` are renamed. A coarser ``grain`` does for a run that makes
     some of the reports only.
     """
-    cells = sales_cells(sales, grain, chains)
+    cells = sales_cells(sales, grain)
     if sku_aliases is not None:
         cells = apply_sku_aliases(cells, sku_aliases)
     if saved_map is None:
@@ -106,15 +111,23 @@ def run(
 def saved_or_built(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], reuse: bool = True
 ) -> DataFrame:
-    """The location map saved at ``path``, or a new one that is saved there."""
+    """The location map saved at ``path``, or a new one that is saved there.
+
+    A path that ends in ``.csv`` holds a table to edit by hand.
+    """
+    text = path.rstrip("/").endswith(".csv")
+
+    def saved() -> DataFrame:
+        return read_location_map(spark, path) if text else spark.read.parquet(path)
+
     if reuse:
         try:
-            return spark.read.parquet(path)
+            return saved()
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
     write_location_map(build(), path)
-    return spark.read.parquet(path)
+    return saved()
 
 
 @dataclass(frozen=True)
@@ -167,8 +180,13 @@ def write_views(tables: dict[str, DataFrame], folder: str) -> None:
 def write_location_map(mapped: DataFrame, path: str, unmapped_path: str | None = None) -> int:
     """Write the map and, if there are any, the unmapped locations. Returns how
     many are unmapped."""
-    mapped.write.mode("overwrite").parquet(path)
-    unmapped = unmapped_locations(mapped.sparkSession.read.parquet(path))
+    mapped = materialise(mapped, "location-map")
+    writer = mapped.write.mode("overwrite")
+    if path.rstrip("/").endswith(".csv"):
+        writer.option("header", True).csv(path)
+    else:
+        writer.parquet(path)
+    unmapped = unmapped_locations(mapped)
     count = unmapped.count()
     if count and unmapped_path:
         unmapped.write.mode("overwrite").option("header", True).csv(unmapped_path)

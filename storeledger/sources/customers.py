@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storeledger.functions.text import clean_id, norm_key, numeric_id, strip
+from storeledger.sources.titled import check_columns, read_titled, with_order
 from storeledger.staging import materialise
 
 # --- Fixed values: columns of the CRM export and the names used here ---
@@ -53,23 +54,37 @@ def crm_ref(export: DataFrame) -> DataFrame:
     )
 
 
-def read_crm(spark: SparkSession, path: str) -> DataFrame:
+def read_crm(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    """CRM export with its title block, or a Parquet table. Rows keep the order of the file."""
     if path.rstrip("/").endswith(".parquet"):
-        export = spark.read.parquet(path)
-    else:
-        export = spark.read.csv(path, header=True, multiLine=True)
-    return materialise(crm_ref(export), "crm")
-
-
-def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV read with given types, never inferred, so ids keep their text."""
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True)
+        return materialise(crm_ref(spark.read.parquet(path)), "crm")
+    export = read_titled(spark, path, tuple(CRM_COLUMNS), strip, multi_line=multi_line)
+    return materialise(crm_ref(with_order(export, "ref_ord")), "crm")
+
+
+def read_typed_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str, *, multi_line: bool = True
+) -> DataFrame:
+    """CSV read by column name with given types, never inferred, so ids keep their text."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    raw = spark.read.csv(path, header=True, multiLine=multi_line)
+    check_columns(raw, schema.names)
+    return raw.select(
+        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
 
 
-def check_columns(df: DataFrame, required: Sequence[str]) -> None:
-    missing = sorted(set(required) - set(df.columns))
-    if missing:
-        raise ValueError(f"missing columns: {', '.join(missing)}")
+def read_location_map(spark: SparkSession, path: str) -> DataFrame:
+    """A saved location map as CSV, edited by hand: of rows with the same code the first one."""
+    columns = (
+        "location_code", "chain", "customer_name", "address", "city", "state", "zip",
+        "crm_customer_id", "crm_customer_name",
+    )
+    rows = with_order(read_titled(spark, path, columns, strip), "map_ord")
+    first = F.min(F.struct("map_ord", *columns)).alias("first")
+    kept = rows.where(F.col("location_code").isNotNull()).groupBy("location_code").agg(first)
+    return kept.select(*[F.col(f"first.{c}") for c in columns])
 
 
 def targets(raw: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame:
@@ -83,7 +98,9 @@ def targets(raw: DataFrame, names: Mapping[str, str] | None = None) -> DataFrame
     listed = listed.withColumnsRenamed(renamed)
     check_columns(listed, TARGET_REQUIRED)
     if "target_ord" not in listed.columns:
-        listed = listed.withColumn("target_ord", F.monotonically_increasing_id())
+        # numbered once: a second scan could number the rows in another way
+        numbered = listed.withColumn("target_ord", F.monotonically_increasing_id())
+        listed = materialise(numbered, "targets")
     location = strip(F.col("location_code")) if "location_code" in listed.columns else F.lit("")
     return listed.select(
         F.col("target_ord").cast("bigint").alias("target_ord"),

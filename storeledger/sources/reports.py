@@ -6,21 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from storeledger.config import CHAIN_A, CHAIN_B, DISTRIBUTOR
 from storeledger.functions.numbers import to_number
 from storeledger.functions.text import normalize_header
 from storeledger.operators.standardize import filter_detail, normalize_columns, standardize
 from storeledger.operators.unify import unify
-from storeledger.staging import materialise
+from storeledger.sources.titled import check_columns, read_titled
 
 REPORT_COLUMNS = (
     "vendor_item", "item_description", "invoice", "invoice_date", "customer", "location",
     "customer_name", "address1", "address2", "city", "state", "zipcode", "ship_qty",
     "net_price", "total", "record_type",
 )
-_HEADER_MATCHES = 3  # known names that make a row the header
 
 
 def read_reports(
@@ -29,84 +27,47 @@ def read_reports(
     *,
     details_only: bool = True,
     multi_line: bool = True,
-    max_columns: int = 64,
+    required: Sequence[str] = ("customer", "invoice_date"),
 ) -> DataFrame:
     """Read report files that open with a title block, as text columns.
 
-    The header is the first row of a file that names known columns, so files
-    may differ in titles and column order; unknown columns are left out and
-    absent ones are null. ``sourcefile`` holds the file name.
-
-    Header cells with line breaks need ``multi_line``, which makes a file one
-    task. Without such cells pass False and large files are split.
+    ``sourcefile`` holds the file name. Header cells with line breaks need
+    ``multi_line``, which makes a file one task; without such cells pass False
+    and large files are split.
     """
-    cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max_columns)])
-    rows = (
-        spark.read.schema(cells)
-        .option("multiLine", multi_line)
-        .csv(path if isinstance(path, str) else list(path))
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_name").alias("sourcefile"),
-            # blocks of a file are read in any order, the rows of a block in file order
-            F.struct(
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias("at"),
-            F.array(*cells.names).alias("cells"),
-        )
-    )
-    names = F.transform("cells", lambda cell: normalize_header(F.coalesce(cell, F.lit(""))))
-    known = F.array(*map(F.lit, REPORT_COLUMNS))
-    headers = (
-        rows.select("file", "at", names.alias("names"))
-        .where(F.size(F.array_intersect("names", known)) >= _HEADER_MATCHES)
-        .groupBy("file")
-        .agg(F.min(F.struct("at", "names")).alias("header"))
-        .select("file", "header.at", "header.names")
-        .select("file", F.col("at").alias("header_at"), "names")
-    )
-    if not files_found(spark, rows):
-        raise FileNotFoundError(f"no report files at {path}")
-    headers = materialise(headers, "report-headers")
-    body = rows.join(headers, "file").where(F.col("at") > F.col("header_at"))
-    report = body.select(
-        "sourcefile",
-        F.array_contains("names", "record_type").alias("typed"),
-        *[
-            F.get("cells", F.array_position("names", F.lit(name)).cast("int") - 1).alias(name)
-            for name in REPORT_COLUMNS
-        ],
+    found = read_titled(
+        spark, path, REPORT_COLUMNS, normalize_header, required=required, multi_line=multi_line
     )
     if details_only:
-        report = report.where(
-            ~F.col("typed") | (to_number(F.col("record_type")) == 1)
-        )
-    return report.drop("typed")
+        typed = F.array_contains("names", "record_type")
+        found = found.where(~typed | (to_number(F.col("record_type")) == 1))
+    return found.select("sourcefile", *REPORT_COLUMNS)
 
 
-def files_found(spark: SparkSession, rows: DataFrame) -> bool:
-    return len(rows.inputFiles()) > 0
+def read_table(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    """Read a table with its header on the first row, or a Parquet table.
 
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table with its header on the first row, or a Parquet table."""
+    Without line breaks in cells pass ``multi_line=False``, and files are split.
+    """
     if path.rstrip("/").endswith(".parquet"):
         raw = spark.read.parquet(path)
     else:
-        raw = spark.read.csv(path, header=True, multiLine=True)
+        raw = spark.read.csv(path, header=True, multiLine=multi_line)
     return normalize_columns(raw)
 
 
 def distributor_sales(raw: DataFrame) -> DataFrame:
+    check_columns(raw, ("customer", "invoice_date"))
     return standardize(filter_detail(raw), DISTRIBUTOR, "customer")
 
 
 def chain_a_sales(raw: DataFrame) -> DataFrame:
+    check_columns(raw, ("location", "invoice_date"))
     return standardize(filter_detail(raw), CHAIN_A, "location")
 
 
 def chain_b_sales(raw: DataFrame) -> DataFrame:
+    check_columns(raw, ("location", "invoice_date"))
     return standardize(filter_detail(raw), CHAIN_B, "location")
 
 

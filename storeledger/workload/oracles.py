@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from storeledger.config import STANDARD_COLUMNS
 from storeledger.functions.months import months_back
-from storeledger.workload.star import CONFIG
+from storeledger.workload.star import CONFIG, FEE_MONTH
 
 MONTHS = months_back("2001-08", 80)  # every month with orders, 1995-01 to 2001-08
+SKU_MONTHS = [m for m in MONTHS if m != FEE_MONTH]
 R = CONFIG.report_month
 W3, W6 = (", ".join(f"'{m}'" for m in months_back(R, n)) for n in (3, 6))
 
@@ -73,14 +74,15 @@ line AS (
     CAST(CASE WHEN CAST(l_tax AS DECIMAL(4,2)) = 0.08 THEN -l_quantity ELSE l_quantity END
       AS DECIMAL(12,2)) AS units,
     CASE l_returnflag WHEN 'R' THEN '2' WHEN 'A' THEN '1.0' ELSE '1' END AS record_type,
-    strftime(o_orderdate, '%m/%d/%y') AS invoice_text
+    strftime(o_orderdate, '%m/%d/%y') AS invoice_text,
+    CASE WHEN strftime(o_orderdate, '%Y-%m') <> '{FEE_MONTH}' THEN p_name END AS sku
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   JOIN buyers ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey),
 tagged AS (
   SELECT 'distributor' AS source, * FROM line
   UNION ALL SELECT chain, * FROM line WHERE chain IS NOT NULL),
 std AS (
-  SELECT source, p_name AS vendor_item, p_name || ' ' || p_type AS item_description,
+  SELECT source, sku AS vendor_item, sku || ' ' || p_type AS item_description,
     c_name AS location_code,
     CASE WHEN source <> 'distributor' THEN brand || ' ' || street_no || ' ' || n_name
          WHEN r_name = 'MIDDLE EAST' THEN c_name || ' Annex' ELSE c_name END AS customer_name,
@@ -218,7 +220,7 @@ descr AS (
   SELECT vendor_item, item_description FROM (
     SELECT vendor_item, item_description, row_number() OVER (
       PARTITION BY vendor_item ORDER BY length(item_description) DESC, item_description) AS rn
-    FROM (SELECT DISTINCT vendor_item, item_description FROM sales))
+    FROM (SELECT DISTINCT vendor_item, item_description FROM sales WHERE vendor_item IS NOT NULL))
   WHERE rn = 1),
 active AS (
   SELECT greatest(count(DISTINCT CASE WHEN yyyymm IN ({W3}) THEN yyyymm END), 1) AS n3,
@@ -274,12 +276,12 @@ topskus AS (
           ORDER BY qty_3m_total DESC, vendor_item) AS sku_rank FROM skuqty) q
   LEFT JOIN descr USING (vendor_item) LEFT JOIN locmap USING (location_code)
   WHERE sku_rank <= 10),
-last3 AS (SELECT DISTINCT yyyymm FROM sales ORDER BY yyyymm DESC LIMIT 3),
+last3 AS (SELECT DISTINCT yyyymm FROM sales WHERE vendor_item IS NOT NULL ORDER BY yyyymm DESC LIMIT 3),
 skusales AS (
   SELECT location_code, vendor_item,
     CAST(coalesce(sum(total) FILTER (yyyymm IN (SELECT yyyymm FROM last3)), 0) AS DOUBLE)
       / (SELECT count(*) FROM last3) AS avg_sales_3m
-  FROM sales GROUP BY location_code, vendor_item)"""
+  FROM sales WHERE vendor_item IS NOT NULL GROUP BY location_code, vendor_item)"""
 
 TARGETS = f"""
 targets AS (
@@ -377,10 +379,10 @@ STD15 = ", ".join(
 )
 
 
-def wide(value: str) -> str:
+def wide(value: str, months=MONTHS) -> str:
     return ", ".join(
         f"CAST(coalesce(sum({value}) FILTER (yyyymm = '{m}'), 0) AS DOUBLE) AS \"{m}\""
-        for m in MONTHS
+        for m in months
     )
 
 
@@ -388,8 +390,8 @@ def wide_skus(value: str) -> str:
     return sql(
         f"SELECT location_code, chain, crm_customer_id, vendor_item, item_description,"
         f" w.* EXCLUDE (location_code, vendor_item)"
-        f" FROM (SELECT location_code, vendor_item, {wide(value)} FROM sales"
-        f" GROUP BY location_code, vendor_item) w"
+        f" FROM (SELECT location_code, vendor_item, {wide(value, SKU_MONTHS)} FROM sales"
+        f" WHERE vendor_item IS NOT NULL GROUP BY location_code, vendor_item) w"
         f" LEFT JOIN descr USING (vendor_item) LEFT JOIN locmap USING (location_code)",
         *LOCATED, METRICS,
     )
@@ -416,8 +418,12 @@ def oracle_sql() -> dict[str, str]:
     key_numbers = f"array_to_string({numbers('match_key')}, ',')"
     return {
         "scan_reports": sql(
-            """SELECT p_name AS vendor_item, p_name || ' ' || p_type AS item_description,
+            """SELECT 'distributor_' || strftime(o_orderdate, '%Y-%m') || '_' || o_orderkey % 2
+                   || '.csv' AS sourcefile,
+                 sku AS vendor_item, sku || ' ' || p_type AS item_description,
                  CAST(o_orderkey AS VARCHAR) AS invoice, invoice_text AS invoice_date,
+                 c_name AS customer, n_name AS city,
+                 CASE WHEN r_name <> 'ASIA' THEN r_name END AS state,
                  CASE WHEN r_name = 'MIDDLE EAST' THEN c_name || ' Annex' ELSE c_name END
                    AS customer_name,
                  street AS address1,
@@ -431,7 +437,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "scan_chain_a": sql(f"SELECT {STD15} FROM std WHERE source = 'chain_a'"),
         "scan_chain_b": sql(f"SELECT {STD15} FROM std WHERE source = 'chain_b'"),
-        "crm_ref": sql("SELECT * FROM crm", CRM),
+        "crm_ref": sql(
+            "SELECT * REPLACE (row_number() OVER (ORDER BY ref_ord % 2, ref_ord) - 1 AS ref_ord)"
+            " FROM crm",
+            CRM,
+        ),
         "scan_typed_csv": sql("SELECT * FROM overrides", OVERRIDES),
         "targets": sql("SELECT * FROM targets", TARGETS),
         "normalize_header": """SELECT p_partkey, lower(trim(regexp_replace(
@@ -490,8 +500,8 @@ def oracle_sql() -> dict[str, str]:
                     (SELECT count(*) AS a FROM sales WHERE source = 'distributor')"""
         ),
         "file_row_counts": sql(
-            """SELECT 'distributor_' || strftime(o_orderdate, '%Y-%m') || '.csv' AS sourcefile,
-                 count(*) AS rows FROM line WHERE l_returnflag <> 'R' GROUP BY 1"""
+            """SELECT 'distributor_' || strftime(o_orderdate, '%Y-%m') || '_' || o_orderkey % 2
+                 || '.csv' AS sourcefile, count(*) AS rows FROM line WHERE l_returnflag <> 'R' GROUP BY 1"""
         ),
         "distinct_locations": sql("SELECT DISTINCT location_code FROM sales"),
         "run_profile": sql(
@@ -578,11 +588,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "sales_by_sku_location_month_long": sql(
             """SELECT location_code, vendor_item, yyyymm, CAST(sum(total) AS DOUBLE) AS total
-               FROM sales GROUP BY location_code, vendor_item, yyyymm"""
+               FROM sales WHERE vendor_item IS NOT NULL
+               GROUP BY location_code, vendor_item, yyyymm"""
         ),
         "qty_by_sku_location_month_long": sql(
             """SELECT location_code, vendor_item, yyyymm, CAST(sum(qty) AS DOUBLE) AS qty
-               FROM sales GROUP BY location_code, vendor_item, yyyymm"""
+               FROM sales WHERE vendor_item IS NOT NULL
+               GROUP BY location_code, vendor_item, yyyymm"""
         ),
         "enrich_locations": sql(
             """SELECT location_code, yyyymm, CAST(sum(total) AS DOUBLE) AS total,
@@ -658,4 +670,37 @@ def oracle_sql() -> dict[str, str]:
                FROM payloads p JOIN resolved r USING (target_ord)""",
             *TARGETED,
         ),
+        "written_report_tables": sql(
+            f"""SELECT 'location_snapshot' AS table_name, count(*) AS rows,
+                  count(DISTINCT location_code) AS locations,
+                  CAST(sum(CAST(last_month_total AS DECIMAL(28,4))) AS DOUBLE) AS month_total
+                FROM snapshot
+                UNION ALL SELECT 'top_skus', count(*), count(DISTINCT location_code),
+                  CAST(sum(CAST(last_month_qty AS DECIMAL(28,4))) AS DOUBLE) FROM topskus
+                UNION ALL SELECT 'sales_by_location_month', count(DISTINCT location_code),
+                  count(DISTINCT location_code),
+                  CAST(coalesce(sum(total) FILTER (yyyymm = '{R}'), 0) AS DOUBLE) FROM sales
+                UNION ALL SELECT name, count(DISTINCT (location_code, vendor_item)),
+                  count(DISTINCT location_code),
+                  CAST(coalesce(sum(CASE name WHEN 'qty_by_sku_location_month' THEN qty
+                    ELSE total END) FILTER (yyyymm = '{R}'), 0) AS DOUBLE)
+                FROM sales, (VALUES ('sales_by_sku_location_month'),
+                                    ('qty_by_sku_location_month')) AS t(name)
+                WHERE vendor_item IS NOT NULL GROUP BY name""",
+            *REPORTED,
+        ),
+        "written_location_map": sql(
+            """SELECT location_code, chain, coalesce(customer_name, '') AS customer_name,
+                 coalesce(address, '') AS address, coalesce(city, '') AS city,
+                 coalesce(state, '') AS state, coalesce(zip, '') AS zip,
+                 crm_customer_id, crm_customer_name FROM locmap""",
+            *LOCATED,
+        ),
+        "written_unmapped_locations": sql(
+            "SELECT location_code, chain FROM locmap WHERE crm_customer_id = ''", *LOCATED
+        ),
+        "written_payloads": sql(
+            "SELECT count(*) AS forms FROM payloads p JOIN resolved r USING (target_ord)",
+            *TARGETED,
+        ),
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def as_double(df: DataFrame, *names: str) -> DataFrame:
 
 def _cells(spark, sf, grain=cell_ops.SKU_GRAIN) -> DataFrame:
     sales = star.tagged_sales(spark, sf, "vendor_item" in grain)
-    return cell_ops.sales_cells(sales, grain, star.chain_sales(spark, sf))
+    return cell_ops.sales_cells(sales, grain)
 
 
 def _period(cells: DataFrame) -> metrics.Period:
@@ -52,8 +53,7 @@ def _period(cells: DataFrame) -> metrics.Period:
 
 def _run(spark, sf, grain=cell_ops.FULL_GRAIN) -> runs.Run:
     sales = star.tagged_sales(spark, sf, "vendor_item" in grain)
-    chains = star.chain_sales(spark, sf)
-    return runs.run(sales, star.crm(spark, sf), CONFIG, chains=chains, grain=grain)
+    return runs.run(sales, star.crm(spark, sf), CONFIG, grain=grain)
 
 
 def _forms(spark, sf) -> runs.Forms:
@@ -84,24 +84,30 @@ def _matched(hits: DataFrame, crm: DataFrame) -> DataFrame:
 # --- Scans --------------------------------------------------------------------
 
 
+def _read_reports(spark, sf) -> DataFrame:
+    raw = star.report_lines(spark, sf, (DISTRIBUTOR,))
+    path = report_files.write_title_block_reports(raw, staging_path(spark, "reports"))
+    return reports.read_reports(spark, path, multi_line=False)
+
+
 @query
 def scan_reports(spark, sf):
-    raw = star.report_lines(spark, sf, (DISTRIBUTOR,))
-    rows = star.table(spark, sf, "lineitem").count()
-    path = report_files.write_title_block_reports(raw, staging_path(spark, "reports"), rows)
-    scanned = reports.read_reports(spark, path)
     return as_double(
-        scanned.select(
-            "vendor_item", "item_description", text.strip(F.col("invoice")).alias("invoice"),
-            "invoice_date", "customer_name", "address1", "address2", "zipcode", "ship_qty",
-            "net_price", "total", "record_type",
+        _read_reports(spark, sf).select(
+            "sourcefile", "vendor_item", "item_description",
+            text.strip(F.col("invoice")).alias("invoice"), "invoice_date",
+            text.strip(F.col("customer")).alias("customer"), "customer_name", "address1",
+            "address2", "city", "state", "zipcode", "ship_qty", "net_price", "total",
+            "record_type",
         ),
         "ship_qty", "total",
     )
 
 
 def _scan_chain(spark, sf, source, standard) -> DataFrame:
-    sales = standard(star.report_lines(spark, sf, (source,)))
+    raw = star.report_lines(spark, sf, (source,)).drop("source", "sourcefile")
+    path = report_files.write_table(raw, staging_path(spark, "chain"))
+    sales = standard(reports.read_table(spark, path, multi_line=False))
     return as_double(sales, "qty", "unit_price", "total")
 
 
@@ -117,15 +123,17 @@ def scan_chain_b(spark, sf):
 
 @query
 def crm_ref(spark, sf):
-    return star.crm(spark, sf)
+    export = star.crm_export(spark, sf)
+    path = report_files.write_titled_export(export, "ref_ord", staging_path(spark, "crm-export"))
+    return customers.read_crm(spark, path, multi_line=False)
 
 
 @query
 def scan_typed_csv(spark, sf):
     path = staging_path(spark, "overrides")
     table = star.overrides(spark, sf)
-    table.write.option("header", True).csv(path)
-    return customers.read_typed_csv(spark, path, table.schema)
+    table.select(*reversed(table.columns)).write.option("header", True).csv(path)
+    return customers.read_typed_csv(spark, path, table.schema, multi_line=False)
 
 
 @query
@@ -282,8 +290,7 @@ def dedup_audit(spark, sf):
 
 @query
 def file_row_counts(spark, sf):
-    raw = star.report_lines(spark, sf, (DISTRIBUTOR,), items=False)
-    return reports.file_row_counts(filter_detail(raw))
+    return reports.file_row_counts(_read_reports(spark, sf))
 
 
 @query
@@ -400,7 +407,7 @@ def most_popular_sku(spark, sf):
 @query
 def sku_sales_3m(spark, sf):
     cells = _cells(spark, sf)
-    return metrics.sku_sales_3m(cells, metrics.month_list(cells))
+    return metrics.sku_sales_3m(cells, metrics.sku_month_list(cells))
 
 
 # --- Locations and matching ---------------------------------------------------
@@ -617,3 +624,64 @@ def form_payloads(spark, sf):
 @query
 def form_xml(spark, sf):
     return payloads.form_xml(_forms(spark, sf).payloads)
+
+
+# --- Sinks, written and read back ---------------------------------------------
+
+
+def _written_views(spark, sf) -> str:
+    folder = staging_path(spark, "report-tables")
+    runs.write_views(_run(spark, sf).views(), folder)
+    return folder
+
+
+@query
+def written_report_tables(spark, sf):
+    """Rows and sums of all five report tables, as written."""
+    folder = _written_views(spark, sf)
+    parts = []
+    for name in ("location_snapshot", "top_skus"):
+        measure = "last_month_total" if name == "location_snapshot" else "last_month_qty"
+        table = spark.read.parquet(f"{folder}/{name}")
+        parts.append((name, table, F.sum(F.col(measure).cast("decimal(28,4)"))))
+    for name in (
+        "sales_by_location_month", "sales_by_sku_location_month", "qty_by_sku_location_month"
+    ):
+        table = spark.read.csv(f"{folder}/{name}", header=True)
+        month = F.col(f"`{CONFIG.report_month}`").cast("decimal(28,4)")
+        parts.append((name, table, F.sum(month)))
+    summed = [
+        table.agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("rows"),
+            F.countDistinct("location_code").alias("locations"),
+            total.cast("double").alias("month_total"),
+        )
+        for name, table, total in parts
+    ]
+    return reduce(DataFrame.unionByName, summed)
+
+
+@query
+def written_location_map(spark, sf):
+    """The map saved as a table to edit by hand, and read again in place of a new one."""
+    path = staging_path(spark, "location-map") + ".csv"
+    runs.saved_or_built(spark, path, lambda: location_map(spark, sf))
+    saved = runs.saved_or_built(spark, path, lambda: location_map(spark, sf))
+    # text files do not tell empty from missing
+    return saved.withColumns({c: F.coalesce(c, F.lit("")) for c in saved.columns})
+
+
+@query
+def written_unmapped_locations(spark, sf):
+    path = staging_path(spark, "location-map")
+    runs.write_location_map(location_map(spark, sf), path, f"{path}-unmapped")
+    return spark.read.csv(f"{path}-unmapped", header=True).select("location_code", "chain")
+
+
+@query
+def written_payloads(spark, sf):
+    """Payloads written as XML and read back."""
+    path = staging_path(spark, "payloads")
+    runs.write_payloads(_forms(spark, sf).payloads, path)
+    read = spark.read.format("xml").option("rowTag", "form").load(path)
+    return read.agg(F.count("*").alias("forms"))

@@ -1,43 +1,81 @@
-"""Distributor reports as text files with a title block, to read back."""
+"""Distributor and chain reports as text files, to read back."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.sources.reports import REPORT_COLUMNS
 
-_ROWS_PER_SLICE = 5_000_000
+SLICES = 2  # files of a month
 # four title rows, then header cells as the report prints them
 _TITLE = ("Monthly sales report", "", "Printed for,internal use", "")
+_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def _header(names: list[str]) -> str:
-    cells = ['"' + " ".join(n.capitalize() for n in name.split("_")) + '"' for name in names]
-    return ",".join(cells).replace(" ", "\n")
-
-
-def write_title_block_reports(raw: DataFrame, path: str, row_count: int) -> str:
-    """One file per month and slice; more rows make more slices."""
+def write_title_block_reports(raw: DataFrame, path: str) -> str:
+    """A file ``distributor_<month>_<slice>.csv`` per month and slice of the invoices."""
     names = [name for name in REPORT_COLUMNS if name != "location"]
-    keep_blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    month = F.regexp_replace("sourcefile", "[^0-9-]", "")
+    header = ",".join(" ".join(n.capitalize() for n in name.split("_")) for name in names)
     lines = raw.select(
-        month.alias("month"),
-        F.xxhash64(*names).alias("spread"),
-        F.to_csv(F.struct(*names), keep_blanks).alias("value"),
+        F.regexp_replace("sourcefile", "[^0-9-]", "").alias("month"),
+        (F.btrim("invoice").cast("bigint") % SLICES).cast("int").alias("slice"),
+        F.lit(1).alias("place"),
+        F.to_csv(F.struct(*names), _KEEP_BLANKS).alias("value"),
+    )
+    title = F.lit("\n".join((*_TITLE, header)))
+    titles = lines.select("month", "slice").distinct().select(
+        "month", "slice", F.lit(0).alias("place"), title.alias("value")
     )
-    slices = 1 + row_count // _ROWS_PER_SLICE
-    title = "".join(f"{row}\n" for row in (*_TITLE, _header(names)))
-    file_order = Window.partitionBy("month", "slice").orderBy("value")
-    first = F.row_number().over(file_order) == 1
     (
-        lines.withColumn("slice", F.pmod("spread", F.lit(slices)).cast("int"))
-        .withColumn("first", first)
-        .withColumn("value", F.when(F.col("first"), F.concat(F.lit(title), "value"))
-                    .otherwise(F.col("value")))
+        titles.unionByName(lines)
+        .repartition("month", "slice")
+        .sortWithinPartitions("month", "slice", "place")
         .select("month", "slice", "value")
         .write.partitionBy("month", "slice")
         .text(path)
     )
-    return f"{path}/*/*"
+    _name_files(raw.sparkSession, path)
+    return f"{path}/named/*.csv"
+
+
+def write_titled_export(table: DataFrame, order: str, path: str) -> str:
+    """Two files with a title block, each in order, with the columns the other way round."""
+    names = [f"`{c}`" for c in reversed(table.columns) if c != order]
+    lines = table.select(
+        (F.col(order) % SLICES).cast("int").alias("slice"), F.col(order).alias("place"),
+        F.to_csv(F.struct(*names), _KEEP_BLANKS).alias("value"),
+    )
+    header = ",".join(name.strip("`") for name in names)
+    titles = lines.select("slice").distinct().select(
+        "slice", F.lit(None).cast("bigint").alias("place"),
+        F.lit("\n".join(("Customers", "", "Exported for,somebody", "", header))).alias("value"),
+    )
+    (
+        titles.unionByName(lines.withColumn("place", F.col("place").cast("bigint")))
+        .repartition("slice")
+        .sortWithinPartitions("slice", F.col("place").asc_nulls_first())
+        .select("slice", "value")
+        .write.partitionBy("slice")
+        .text(path)
+    )
+    return f"{path}/slice=*"
+
+
+def _name_files(spark, path: str) -> None:
+    """Call each file by its month and slice, as a report is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop.Path(f"{path}/named"))
+    for found in files.globStatus(hadoop.Path(f"{path}/month=*/slice=*/part-*")):
+        part = found.getPath()
+        piece, month = part.getParent().getName(), part.getParent().getParent().getName()
+        name = f"distributor_{month.split('=')[1]}_{piece.split('=')[1]}.csv"
+        files.rename(part, hadoop.Path(f"{path}/named/{name}"))
+
+
+def write_table(raw: DataFrame, path: str) -> str:
+    """A table with its header on the first row of every file."""
+    raw.write.option("header", True).options(**_KEEP_BLANKS).csv(path)
+    return path

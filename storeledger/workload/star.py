@@ -9,11 +9,8 @@ matching rule has work to do. ``oracles.py`` states the same in SQL.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from storeledger.config import CHAIN_A, CHAIN_B, DISTRIBUTOR, Config
 from storeledger.operators.standardize import filter_detail, standardize
@@ -30,17 +27,12 @@ CONFIG = Config(
 )
 
 SEGMENTS = {CHAIN_A: "AUTOMOBILE", CHAIN_B: "BUILDING"}
-
-
-@cache
-def _schema(path: str) -> StructType:
-    """Schema of a given table; these do not change, so it is looked up once."""
-    return SparkSession.active().read.parquet(path).schema
+FEE_MONTH = "2001-08"  # the last month with orders: its lines are fees and name no SKU
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(path)).parquet(path)
+    return spark.read.parquet(path)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,11 +111,12 @@ def report_lines(
         lines = lines.withColumns(
             {"p_name": F.lit(None).cast("string"), "p_type": F.lit(None).cast("string")}
         )
+    is_fee = F.col("sourcefile").contains(FEE_MONTH)
     return lines.select(
         "source", "sourcefile", "invoice", "invoice_date", "customer", "location",
         "customer_name", "address1", "address2", "city", "state", "zipcode",
-        F.col("p_name").alias("vendor_item"),
-        F.expr("concat(p_name, ' ', p_type)").alias("item_description"),
+        F.when(~is_fee, F.col("p_name")).alias("vendor_item"),
+        F.when(~is_fee, F.expr("concat(p_name, ' ', p_type)")).alias("item_description"),
         F.expr(
             "cast(case when cast(l_tax as decimal(4,2)) = 0.08 then -l_quantity"
             " else l_quantity end as decimal(12,2))"

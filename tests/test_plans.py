@@ -74,6 +74,6 @@ def test_chain_codes_do_not_read_the_distributor(no_broadcast, tmp_path):
 
 
 def test_chain_filter_reaches_the_scan(no_broadcast):
-    text = plan(q.registry()["scan_chain_a"](no_broadcast, SF))
+    text = plan(q.registry()["chain_codes"](no_broadcast, SF))
     pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]
     assert any("c_mktsegment" in line for line in pushed)

@@ -32,7 +32,7 @@ DISTRIBUTOR = [
     line("MOP", "Mop", "B2", "Lone Diner", "bad date", "1", "75"),
     line("MOP", "Mop", None, "Nobody", "10/06/25", "1", "20"),
 ]
-CHAIN_A = [line("SOAP", "Soap", "Q7", "LPQ 1270 FIRST AV", "10/07/25", "5", "500", address="x")]
+CHAIN_A = [line("SOAP", "Soap", "Q7", "LPQ 8431 LINDEN WY", "10/07/25", "5", "500", address="x")]
 CHAIN_B = [line("WAX", "Wax", "J9", "JOE 5 PARK", "08/01/25", "1", "10", address="x")]
 
 
@@ -40,7 +40,7 @@ CHAIN_B = [line("WAX", "Wax", "J9", "JOE 5 PARK", "08/01/25", "1", "10", address
 def done(spark):
     sales = all_sales(*[spark.createDataFrame(r, COLUMNS) for r in (DISTRIBUTOR, CHAIN_A, CHAIN_B)])
     crm = crm_ref(spark.createDataFrame(
-        [("ACME-EAST", "501.0", None, "9 Pine", 0), ("LPQ Bakery", "502", None, "1270 1st Ave", 1)],
+        [("ACME-EAST", "501.0", None, "9 Pine", 0), ("LPQ Bakery", "502", None, "8431 Linden Way", 1)],
         "`Customer Name` string, `Customer ID *` string, `Location Name` string,"
         " `Street Address 1 *` string, ref_ord bigint"))
     return run(sales, crm, Config())
@@ -51,7 +51,7 @@ def test_location_map(done):
         ("A1", "distributor", "Acme East", "1 Elm Street", "Town", "", "07001", "501", "ACME-EAST"),
         ("B2", "distributor", "Lone Diner", "1 Elm Street", "Town", "", "07001", "", ""),
         ("J9", "chain_b", "JOE 5 PARK", "x", "Town", "", "07001", "", ""),
-        ("Q7", "chain_a", "LPQ 1270 FIRST AV", "x", "Town", "", "07001", "502", "LPQ Bakery"),
+        ("Q7", "chain_a", "LPQ 8431 LINDEN WY", "x", "Town", "", "07001", "502", "LPQ Bakery"),
     ]
     assert tuple(quality.mapping_coverage(done.location_map).first()) == (4, 2, 2)
 
@@ -62,7 +62,7 @@ def test_all_five_tables(done):
         ("A1", "Acme East", "distributor", "501", "ACME-EAST", 1200.0, 630.5),
         ("B2", "Lone Diner", "distributor", "", "", 0.0, 0.0),
         ("J9", "JOE 5 PARK", "chain_b", "", "", 10.0, 0.0),
-        ("Q7", "LPQ 1270 FIRST AV", "chain_a", "502", "LPQ Bakery", 0.0, 500.0),
+        ("Q7", "LPQ 8431 LINDEN WY", "chain_a", "502", "LPQ Bakery", 0.0, 500.0),
     ]
     assert rows(tables["sales_by_sku_location_month"]) == [
         ("A1", "distributor", "501", "MOP", "Mop", 0.0, 30.0),

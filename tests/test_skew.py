@@ -64,7 +64,7 @@ def test_skewed_tables_give_whole_results(splitting, skewed, name):
     assert differences(query, connect(skewed), SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", ["unified_sales", "sku_alias"])
+@pytest.mark.parametrize("name", ["unified_sales", "sku_alias", "match_street_number"])
 def test_hot_keys_are_split(splitting, skewed, name):
     query = entry.queries()[name](splitting, skewed)
     query.collect()

@@ -14,19 +14,19 @@ JAN = '''Monthly report
 Item",Customer,"Ship
 Qty","Record
 Type","Customer
-Name",Total,Ignored
-K1, C1 ,2,1,"Ann, Inc",10.5,x
-K2,C2,3,2,* Item Total *,99,x
+Name",Total,Ignored,Invoice Date
+K1, C1 ,2,1,"Ann, Inc",10.5,x,
+K2,C2,3,2,* Item Total *,99,x,
 K3,C3,4,1.0,"two
-lines",1,x
+lines",1,x,
 '''
 FEB = '''Monthly report
-Total,Record Type,Customer,Vendor Item
-7,1,C1,K9
-8,,C1,K10
+Total,Record Type,Customer,Vendor Item,Invoice Date
+7,1,C1,K9,
+8,,C1,K10,
 '''
-PLAIN = '''Customer,Total,Vendor Item
-C4,5,K4
+PLAIN = '''Customer,Total,Vendor Item,Invoice Date
+C4,5,K4,
 '''
 
 
@@ -52,18 +52,58 @@ def test_all_rows_on_request(spark, folder):
 
 
 def test_split_files_find_the_same_rows(spark, tmp_path):
-    lines = "".join(f"{i},1,C{i % 7},K{i}\n" for i in range(20000))
-    (tmp_path / "big.csv").write_text("Title\nTotal,Record Type,Customer,Vendor Item\n" + lines)
+    lines = "".join(f"{i},1,C{i % 7},K{i},x\n" for i in range(20000))
+    (tmp_path / "big.csv").write_text(
+        "Title\nTotal,Record Type,Customer,Vendor Item,Invoice Date\n" + lines)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
     try:
         table = reports.read_reports(spark, str(tmp_path / "big.csv"), multi_line=False)
         assert table.rdd.getNumPartitions() > 3
         assert table.count() == 20000
         assert table.where("vendor_item = concat('K', total)").count() == 20000
+        chain = reports.read_table(spark, str(tmp_path / "big.csv"), multi_line=False)
+        assert chain.rdd.getNumPartitions() > 3
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_rows_do_not_depend_on_how_files_are_packed(spark, tmp_path):
+    for i in range(8):
+        body = "".join(f"{j},C{j},K{j},x\n" for j in range(375))
+        title = "Title\n" * (i + 1)
+        (tmp_path / f"{i}.csv").write_text(f"{title}Total,Customer,Vendor Item,Invoice Date\n{body}")
+    spark.conf.set("spark.sql.files.minPartitionNum", "8")
+    try:
+        table = reports.read_reports(spark, f"{tmp_path}/*.csv", multi_line=False)
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        assert table.count() == 3000
+        assert table.where("vendor_item = 'K0'").count() == 8
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_wide_files_keep_their_columns(spark, tmp_path):
+    fill = ",".join(f"x{i}" for i in range(70))
+    (tmp_path / "wide.csv").write_text(
+        f"Customer,Vendor Item,Invoice Date,{fill},Total\nC1,K1,x,{fill},12.5\n")
+    table = reports.read_reports(spark, str(tmp_path / "wide.csv"))
+    assert rows(table, "customer", "total") == [("C1", "12.5")]
+
+
+def test_missing_header_or_column_is_an_error(spark, frame, tmp_path):
+    (tmp_path / "good.csv").write_text("Customer,Vendor Item,Invoice Date\nC1,K1,x\n")
+    (tmp_path / "bad.csv").write_text("Some,Other,File\n1,2,3\n")
+    with pytest.raises(ValueError, match="no header row in .*bad.csv"):
+        reports.read_reports(spark, f"{tmp_path}/*.csv")
+    (tmp_path / "bad.csv").write_text("Customer,Vendor Item,Total\nC1,K1,x\n")
+    with pytest.raises(ValueError, match="no column invoice_date in .*bad.csv"):
+        reports.read_reports(spark, f"{tmp_path}/*.csv")
+    with pytest.raises(ValueError, match="location"):
+        reports.chain_a_sales(frame("invoice_date, total", [("x", "1")]))
+    with pytest.raises(ValueError, match="customer"):
+        reports.distributor_sales(frame("invoice_date, total", [("x", "1")]))
+
+
 def test_no_report_files(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|no report files"):
         reports.read_reports(spark, f"{tmp_path}/*.csv")
@@ -73,9 +113,10 @@ def test_no_report_files(spark, tmp_path):
 
 
 def test_tables_with_header_row(spark, tmp_path):
-    (tmp_path / "chain.csv").write_text('"Ship\nQty",Location,Record Type\n5,L1,1\n6,L2,2\n')
+    (tmp_path / "chain.csv").write_text(
+        '"Ship\nQty",Location,Record Type,Invoice Date\n5,L1,1,\n6,L2,2,\n')
     raw = reports.read_table(spark, str(tmp_path / "chain.csv"))
-    assert raw.columns == ["ship_qty", "location", "record_type"]
+    assert raw.columns == ["ship_qty", "location", "record_type", "invoice_date"]
     sales = reports.chain_a_sales(raw)
     assert [(r["location_code"], int(r["qty"])) for r in sales.collect()] == [("L1", 5)]
     raw.write.parquet(str(tmp_path / "chain.parquet"))
@@ -83,7 +124,8 @@ def test_tables_with_header_row(spark, tmp_path):
 
 
 def test_crm_file_keeps_its_order(spark, tmp_path):
-    body = "Customer Name,Customer ID *,Location Name,Street Address 1 *,Other\n"
+    body = "Customers\n\nExported,today\n"
+    body += "Customer Name,Customer ID *,Location Name,Street Address 1 *,Other\n"
     body += "Ann,007,,1 Elm,x\n,9,,2 Elm,x\nBob,x,Shop,3 Elm,x\n"
     (tmp_path / "crm.csv").write_text(body)
     crm = customers.read_crm(spark, str(tmp_path / "crm.csv"))
@@ -99,6 +141,22 @@ def test_ids_stay_text(spark, tmp_path):
     assert rows(table) == [("A,1", "00123")]
 
 
+def test_typed_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "map.csv").write_text("name,id\nAnn,007\n")
+    table = customers.read_typed_csv(spark, str(tmp_path / "map.csv"), "id string, name string")
+    assert rows(table) == [("007", "Ann")]
+    with pytest.raises(ValueError, match="city"):
+        customers.read_typed_csv(spark, str(tmp_path / "map.csv"), "id string, city string")
+
+
+def test_saved_text_map_keeps_the_first_row_of_a_code(spark, tmp_path):
+    path = tmp_path / "map.csv"
+    path.write_text("location_code,chain,crm_customer_id,crm_customer_name\n"
+                    "B,x,2,Two\nA,x,9,Corrected\nA,x,1,Old\n")
+    saved = runs.saved_or_built(spark, str(path), lambda: None)
+    assert rows(saved, "location_code", "crm_customer_id") == [("A", "9"), ("B", "2")]
+
+
 def test_saved_map_is_reused(spark, frame, tmp_path):
     path = str(tmp_path / "map")
     built = []

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from storeledger.config import Config
 from storeledger.operators import metrics, quality, skus, unify
+from storeledger.operators.skus import variant_groups
 from storeledger.operators.cells import FULL_GRAIN, sales_cells, sum_cells
 from storeledger.plans import views
 from tests.conftest import rows
@@ -84,6 +85,34 @@ def test_snapshot(cells, one_map):
         ("Tier 1", 1), ("Tier 2", 1), ("Tier 4", 1)]
 
 
+def test_group_without_a_list_stands_for_itself(frame):
+    df = frame("vendor_item", [("E69",), ("E",), ("E69 5",)])
+    grouped = variant_groups(df, Config(sku_variant_groups={"E69": "E69 5"}))
+    assert rows(grouped, "vendor_item", "sku_group", "sku_display") == [
+        ("E", "E", "E"), ("E69 5", "E69 5", "E69 5"), ("E69", "E69", "E69")]
+
+
+def test_last_group_that_lists_a_sku_counts(frame):
+    config = Config(sku_variant_groups={"A": ["x", "y"], "B": ["z", "x"], "C": []})
+    grouped = variant_groups(frame("vendor_item", [("x",), ("y",), ("b",), ("c",)]), config)
+    assert rows(grouped, "vendor_item", "sku_group", "sku_display") == [
+        ("b", "B", "z"), ("c", "C", "C"), ("x", "B", "z"), ("y", "A", "x")]
+
+
+def test_months_of_the_sku_tables_have_skus(spark):
+    columns = ("source string, location_code string, vendor_item string, item_description string,"
+               " yyyymm string, total decimal(28,8), qty decimal(28,8), lines long")
+    from decimal import Decimal as D
+    data = spark.createDataFrame(
+        [("distributor", "A", "S", "s", f"2025-0{m}", D(10 * m), D(1), 1) for m in (1, 2, 3)]
+        + [("distributor", "A", None, "fee", "2025-04", D(5), D(0), 1),
+           ("distributor", None, "S", "s", "2025-05", D(5), D(0), 1)], columns)
+    months = metrics.sku_month_list(data)
+    assert months == ["2025-01", "2025-02", "2025-03"]
+    assert metrics.month_list(data)[-1] == "2025-05"
+    assert [r.avg_sales_3m for r in metrics.sku_sales_3m(data, months).collect()] == [20.0]
+
+
 def test_popular_sku_counts_variants_together(cells):
     config = Config(sku_variant_groups={"E-9": ["E9 5", "E9-G"], "Solo": None})
     data = cells(("A", "E9 5", "d", "2025-10", 1, 4), ("A", "e9/g", "d", "2025-09", 1, 3),
