@@ -125,7 +125,8 @@ def scan_chain_b(spark, sf):
 def crm_ref(spark, sf):
     export = star.crm_export(spark, sf)
     path = report_files.write_titled_export(export, "ref_ord", staging_path(spark, "crm-export"))
-    return customers.read_crm(spark, path, multi_line=False)
+    read = customers.read_crm(spark, path, multi_line=False)
+    return read.drop("crm_address2", "crm_state", "crm_zip")  # not in this export
 
 
 @query
