@@ -9,13 +9,15 @@ positions that leave enough tokens for the similarity, and under the second orde
 the whole sets are compared.
 
 Documents with equal sets are one class from the start, and links are searched between class
-representatives. In a group of similar documents not every pair is formed: each posting list is
-first compared with two of its members. Afterwards only pairs in different components are left,
-and these are compared in full, so no link between components is lost.
+representatives. Short posting lists form all their pairs. In a long one, which is mostly a group
+of similar documents, not every pair is formed: all are first compared with two of its members.
+Afterwards only its pairs in different components are left, and these are compared in full, so no
+link between components is lost.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -30,6 +32,7 @@ from storeledger.staging import materialise
 _BUCKET_BITS = 20  # two tables of 1 M counts: 8 MB, whatever the input
 _SLICES = 64
 _CACHED_WORDS = 250_000
+_SHORT_LIST = 32  # posting lists up to this length form all their pairs at once
 _FILTER_BITS = 24  # bit table of candidate documents: 2 MB
 # --- Fixed values: odd multipliers that mix hashes ---
 _MIX = np.array(
@@ -111,7 +114,7 @@ def _bucket_counts(texts: DataFrame, width: int) -> np.ndarray:
             for s in range(_SLICES):
                 part = counts[s * step : (s + 1) * step].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([s], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                    [pa.array([s], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
                     names=["slice", "counts"],
                 )
 
@@ -119,7 +122,7 @@ def _bucket_counts(texts: DataFrame, width: int) -> np.ndarray:
         total = np.zeros(step, np.int64)
         for batch in batches:
             for part in batch.column("counts"):
-                total += np.frombuffer(part.as_py(), np.int32)
+                total += np.frombuffer(zlib.decompress(part.as_py()), np.int32)
         # the order needs no exact count beyond this
         total = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
@@ -149,7 +152,7 @@ def _prefixes(texts: DataFrame, counts: np.ndarray, width: int, percent: int) ->
         for batch in batches:
             doc, text = batch.columns
             for at, texts in _parts(text):
-                sizes, marks, firsts, cores, seconds = [], [], [], [], []
+                sizes, marks, firsts, seconds = [], [], [], []
                 for tokens in shingler.sets(texts):
                     n = len(tokens)
                     length = n - (percent * n + 99) // 100 + 1 if n else 0
@@ -162,25 +165,24 @@ def _prefixes(texts: DataFrame, counts: np.ndarray, width: int, percent: int) ->
                         else:
                             near = np.arange(n)
                         place = near[np.lexsort((tokens[near], fill[near]))][:length]
-                        orders.append((tokens[place], fill[place]))
+                        orders.append(tokens[place])
                     sizes.append(n)
                     marks.append(tokens.tobytes())
-                    firsts.append(orders[0][0].view(np.int64))
-                    cores.append(int(orders[0][1][-1]) if n else 0)
-                    second = np.unique((orders[1][0] >> np.uint64(40)).astype(np.uint16))
+                    firsts.append(orders[0].view(np.int64))
+                    second = np.unique((orders[1] >> np.uint64(40)).astype(np.uint16))
                     seconds.append(second.view(np.int16))
                 yield pa.RecordBatch.from_arrays(
                     [
                         doc.slice(at, 128), pa.array(sizes, pa.int64()),
                         pa.array([_digest(m) for m in marks], pa.binary()),
-                        pa.array(cores, pa.int32()), pa.array(firsts, pa.list_(pa.int64())),
+                        pa.array(firsts, pa.list_(pa.int64())),
                         pa.array(seconds, pa.list_(pa.int16())),
                     ],
-                    names=["doc", "n", "mark", "core", "first", "second"],
+                    names=["doc", "n", "mark", "first", "second"],
                 )
 
     return texts.mapInArrow(
-        run, "doc long, n long, mark binary, core int, first array<long>, second array<short>"
+        run, "doc long, n long, mark binary, first array<long>, second array<short>"
     )
 
 
@@ -243,12 +245,10 @@ def _candidate_sets(texts: DataFrame, candidates: DataFrame, width: int) -> Data
                     [doc.take(own), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "tokens"]
                 )
 
-    wanted = candidates.select(F.col("doc").alias("wanted"))
-    every = texts.mapInArrow(run, "doc long, tokens array<long>")
-    return every.join(wanted, F.col("doc") == F.col("wanted"), "left_semi")
+    return texts.mapInArrow(run, "doc long, tokens array<long>")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``doc, root``: the smallest node reachable by ``links (a, b)`` from each linked node.
 
     Roots take over the smallest root beside them and paths are shortened until nothing
@@ -288,17 +288,41 @@ def _enough(na: Column, nb: Column, percent: int) -> Column:
     return F.ceil((na + nb) * percent / (100 + percent) - 1e-9)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, seconds: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` that share a prefix token under the second order and are similar."""
+def _side(postings: DataFrame, name: str, *more: str) -> DataFrame:
+    """Postings as one side of a pair."""
+    return postings.select(
+        "token", F.col("doc").alias(name), F.col("n").cast("long").alias(f"n_{name}"),
+        F.col("place").alias(f"place_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in more],
+    )
+
+
+def _near_pairs(x: DataFrame, y: DataFrame, percent: int, which: Column) -> DataFrame:
+    """Pairs ``a < b`` of the same lists that may be similar, by their sizes and by the tokens
+    that come after the shared one. (The first token a similar pair shares passes, so a pair is
+    never lost by a later one that does not.)"""
+    left = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    fits = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
+    enough = left >= _enough(F.col("n_x"), F.col("n_y"), percent)
+    return (
+        x.join(y, "token").where(which & fits & enough)
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    )
+
+
+def _second_order(pairs: DataFrame, seconds: DataFrame) -> DataFrame:
+    """Pairs that share a prefix token under the second order too."""
     side_a = seconds.select(F.col("doc").alias("a"), F.col("second").alias("second_a"))
     side_b = seconds.select(F.col("doc").alias("b"), F.col("second").alias("second_b"))
-    left = pairs.join(side_a, "a").join(side_b, "b").where(
-        F.arrays_overlap("second_a", "second_b")
-    )
-    left = materialise(left.select("a", "b"), "near-candidates")
+    both = pairs.join(side_a, "a").join(side_b, "b")
+    passed = both.where(F.arrays_overlap("second_a", "second_b")).select("a", "b")
+    return materialise(passed, "near-candidates")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose whole sets are similar."""
     set_a = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("tokens_a"))
     set_b = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tokens_b"))
-    both = left.join(set_a, "a").join(set_b, "b")
+    both = pairs.join(set_a, "a").join(set_b, "b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - shared
     return both.where(shared * 100 >= union * percent).select("a", "b")
@@ -337,88 +361,74 @@ def near_components(
     # classes of equal sets; everything below works on one document of each
     filled = found.where((F.col("n") > 0) & F.col("doc").isNotNull())
     classes = materialise(
-        filled.groupBy("mark").agg(F.min("doc").alias("rep"), F.count("*").alias("rows")),
-        "near-classes",
+        filled.groupBy("mark").agg(F.min("doc").alias("rep")), "near-classes"
     )
     reps = found.join(
         classes.select(F.col("mark").alias("of_mark"), "rep"),
         (F.col("mark") == F.col("of_mark")) & (F.col("doc") == F.col("rep")),
         "left_semi",
     ).dropDuplicates(["doc", "mark"])
-    reps = materialise(reps.select("doc", "n", "core", "first", "second"), "near-reps")
+    reps = materialise(reps.select("doc", "n", "first", "second"), "near-reps")
     postings = reps.select(
-        "doc", "n", "core", F.posexplode("first").alias("place", "token")
+        "doc", F.col("n").cast("int").alias("n"), F.posexplode("first").alias("place", "token")
     )
     # lists with a single document lead nowhere
-    shared = postings.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
-    shared = materialise(shared.select("token"), "near-tokens")
-    postings = materialise(postings.join(shared, "token"), "near-postings")
-    candidates = materialise(postings.select("doc").distinct(), "near-candidate-ids")
-    known = texts.where(F.col("doc").isNotNull())
-    sets = materialise(_candidate_sets(known, candidates, width), "near-sets")
-    seconds = materialise(
-        reps.join(candidates, "doc", "left_semi").select("doc", "n", "second"), "near-seconds"
+    lists = postings.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
+    postings = postings.join(materialise(lists, "near-lists"), "token")
+    postings = materialise(postings, "near-postings")
+    short = postings.where(F.col("rows") <= _SHORT_LIST)
+    long = postings.where(F.col("rows") > _SHORT_LIST)
+
+    # every pair of a short list, and each document of a long one with two of its members: the
+    # one with the fewest rarer tokens, and any other
+    spot = F.struct("place", "doc", "n")
+    pivots = long.groupBy("token").agg(
+        F.min(spot).alias("first"),
+        F.min(F.struct(F.xxhash64("doc").alias("any"), spot.alias("spot")))["spot"].alias("other"),
     )
-
-    # each list against two of its members: the one with the most common tokens, and any other
-    pivots = materialise(
-        postings.groupBy("token").agg(
-            F.max_by("doc", "core").alias("pivot_1"),
-            F.min_by("doc", F.xxhash64("doc")).alias("pivot_2"),
-        ),
-        "near-pivots",
+    pivots = pivots.select("token", F.explode(F.array("first", "other")).alias("y"))
+    near = _near_pairs(_side(short, "x"), _side(short, "y"), percent, F.col("x") < F.col("y"))
+    near = near.unionByName(
+        _near_pairs(
+            _side(long, "x"),
+            materialise(_side(pivots.select("token", "y.*"), "y"), "near-pivots"),
+            percent, F.col("x") != F.col("y"),
+        )
     )
-    pivot = postings.join(pivots, "token").select(
-        "doc", F.explode(F.array_distinct(F.array("pivot_1", "pivot_2"))).alias("pivot")
-    ).where(F.col("doc") != F.col("pivot"))
-    pivot = pivot.select(
-        F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")
-    ).distinct()
-    sizes = seconds.select("doc", "n")
-    fits = (
-        pivot.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-        .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        .select("a", "b")
+    seconds = reps.select("doc", "second")
+    candidates = _second_order(near.distinct(), seconds)
+    nodes = materialise(
+        candidates.select(F.explode(F.array("a", "b")).alias("doc"))
+        .unionByName(long.select("doc")).distinct(),
+        "near-candidate-ids",
     )
-    links = materialise(_verified(fits, sets, seconds, percent), "near-links")
-    roots = components(candidates, links)
+    known = texts.where(F.col("doc").isNotNull())
+    sets = materialise(_candidate_sets(known, nodes, width), "near-sets")
+    links = materialise(_verified(candidates, sets, percent), "near-links")
+    roots = components(links)
 
-    # the rest: pairs of a list whose documents are in different components still
-    rooted = _rooted(postings.select("token", "doc", "n", "place"), roots, "doc", "root")
-    rooted = materialise(rooted, "near-rooted")
+    # the rest of the long lists: pairs whose documents are in different components still
+    rooted = materialise(_rooted(long, roots, "doc", "root"), "near-rooted")
     main = (
-        rooted.groupBy("token", "root").agg(F.count("*").alias("rows"))
+        rooted.groupBy("token", "root").agg(F.count("*").alias("members"))
         .groupBy("token")
-        .agg(F.count("*").alias("roots"), F.max(F.struct("rows", "root"))["root"].alias("main"))
+        .agg(F.count("*").alias("roots"), F.max(F.struct("members", "root"))["root"].alias("main"))
         .where("roots > 1")
     )
     split = materialise(
-        rooted.join(materialise(main.select("token", "main"), "near-split"), "token"),
-        "near-open",
-    )
-    x = split.where(F.col("root") != F.col("main")).select(
-        "token", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"),
-        F.col("root").alias("rx"),
+        rooted.join(materialise(main.select("token", "main"), "near-split"), "token"), "near-open"
     )
-    y = split.select(
-        "token", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("place").alias("py"),
-        F.col("root").alias("ry"), "main",
+    # two documents outside the main component meet once
+    apart = (F.col("root_x") != F.col("root_y")) & (
+        (F.col("root_y") == F.col("main_y")) | (F.col("x") < F.col("y"))
     )
-    after = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
-    rest = (
-        x.join(y, "token")
-        .where(
-            (F.col("rx") != F.col("ry"))
-            # two documents outside the main component meet once
-            & ((F.col("ry") == F.col("main")) | (F.col("x") < F.col("y")))
-            & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-            & (after >= _enough(F.col("nx"), F.col("ny"), percent))
-        )
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+    outside = split.where(F.col("root") != F.col("main"))
+    rest = _near_pairs(
+        _side(outside, "x", "root"), _side(split, "y", "root", "main"), percent, apart
     )
-    more = materialise(_verified(rest, sets, seconds, percent), "near-links")
-    roots = components(candidates, links.unionByName(more))
+    rest = _second_order(rest.distinct(), seconds)
+    more = materialise(_verified(rest, sets, percent), "near-links")
+    roots = components(links.unionByName(more))
 
     # back from representatives to documents: the smallest id of all classes of a component
     classed = _rooted(classes.select("mark", "rep"), roots, "rep", "component")

@@ -229,8 +229,9 @@ def near_texts():
     return rows
 
 
-@pytest.mark.parametrize(("width", "percent"), [(5, 80), (4, 85)])
-def test_near_components_as_brute_force(docs, width, percent):
+@pytest.mark.parametrize(("width", "percent", "short"), [(5, 80, 32), (4, 85, 32), (5, 80, 2)])
+def test_near_components_as_brute_force(docs, monkeypatch, width, percent, short):
+    monkeypatch.setattr(near_join, "_SHORT_LIST", short)
     rows = near_texts() + [r for r in [(2001 + i, t) for i, (d, t) in enumerate(EDGE) if d]]
     got = near_join.near_components(docs(rows, clashing=True), width=width, percent=percent)
     assert Counter(map(tuple, got.collect())) == plain_components(rows, width, percent)
@@ -255,7 +256,7 @@ def test_keep_one(docs):
 
 def test_long_chain_of_links_is_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
-    roots = {r.doc: r.root for r in near_join.components(links, links).collect()}
+    roots = {r.doc: r.root for r in near_join.components(links).collect()}
     assert roots == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
