@@ -1,10 +1,10 @@
 """License scans: MinHash bands over text windows, then exact containment.
 
 Texts are cut into overlapping windows about as long as a template. A window becomes a candidate
-when the smallest hash of its shingles under one of five hash functions equals the template's
-(five bands of one row). A window that holds the whole template has a Jaccard similarity of 0.8
-or more with it, and meets in some band with probability 0.9997 or more; one that holds just the
-share asked for has 0.55 or more, and meets with 0.98 or more. Templates of up to four shingles
+when the smallest hash of its shingles under one of ten hash functions equals the template's
+(ten bands of one row). A window that holds the whole template has a Jaccard similarity of 0.8
+or more with it, and meets in some band with probability above 0.999999; one that holds just the
+share asked for has 0.55 or more, and meets with 0.9996 or more. Templates of up to four shingles
 cannot miss one: their windows are single shingles, and the probability is 1. Documents with a
 candidate are then compared exactly, window by window.
 """
@@ -43,7 +43,7 @@ TEMPLATES = {
 }
 WIDTH = 5  # words of a shingle
 CONTAINED = 0.8
-_BANDS = 5
+_BANDS = 10
 _SHORT = 4  # templates of which no shingle may be missing
 _WORD = r"[\p{L}\p{N}]+"
 
@@ -107,16 +107,20 @@ def _smallest(mixed: Column, window: int, stride: int) -> Column:
     )
 
 
-def _band_values(spark, templates: Sequence[Template]) -> dict[str, list[int]]:
-    """The smallest hash of each template under each band's function, by Spark's own hash."""
+def _band_values(spark, templates: Sequence[Template]) -> dict[str, list]:
+    """Per template and band its smallest hash, and the hash of the shingle it comes from; by
+    Spark's own hash function."""
     rows = spark.createDataFrame([(t.name, list(t.shingles)) for t in templates],
                                  "name string, shingles array<string>")
     searched = F.when(F.size("shingles") <= _SHORT, F.slice("shingles", 1, 1)).otherwise(
         F.col("shingles")
     )
     hashes = F.flatten(F.transform(searched, lambda s: _hashes(F.split(s, " "))))
-    smallest = [F.array_min(_mixed(hashes, b)) for b in range(_BANDS)]
-    return {r[0]: list(r[1]) for r in rows.select("name", F.array(*smallest)).collect()}
+    smallest = [
+        F.array_min(F.arrays_zip(_mixed(hashes, b).alias("value"), hashes.alias("shingle")))
+        for b in range(_BANDS)
+    ]
+    return {r[0]: r[1] for r in rows.select("name", F.array(*smallest)).collect()}
 
 
 def _any(parts: Sequence[Column]) -> Column:
@@ -149,7 +153,7 @@ def candidates(docs: DataFrame, templates: Sequence[Template]) -> DataFrame:
         def of(mixed: Column) -> Column:
             return _any([
                 F.arrays_overlap(
-                    _smallest(mixed, *size), F.array(*[F.lit(values[t.name][band]) for t in own])
+                    _smallest(mixed, *size), F.array(*[F.lit(values[t.name][band]["value"]) for t in own])
                 )
                 for size, own in _classes(templates).items()
                 if size != (1, 1) or band == 0  # equal hashes are equal under any function
@@ -157,8 +161,13 @@ def candidates(docs: DataFrame, templates: Sequence[Template]) -> DataFrame:
 
         return let(_mixed(hashes, band), of)
 
+    sources = sorted({band["shingle"] for bands in values.values() for band in bands})
+
     def retrieved(hashes: Column) -> Column:
-        return (F.size(hashes) > 0) & _any([agrees(hashes, b) for b in range(_BANDS)])
+        # a window can only meet a band's value if it holds the shingle that has it: in most
+        # documents there is none, and no window needs to be looked at
+        met = F.arrays_overlap(hashes, F.array(*map(F.lit, sources)))
+        return met & _any([agrees(hashes, b) for b in range(_BANDS)])
 
     return docs.where(let(_hashes(_words(F.col("text"))), retrieved))
 
