@@ -113,9 +113,18 @@ def target_skus(resolved: DataFrame, top_skus: DataFrame, config: Config) -> Dat
 
 
 def with_sku_sales(listed: DataFrame, sku_sales: DataFrame) -> DataFrame:
-    """Add average SKU sales by the target's own location code, else 0."""
-    sales = sku_sales.select("location_code", "vendor_item", "avg_sales_3m")
-    return lookup(listed, sales, ["location_code", "vendor_item"]).withColumn("avg_sales_3m", F.coalesce("avg_sales_3m", F.lit(0.0)))
+    """Add average SKU sales by the target's own location code, else 0.
+
+    Only sales of locations that targets name are summed up and written.
+    """
+    listed = materialise(listed, "listed-skus")
+    named = listed.where(F.col("location_code").isNotNull()).select("location_code").distinct()
+    sales = sku_sales.join(named, "location_code", "left_semi").select(
+        "location_code", "vendor_item", "avg_sales_3m"
+    )
+    return lookup(listed, sales, ["location_code", "vendor_item"]).withColumn(
+        "avg_sales_3m", F.coalesce("avg_sales_3m", F.lit(0.0))
+    )
 
 
 def sku_lines(listed: DataFrame) -> DataFrame:
