@@ -13,6 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LONGEST = 40  # a longer run of letters is scored in parts of this length
 _UNKNOWN_CHARACTER = 1e-7
-_CACHED = 150_000
+_CACHED = 400_000
 
 
 def public_pieces(name: str = "piece_bpe_32k.model") -> list[str]:
@@ -44,16 +45,12 @@ def public_pieces(name: str = "piece_bpe_32k.model") -> list[str]:
     return sorted({p for p in pieces if p == p.lower()})
 
 
-def words_of(text: str) -> Counter:
+def words_of(text: str) -> list[str]:
     """Runs of letters in lower case, long ones in parts."""
-    found: Counter = Counter()
-    for word in _LETTERS.findall(text.lower()):
-        if len(word) <= _LONGEST:
-            found[word] += 1
-        else:
-            for at in range(0, len(word), _LONGEST):
-                found[word[at : at + _LONGEST]] += 1
-    return found
+    words = _LETTERS.findall(text.lower())
+    if max(map(len, words), default=0) <= _LONGEST:
+        return words
+    return [w[i : i + _LONGEST] for w in words for i in range(0, len(w), _LONGEST)]
 
 
 @dataclass
@@ -128,8 +125,8 @@ def train(
     docs: DataFrame,
     pieces: list[str] | None = None,
     *,
-    sample: int = 600,
-    rounds: int = 3,
+    sample: int = 400,
+    rounds: int = 2,
     text_column: str = "text",
     lang_column: str = "lang",
 ) -> LanguageModel:
@@ -165,6 +162,8 @@ def train(
         number[F.col("lang")].cast("int").alias("lang"), "text"
     )
 
+    context, width = docs.sparkSession.sparkContext, len(languages)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[int, Counter] = {}
@@ -182,10 +181,10 @@ def train(
     types = materialise(
         chosen.mapInArrow(count, "lang int, word string, uses long")
         .groupBy("lang", "word").agg(F.sum("uses").alias("uses"))
-        .repartition(F.col("word")),
+        # a fixed number of parts: little data, but much work in each row
+        .repartition(context.defaultParallelism, "word"),
         "language-words",
     )
-    context, width = docs.sparkSession.sparkContext, len(languages)
     for _ in range(rounds):
         shared = context.broadcast(model)
 
@@ -226,34 +225,42 @@ def train(
 
 
 class Predictor:
-    """Scores texts, remembering the scores of a fixed number of words."""
+    """Scores texts, remembering the scores of the words met last."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.known, self.older = model, {}, {}
+        self.model, self.width = model, len(model.languages)
+        self.known: dict[str, int] = {}
+        self.table = np.empty((0, self.width))
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Scores of the words, one row each."""
+        new = set(words).difference(self.known)
+        if len(self.known) + len(new) > _CACHED:
+            # begin anew with what this batch uses
+            kept = sorted(set(words) - new)
+            self.table = self.table[[self.known[w] for w in kept]]
+            self.known = {w: n for n, w in enumerate(kept)}
+        if new:
+            listed = sorted(new)
+            self.known.update(zip(listed, range(len(self.known), len(self.known) + len(listed)),
+                                  strict=True))
+            self.table = np.concatenate([self.table, self.model.pieces.score(listed)])
+        return self.table[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        found = [words_of(t) if t else Counter() for t in texts]
-        if len(self.known) > _CACHED:
-            self.known, self.older = {}, self.known
-        new = {w: None for words in found for w in words if w not in self.known}
-        self.known.update((w, self.older[w]) for w in new if w in self.older)
-        new = [w for w in new if w not in self.known]
-        if new and self.model.languages:
-            scores = self.model.pieces.score(new)
-            self.known.update(zip(new, scores, strict=True))
-        languages, likeness = [], []
-        for words in found:
-            if not words or not self.model.languages:
-                languages.append(UNKNOWN)
-                likeness.append(0.0)
-                continue
-            table = np.array([self.known[w] for w in words])
-            total = np.fromiter(words.values(), float, len(words)) @ table
-            share = np.exp(total - total.max())
-            best = int(share.argmax())
-            languages.append(self.model.languages[best])
-            likeness.append(float(share[best] / share.sum()))
-        return languages, likeness
+        found = [words_of(t) if t and self.width else [] for t in texts]
+        counts = np.array([len(w) for w in found])
+        languages = np.full(len(texts), UNKNOWN, dtype=object)
+        likeness = np.zeros(len(texts))
+        some = np.flatnonzero(counts)
+        if len(some):
+            rows = self._rows(list(chain.from_iterable(found)))
+            total = np.add.reduceat(rows, (np.cumsum(counts) - counts)[some])
+            share = np.exp(total - total.max(axis=1, keepdims=True))
+            best = share.argmax(axis=1)
+            languages[some] = np.array(self.model.languages, dtype=object)[best]
+            likeness[some] = share.max(axis=1) / share.sum(axis=1)
+        return languages.tolist(), likeness.tolist()
 
 
 def prediction(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> Column:
