@@ -119,7 +119,8 @@ def format_chats(
             kind = batch.column(0).type
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
-                for conv, _, role, text in zip(*(c.to_pylist() for c in piece.columns), strict=True):
+                columns = (c.to_pylist() for c in piece.columns)
+                for conv, _, role, text in zip(*columns, strict=True):
                     if waiting and (conv != current or size >= _PART_CHARS):
                         yield flush()
                         part = part + 1 if conv == current else 0

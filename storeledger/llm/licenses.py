@@ -153,7 +153,8 @@ def candidates(docs: DataFrame, templates: Sequence[Template]) -> DataFrame:
         def of(mixed: Column) -> Column:
             return _any([
                 F.arrays_overlap(
-                    _smallest(mixed, *size), F.array(*[F.lit(values[t.name][band]["value"]) for t in own])
+                    _smallest(mixed, *size),
+                    F.array(*[F.lit(values[t.name][band]["value"]) for t in own]),
                 )
                 for size, own in _classes(templates).items()
                 if size != (1, 1) or band == 0  # equal hashes are equal under any function

@@ -152,7 +152,9 @@ def drop_lines(
     text = named(text_column)
     # always a merge join: the bitmaps grow with the input, so they are never broadcast
     joined = docs.join(
-        bitmaps.hint("merge"), named(id_column).eqNullSafe(F.col(doc)) & (_row(text) == F.col(row)), "left"
+        bitmaps.hint("merge"),
+        named(id_column).eqNullSafe(F.col(doc)) & (_row(text) == F.col(row)),
+        "left",
     )
     bits = F.aggregate(
         F.col(drops), F.lit(0).cast("long"), lambda n, x: n + F.bit_count(x["bits"])

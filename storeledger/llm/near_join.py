@@ -97,6 +97,14 @@ def _bucket_counts(texts: DataFrame, width: int) -> np.ndarray:
     buckets = 1 << _BUCKET_BITS
     step = 2 * buckets // _SLICES
 
+    def packed(number: int, part: np.ndarray) -> pa.RecordBatch:
+        # the order needs no exact count beyond the largest of 32 bits
+        data = np.minimum(part, np.iinfo(np.int32).max).astype(np.int32).tobytes()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int32()), pa.array([zlib.compress(data, 1)], pa.binary())],
+            names=["slice", "counts"],
+        )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts, seen = Shingler(width), np.zeros(2 * buckets, np.int64), False
         waiting: list[np.ndarray] = []
@@ -112,30 +120,23 @@ def _bucket_counts(texts: DataFrame, width: int) -> np.ndarray:
             counts += np.bincount(np.concatenate(waiting), minlength=2 * buckets)
         if seen:
             for s in range(_SLICES):
-                part = counts[s * step : (s + 1) * step].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([s], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
-                    names=["slice", "counts"],
-                )
+                yield packed(s, counts[s * step : (s + 1) * step])
 
-    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(
+        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[pa.RecordBatch]:
         total = np.zeros(step, np.int64)
         for batch in batches:
             for part in batch.column("counts"):
                 total += np.frombuffer(zlib.decompress(part.as_py()), np.int32)
-        # the order needs no exact count beyond this
-        total = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-            names=["slice", "counts"],
-        )
+        yield packed(key[0].as_py(), total)
 
     schema = "slice int, counts binary"
     sums = texts.select("text").mapInArrow(count, schema)
     table = np.zeros(2 * buckets, np.int32)
     for row in sums.groupBy("slice").applyInArrow(add, schema).collect():  # _SLICES rows
         table[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(
-            row["counts"], np.int32
+            zlib.decompress(row["counts"]), np.int32
         )
     return table.reshape(2, buckets)
 
@@ -216,7 +217,9 @@ def _candidate_sets(texts: DataFrame, candidates: DataFrame, width: int) -> Data
                     names=["slice", "bits"],
                 )
 
-    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(
+        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[pa.RecordBatch]:
         merged = np.zeros(places // 8 // _SLICES, np.uint8)
         for batch in batches:
             for part in batch.column("bits"):
@@ -350,7 +353,8 @@ def near_components(
     component_id`` (smallest id reachable by links), one row per row of ``docs``. A document
     without words (null and empty texts) links with nothing and is its own component. Rows that
     repeat an id are each compared by their own set. A row with a null id belongs to the
-    component of the documents with its set, or to none (null), and links no others. An empty table gives no rows.
+    component of the documents with its set, or to none (null), and links no others. An empty
+    table gives no rows.
     """
     texts = docs.select(
         named(id_column).cast("long").alias("doc"), named(text_column).cast("string").alias("text")

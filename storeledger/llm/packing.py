@@ -154,8 +154,9 @@ def pack(
                 part = slice(at, at + 1024)
                 own, start = row[part], (begin - first[row])[part]
                 size = (end - begin)[part]
+                whole_ids = {r: memoryview(ids[r].as_buffer()) for r in set(own.tolist())}
                 parts = [
-                    ids[r].as_py()[4 * s : 4 * (s + n)]
+                    bytes(whole_ids[r][4 * s : 4 * (s + n)])
                     for r, s, n in zip(own.tolist(), start.tolist(), size.tolist(), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(

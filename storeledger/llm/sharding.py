@@ -78,7 +78,7 @@ def _boundaries(sized: DataFrame, shards: int) -> list[int]:
         inside = _cell(F.col("point"), bits).isin([int(x) for x in coarse["start"]])
         bits += _FINER_BITS
         finer = _cell_sums(sized.where(inside), _cell(F.col("point"), bits), F.lit(bits))
-        rest = cells[~cells["start"].isin(set(coarse["start"])) | (cells["depth"] != bits - _FINER_BITS)]
+        rest = cells.drop(coarse.index)
         cells = type(cells)(
             {k: np.concatenate([rest[k], part]) for k, part in finer.toPandas().items()}
         )
