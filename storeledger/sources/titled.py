@@ -126,7 +126,7 @@ def with_order(rows: DataFrame, name: str) -> DataFrame:
         Window.unboundedPreceding, -1
     )
     offsets = blocks.select(
-        F.col("file"), F.col("block"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base")
+        "file", "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base")
     )
     numbered = rows.withColumn("nth", F.row_number().over(spot)).join(
         materialise(offsets, "blocks"), ["file", "block"]
