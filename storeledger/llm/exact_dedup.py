@@ -102,8 +102,11 @@ def drop_copies(
     )
     text = F.sha2(whole(named(text_column)), 256)
     # only rows whose id was touched need their text hashed and compared
+    # always a merge join: copies grow with the input, so they are never broadcast
     joined = docs.join(
-        touched, named(id_column).eqNullSafe(F.col(doc)) & (text == F.col(sha)), "left"
+        touched.hint("merge"),
+        named(id_column).eqNullSafe(F.col(doc)) & (text == F.col(sha)),
+        "left",
     )
     columns = [named(c) for c in docs.columns]
     alone = joined.where(F.col(kept).isNull()).select(*columns)
