@@ -3,8 +3,10 @@
 Documents with equal texts form a group that is never split. Groups lie on a line ordered by
 the hash of their text. The sizes along the line are summed in a fixed number of cells, in each
 of which equal texts are together. The smallest capacity that a greedy walk can fill into the
-given number of shards is found by binary search, and the line is cut there. Cells next to a cut
-are then split into finer cells and the search is repeated, so cuts end up between groups.
+given number of shards is found by binary search. Among the cuts feasible under it those are
+taken that give shards of nearly equal size. Groups above an even share come first on the line,
+so that the others are one stretch, which can be cut evenly. Cells next to a cut are then split
+into finer cells and the search is repeated, so cuts end up between groups.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from storeledger.staging import materialise
 _BITS = 16  # cells of the first search: 65,536 sums on the driver, whatever the input
 _FINER_BITS = 10  # cells that replace one next to a cut
 _ROUNDS = 3
+_APART = 1 << (64 - _BITS - _ROUNDS * _FINER_BITS)  # points of one finest cell
 _SLICES = 1024  # slices of a shard in which slots are counted
 
 
@@ -26,7 +29,7 @@ def cuts_for(sizes: np.ndarray, shards: int) -> np.ndarray:
     """Ends of the shards as indices into ``sizes``, for the smallest feasible capacity.
 
     A capacity is feasible when filling shards in order, each as far as it goes, needs no more
-    than ``shards`` of them.
+    than ``shards`` of them. Under it the shards are balanced, not filled.
     """
     reach = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
 
@@ -45,8 +48,58 @@ def cuts_for(sizes: np.ndarray, shards: int) -> np.ndarray:
             low = middle + 1
         else:
             high = middle
-    found = ends(low)
-    return np.array(found + [len(sizes)] * (shards - len(found)), dtype=np.int64)
+    return _balanced(sizes, reach, shards, low)
+
+
+def _above_share(sizes: np.ndarray, shards: int) -> np.ndarray:
+    """Indices of the sizes above an even share of what these leave to the other shards."""
+    above = np.zeros(len(sizes), dtype=bool)
+    while True:
+        share = sizes[~above].sum() / (shards - above.sum())
+        more = ~above & (sizes > share)
+        if not more.any():
+            return np.flatnonzero(above)
+        above |= more
+
+
+def _balanced(sizes: np.ndarray, reach: np.ndarray, shards: int, capacity: int) -> np.ndarray:
+    """Ends of ``shards`` shards of nearly equal size, none above a feasible ``capacity``.
+
+    Sizes above an even share get a shard each. A stretch between two of them is cut evenly into
+    the number of shards that its size comes closest to; one of less than half a shard joins its
+    neighbour where the capacity allows.
+    """
+    count, above = len(sizes), _above_share(sizes, shards)
+    first = [count]  # by number of shards: where the rest that they can hold begins
+    for _ in range(shards - 1):
+        first.append(int(np.searchsorted(reach, reach[first[-1]] - capacity)))
+    at, cuts = 0, []
+    for left in range(shards, 0, -1):
+        if at == count:
+            cuts.append(count)
+            continue
+        full = int(np.searchsorted(reach, reach[at] + capacity, side="right")) - 1
+        ahead = above[np.searchsorted(above, at):]
+        stops = [*ahead[:2].tolist(), count, count]
+        rest = reach[-1] - reach[at] - sizes[ahead].sum()
+        share = rest / max(1, left - len(ahead))
+        stretch = reach[stops[0]] - reach[at]
+        if len(ahead) and 2 * stretch < share and (at == stops[0] or stops[0] < full):
+            end = stops[0] + 1
+            if 2 * (reach[stops[1]] - reach[end]) < share and stops[1] <= full:
+                end = stops[1]
+        else:
+            behind = sum(start > stops[0] for start in first)  # shards needed from there on
+            parts = min(round(stretch / share) if share else 1, left - behind)
+            aim = reach[at] + stretch / max(1, parts)
+            end = int(np.searchsorted(reach, aim))
+            if end > at + 1 and aim - reach[end - 1] < reach[min(end, count)] - aim:
+                end -= 1
+        # the shards that are left must hold the rest, and have a size each if there are enough
+        end = min(end, full, max(at + 1, count - left + 1))
+        at = max(end, first[left - 1], at + 1)
+        cuts.append(at)
+    return np.array(cuts, dtype=np.int64)
 
 
 def _cell_sums(sized: DataFrame, start: Column, depth: Column) -> DataFrame:
@@ -60,6 +113,24 @@ def _cell(point: Column, bits: int) -> Column:
     return F.shiftleft(F.shiftright(point, 64 - bits), 64 - bits)
 
 
+def _large_first(sized: DataFrame, shards: int) -> DataFrame:
+    """The rows with the points of groups above an even share moved to the start of the line."""
+    cells = _cell_sums(sized, _cell(F.col("point"), _BITS), F.lit(_BITS)).toPandas()
+    sizes = cells["size"].to_numpy(np.int64)
+    heavy = _above_share(sizes, shards)
+    if not len(heavy):
+        return sized
+    share = (sizes.sum() - sizes[heavy].sum()) / (shards - len(heavy))
+    inside = _cell(F.col("point"), _BITS).isin([int(x) for x in cells["start"].iloc[heavy]])
+    groups = sized.where(inside).groupBy("point").agg(F.sum("size").alias("size"))
+    # fewer than shards groups can be above the share
+    large = groups.where(F.col("size") > float(share)).orderBy(F.desc("size"), "point")
+    point = F.col("point")
+    for i, r in enumerate(large.limit(shards).collect()):
+        point = F.when(F.col("point") == r.point, F.lit(i * _APART - 2**63)).otherwise(point)
+    return sized.withColumn("point", point)
+
+
 def _boundaries(sized: DataFrame, shards: int) -> list[int]:
     """First points of the shards after the first, in order; fewer if groups are fewer."""
     bits = _BITS
@@ -71,10 +142,11 @@ def _boundaries(sized: DataFrame, shards: int) -> list[int]:
         if level == _ROUNDS or not len(starts):
             break
         beside = {int(starts[c]) for cut in cuts for c in (cut - 1, cut) if 0 <= c < len(starts)}
+        beside.add(int(starts[0]))  # large groups are told apart in the finest cells only
         coarse = cells[cells["start"].isin(beside) & (cells["depth"] == bits)]
         if coarse.empty:
             break
-        # at most two cells per cut are looked into: a list of fixed length
+        # at most two cells per cut and the first are looked into: a list of fixed length
         inside = _cell(F.col("point"), bits).isin([int(x) for x in coarse["start"]])
         bits += _FINER_BITS
         finer = _cell_sums(sized.where(inside), _cell(F.col("point"), bits), F.lit(bits))
@@ -92,8 +164,9 @@ def shard(
 
     Returns one row per row of ``docs``: ``doc_id, size`` (UTF-8 bytes of the text plus 16),
     ``text_crc32, shard`` from 0, ``slot`` (0, 1, ... within the shard). A null text counts as
-    empty. A group larger than an even share makes its shard larger, never split. Rows that
-    repeat an id are placed each for itself; a null id stays null. An empty table gives none.
+    empty. A group larger than an even share makes its shard larger, never split; the other
+    shards stay near equal. Rows that repeat an id are placed each for itself; a null id stays
+    null. An empty table gives none.
     """
     text = whole(named(text_column))
     sized = materialise(
@@ -105,6 +178,7 @@ def shard(
         ),
         "shard-sizes",
     )
+    sized = _large_first(sized, shards)
     bounds = _boundaries(sized, shards)
     number = sum(((F.col("point") >= b).cast("int") for b in bounds), F.lit(0))
     placed = sized.withColumn("shard", number).withColumn(

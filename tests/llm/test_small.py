@@ -367,6 +367,34 @@ def test_even_shards(docs):
     assert max(sizes.values()) <= 1.005 * sum(sizes.values()) / 8
 
 
+@pytest.mark.parametrize("portion", [0.05, 0.1, 1 / 3])
+def test_cuts_beside_a_large_group_are_even(portion):
+    rng = np.random.default_rng(7)
+    sizes = rng.integers(50, 150, 20_000)
+    sizes[9_000] = sizes.sum() * portion / (1 - portion)
+    cuts = sharding.cuts_for(sizes, 40)
+    shards = [sizes[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
+    assert cuts[-1] == len(sizes)
+    assert max(s.sum() for s in shards) == sizes[9_000]
+    others = [s.sum() for s in shards if s.max(initial=0) < sizes[9_000]]
+    assert len(others) == 39 and max(others) <= 1.08 * min(others)
+
+
+def test_shards_beside_copies_are_even(docs):
+    # a third of the rows is one text, a tenth another
+    rows = [(i, "the first copied text" if i % 3 == 0 else "the second copied text"
+             if i % 10 == 1 else f"number {i:07d} of the others") for i in range(6000)]
+    sizes, copied = Counter(), defaultdict(set)
+    texts = dict(rows)
+    for r in sharding.shard(docs(rows), 40).collect():
+        sizes[r.shard] += r["size"]
+        if "copied" in texts[r.doc_id]:
+            copied[texts[r.doc_id]].add(r.shard)
+    assert sorted(map(len, copied.values())) == [1, 1]
+    others = [n for shard, n in sizes.items() if {shard} not in copied.values()]
+    assert len(others) == 38 and max(others) <= 1.05 * min(others)
+
+
 # --- packing ---
 
 
