@@ -5,8 +5,9 @@ when the smallest hash of its shingles under one of ten hash functions equals th
 (ten bands of one row). A window that holds the whole template has a Jaccard similarity of 0.8
 or more with it, and meets in some band with probability above 0.999999; one that holds just the
 share asked for has 0.55 or more, and meets with 0.9996 or more. Templates of up to four shingles
-cannot miss one: their windows are single shingles, and the probability is 1. Documents with a
-candidate are then compared exactly, window by window.
+cannot miss one: their windows are single shingles, and the probability is 1. So are those of
+fewer than five words, which are one shingle of all their words. Documents with a candidate are
+then compared exactly, window by window.
 """
 
 from __future__ import annotations
@@ -41,6 +42,64 @@ TEMPLATES = {
         " \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or"
         " implied.",
 }
+# More of them, which the SQL of the registered query does not search.
+MORE_TEMPLATES = {
+    "agpl-header":
+        "under the terms of the GNU Affero General Public License as published by the Free"
+        " Software Foundation",
+    "bsd-disclaimer":
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY"
+        " EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES"
+        " OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "bsd-redistribution":
+        "Redistribution and use in source and binary forms, with or without modification, are"
+        " permitted provided that the following conditions are met:",
+    "bsl-1.0-permission":
+        "Permission is hereby granted, free of charge, to any person or organization obtaining"
+        " a copy of the software and accompanying documentation covered by this license",
+    "cc-by-4.0-notice": "Licensed under CC BY 4.0.",
+    "cc-by-4.0-statement":
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-nc-4.0-statement":
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0"
+        " International License.",
+    "cc-by-sa-4.0-statement":
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0"
+        " International License.",
+    "epl-header":
+        "This program and the accompanying materials are made available under the terms of the"
+        " Eclipse Public License",
+    "gnu-version-2-or-later":
+        "either version 2 of the License, or (at your option) any later version",
+    "gnu-version-2.1-or-later":
+        "either version 2.1 of the License, or (at your option) any later version",
+    "gnu-version-3-or-later":
+        "either version 3 of the License, or (at your option) any later version",
+    "gpl-header":
+        "under the terms of the GNU General Public License as published by the Free Software"
+        " Foundation",
+    "gpl-2.0-only-header":
+        "under the terms of the GNU General Public License version 2 as published by the Free"
+        " Software Foundation",
+    "isc-permission":
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with"
+        " or without fee is hereby granted, provided that the above copyright notice and this"
+        " permission notice appear in all copies.",
+    "lgpl-header":
+        "under the terms of the GNU Lesser General Public License as published by the Free"
+        " Software Foundation",
+    "mpl-2.0-header":
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If"
+        " a copy of the MPL was not distributed with this file, You can obtain one at"
+        " http://mozilla.org/MPL/2.0/.",
+    "unlicense-notice":
+        "This is free and unencumbered software released into the public domain.",
+    "zlib-disclaimer":
+        "This software is provided 'as-is', without any express or implied warranty. In no event"
+        " will the authors be held liable for any damages arising from the use of this software.",
+}
+# Notices of fewer words than a shingle has.
+SHORT_TEMPLATES = {"all-rights-reserved": "All rights reserved."}
 WIDTH = 5  # words of a shingle
 CONTAINED = 0.8
 _BANDS = 10
@@ -56,6 +115,7 @@ def _words(text: Column) -> Column:
 class Template:
     name: str
     shingles: tuple[str, ...]
+    width: int = WIDTH  # words of a shingle
 
     @property
     def stride(self) -> int:
@@ -67,14 +127,23 @@ class Template:
         return len(self.shingles) + self.stride - 1
 
 
-def template(name: str, text: str) -> Template:
+def _template_words(text: str) -> list[str]:
     import re
 
-    found = re.findall(r"[^\W_]+", text.lower())
-    if len(found) < WIDTH:
-        raise ValueError(f"template {name} has fewer than {WIDTH} words")
-    shingles = (" ".join(found[i : i + WIDTH]) for i in range(len(found) - WIDTH + 1))
-    return Template(name, tuple(dict.fromkeys(shingles)))
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def template(name: str, text: str, width: int = WIDTH) -> Template:
+    found = _template_words(text)
+    if len(found) < width:
+        raise ValueError(f"template {name} has fewer than {width} words")
+    shingles = (" ".join(found[i : i + width]) for i in range(len(found) - width + 1))
+    return Template(name, tuple(dict.fromkeys(shingles)), width)
+
+
+def any_template(name: str, text: str) -> Template:
+    """A template of at least one word; of fewer than ``WIDTH`` words, one shingle of them all."""
+    return template(name, text, max(1, min(WIDTH, len(_template_words(text)))))
 
 
 def _classes(templates: Sequence[Template]) -> dict[tuple[int, int], list[Template]]:
@@ -130,22 +199,28 @@ def _any(parts: Sequence[Column]) -> Column:
     return found
 
 
-def _hashes(words: Column) -> Column:
-    """Shingle hashes of a list of words, none if it is shorter than a shingle."""
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
-    def shingled(hashes: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(hashes) - WIDTH)
-        full = F.transform(
-            starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WIDTH)])
-        )
-        return F.when(F.size(hashes) >= WIDTH, full).otherwise(F.array().cast("array<bigint>"))
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), shingled)
+def _shingle_hashes(hashes: Column, width: int) -> Column:
+    """Shingle hashes of a list of word hashes, none if it is shorter than a shingle."""
+    starts = F.sequence(F.lit(0), F.size(hashes) - width)
+    full = F.transform(
+        starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(width)])
+    )
+    return F.when(F.size(hashes) >= width, full).otherwise(F.array().cast("array<bigint>"))
+
+
+def _hashes(words: Column) -> Column:
+    return let(_word_hashes(words), lambda hashes: _shingle_hashes(hashes, WIDTH))
 
 
 def candidates(docs: DataFrame, templates: Sequence[Template]) -> DataFrame:
     """Rows ``doc_id, text`` in which a band retrieves a template."""
-    values = _band_values(docs.sparkSession, templates)
+    long = [t for t in templates if t.width == WIDTH]
+    short = [t for t in templates if t.width < WIDTH]
+    values = _band_values(docs.sparkSession, long) if long else {}
 
     def agrees(hashes: Column, band: int) -> Column:
         """Whether any window agrees with a template of its class in this band."""
@@ -156,7 +231,7 @@ def candidates(docs: DataFrame, templates: Sequence[Template]) -> DataFrame:
                     _smallest(mixed, *size),
                     F.array(*[F.lit(values[t.name][band]["value"]) for t in own]),
                 )
-                for size, own in _classes(templates).items()
+                for size, own in _classes(long).items()
                 if size != (1, 1) or band == 0  # equal hashes are equal under any function
             ])
 
@@ -170,7 +245,20 @@ def candidates(docs: DataFrame, templates: Sequence[Template]) -> DataFrame:
         met = F.arrays_overlap(hashes, F.array(*map(F.lit, sources)))
         return met & _any([agrees(hashes, b) for b in range(_BANDS)])
 
-    return docs.where(let(_hashes(_words(F.col("text"))), retrieved))
+    def holds(width: int, hashes: Column) -> Column:
+        """Whether the text holds a template of so many words."""
+        own = [
+            F.xxhash64(*[F.xxhash64(F.lit(w)) for w in t.shingles[0].split(" ")])
+            for t in short if t.width == width
+        ]
+        return F.arrays_overlap(_shingle_hashes(hashes, width), F.array(*own))
+
+    def any_retrieved(hashes: Column) -> Column:
+        parts = [let(_shingle_hashes(hashes, WIDTH), retrieved)] if long else []
+        parts += [holds(width, hashes) for width in sorted({t.width for t in short})]
+        return _any(parts) if parts else F.lit(False)
+
+    return docs.where(let(_word_hashes(_words(F.col("text"))), any_retrieved))
 
 
 def _matches(found: Column, t: Template) -> Column:
@@ -188,7 +276,7 @@ def _matches(found: Column, t: Template) -> Column:
 
 def scan(
     docs: DataFrame,
-    texts: Mapping[str, str] = TEMPLATES,
+    texts: Mapping[str, str] = TEMPLATES | MORE_TEMPLATES | SHORT_TEMPLATES,
     *,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -196,26 +284,33 @@ def scan(
     """Licenses found in documents.
 
     Words are runs of letters and digits, A to Z lower-cased. A template is found when a window
-    of the text holds at least 0.8 of its distinct shingles of five words. Returns ``doc_id,
-    license, containment`` (of the best window), ``n_windows`` (windows that contain it) and
-    ``first_word`` (start of the first one). Texts that are null, empty or shorter than five
-    words have none; rows that repeat a document each give their rows; an empty table none.
+    of the text holds at least 0.8 of its distinct shingles of five words; one of fewer than five
+    words where all of them follow each other. Returns ``doc_id, license, containment`` (of the
+    best window), ``n_windows`` (windows that contain it) and ``first_word`` (start of the first
+    one). Texts that are null or empty have none; rows that repeat a document each give their
+    rows; an empty table none.
     """
-    templates = [template(name, text) for name, text in texts.items()]
+    templates = [any_template(name, text) for name, text in texts.items()]
     rows = docs.select(named(id_column).alias("doc_id"), whole(named(text_column)).alias("text"))
     likely = candidates(rows, templates)
 
-    def shingled(words: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(words) - WIDTH)
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, WIDTH), " "))
+    def shingled(words: Column, width: int) -> Column:
+        starts = F.sequence(F.lit(0), F.size(words) - width)
+        full = F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, width), " "))
+        return F.when(F.size(words) >= width, full).otherwise(F.array().cast("array<string>"))
 
-    def compared(shingles: Column) -> Column:
-        return F.array(*[
+    def compared(words: Column, width: int) -> Column:
+        own = [t for t in templates if t.width == width]
+        return let(shingled(words, width), lambda shingles: F.array(*[
             F.struct(F.lit(t.name).alias("license"), _matches(shingles, t).alias("windows"))
-            for t in templates
-        ])
+            for t in own
+        ]))
+
+    def every(words: Column) -> Column:
+        widths = sorted({t.width for t in templates})
+        return F.concat(*[compared(words, width) for width in widths])
 
-    found = let(let(_words(F.col("text")), shingled), compared)
+    found = let(_words(F.col("text")), every)
     return (
         likely.select("doc_id", F.inline(found))
         .where(F.size("windows") > 0)

@@ -280,6 +280,44 @@ def test_template_must_have_a_shingle():
         licenses.template("short", "All rights reserved")
 
 
+def test_short_templates(docs):
+    rows = [(1, "Copyright 2020 N. N. All Rights\nReserved. " + SAID), (2, "all rights reserved"),
+            (3, "All rights are reserved, all rights"), (4, "rights reserved"), (5, None),
+            (None, "x all rights reserved, all rights reserved")]
+    kinds = "doc_id", "license", "containment", "n_windows", "first_word"
+    got = licenses.scan(docs(rows)).select(*kinds).collect()
+    name = "all-rights-reserved"
+    assert Counter(map(tuple, got)) == Counter(
+        [(1, name, 1.0, 1, 4), (2, name, 1.0, 1, 0), (None, name, 1.0, 2, 1)]
+    )
+    only = licenses.scan(docs(rows), {"two": "rights reserved", "one": "quick"})
+    assert {(r.doc_id, r.license) for r in only.collect()} == {
+        (1, "two"), (1, "one"), (2, "two"), (4, "two"), (None, "two")
+    }
+
+
+def test_public_headers(docs):
+    gnu = ("This program is free software; you can redistribute it and/or modify it under the terms"
+           " of the GNU {}General Public License as published by the Free Software Foundation;"
+           " either version {} of the License, or (at your option) any later version.")
+    by = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    planted = {
+        gnu.format("", 2): {"gpl-header", "gnu-version-2-or-later"},
+        gnu.format("", 3): {"gpl-header", "gnu-version-3-or-later"},
+        gnu.format("Lesser ", 2.1): {"lgpl-header", "gnu-version-2.1-or-later"},
+        gnu.format("Affero ", 3): {"agpl-header", "gnu-version-3-or-later"},
+        by.format(""): {"cc-by-4.0-statement"},
+        by.format("-NonCommercial"): {"cc-by-nc-4.0-statement"},
+        by.format("-ShareAlike"): {"cc-by-sa-4.0-statement"},
+        by.format("-NonCommercial-NoDerivatives"): set(),
+    } | {text: {name} for name, text in licenses.MORE_TEMPLATES.items()}
+    rows = [(i, f"{SAID}\n// {text}\n{SAID}") for i, text in enumerate(planted)]
+    got = defaultdict(set)
+    for r in licenses.scan(docs(rows)).collect():
+        got[r.doc_id].add(r.license)
+    assert [got[i] for i, _ in rows] == list(planted.values())
+
+
 # --- fingerprints ---
 
 
