@@ -3,8 +3,8 @@
 A sketch keeps every shingle hash below a fixed fraction of the hash range, so it grows with the
 document, and the sketches of two documents of any sizes can be compared: the share of one
 sketch in the other estimates how much of the text is contained there. The union of two sketches
-is the sketch of both texts. The smallest hash is always kept, so only a text without words has
-an empty sketch.
+is the sketch of both texts. The smallest hash is kept where none is below the fraction, so only
+a text without words has an empty sketch; that hash alone does not tell how much is contained.
 """
 
 from __future__ import annotations
@@ -47,15 +47,32 @@ def sketch(text: Column, *, width: int = 5, fraction_bits: int = 3) -> Column:
     return let(let(found, shingles), kept)
 
 
-def merged(a: Column, b: Column) -> Column:
+def _below(found: Column, fraction_bits: int) -> Column:
+    """A sketch without a hash that is kept only because no other is."""
+    return F.filter(found, lambda h: h < 1 << (_RANGE_BITS - fraction_bits))
+
+
+def merged(a: Column, b: Column, *, fraction_bits: int = 3) -> Column:
     """The sketch of both texts together."""
-    return F.sort_array(F.array_union(a, b))
 
+    def kept(every: Column) -> Column:
+        below = _below(every, fraction_bits)
+        return F.when(F.size(below) > 0, below).otherwise(F.slice(every, 1, 1))
 
-def containment(a: Column, b: Column) -> Column:
-    """Estimated share of the first text's shingles that the second has; 1 for an empty one."""
-    shared = F.size(F.array_intersect(a, b))
-    return F.when(F.size(a) == 0, 1.0).otherwise(shared / F.size(a))
+    return let(F.sort_array(F.array_union(a, b)), kept)
+
+
+def containment(a: Column, b: Column, *, fraction_bits: int = 3) -> Column:
+    """Estimated share of the first text's shingles that the second has; 1 for an empty one.
+
+    Null where the first text is so short that it has no hash below the fraction.
+    """
+
+    def share(below: Column) -> Column:
+        shared = F.size(F.array_intersect(below, b))
+        return F.when(F.size(a) == 0, 1.0).when(F.size(below) > 0, shared / F.size(below))
+
+    return let(_below(a, fraction_bits), share)
 
 
 def likeness(a: Column, b: Column) -> Column:

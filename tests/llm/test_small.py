@@ -364,6 +364,24 @@ def test_sketch_of_little_text(docs):
     assert len(found[5]) == 1
 
 
+def test_sketches_of_short_parts(spark):
+    words = [f"w{i}" for i in range(2000)]
+    # all shingles of the joined text are in one of the two parts
+    rows = [(" ".join(words), " ".join(words[at : at + n]), " ".join(words[at + n - 4 : at + n + 6]),
+             " ".join(words[at : at + n + 6])) for n in range(5, 31) for at in range(0, 1900, 190)]
+    df = spark.createDataFrame(rows, "whole string, part string, next string, joined string").select(
+        *[fingerprints.sketch(F.col(c)).alias(c) for c in ("whole", "part", "next", "joined")]
+    )
+    got = df.select(
+        "part", "joined", fingerprints.containment(F.col("part"), F.col("whole")).alias("inside"),
+        fingerprints.merged(F.col("part"), F.col("next")).alias("merged"),
+    ).collect()
+    fallback = [min(r.part) >= 1 << 60 for r in got]
+    assert 0 < sum(fallback) < len(got)
+    assert [r.inside for r in got] == [None if f else 1.0 for f in fallback]
+    assert all(r.merged == r.joined for r in got)
+
+
 # --- sharding ---
 
 
