@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storeledger.llm import (
     chat, exact_dedup, fingerprints, language_id, licenses, line_dedup, mixing, near_join,
-    packing, sharding,
+    neighbours, packing, repair, sharding, whitening,
 )
 from storeledger.llm.common import documents, whole
 from storeledger.llm.oracles import SQL
@@ -91,6 +91,23 @@ def op10_exact_dedup(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repair(spark, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text"
+    )
+    return repair.report(turns, repair.repaired(repair.damaged(turns)))
+
+
+def op12_whiten(spark, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return whitening.by_component(whitening.whiten(vectors, weights="one", components=16))
+
+
+def op13_neighbours(spark, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -103,6 +120,9 @@ def registry() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_pack": op9_pack,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_repair": op11_repair,
+        "op12_whiten": op12_whiten,
+        "op13_neighbours": op13_neighbours,
     }
 
 
