@@ -8,10 +8,12 @@ rows are combined before the only shuffle, and every report reads the cells.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from storeledger.config import SOURCES
 from storeledger.operators.unify import precedence_dedup
 from storeledger.staging import materialise
 
@@ -35,13 +37,42 @@ def located(cells: DataFrame) -> DataFrame:
     return cells.where(F.col("location_code").isNotNull())
 
 
-def sales_cells(sales: DataFrame, grain: Sequence[str] = FULL_GRAIN) -> DataFrame:
-    """Deduplicated cells of a tagged union of sources, written once.
+@dataclass(frozen=True)
+class Audit:
+    """Counts noted while cells were written: lines of sales in all, per source and without
+    location, first and last month, before and after the dedup."""
+
+    before: dict
+    after: dict
+
+
+def _noted(grain: Sequence[str]) -> list[Column]:
+    def lines(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("lines"))), F.lit(0)).alias(name)
+
+    found = [lines(F.lit(True), "lines"), lines(F.col("location_code").isNull(), "unlocated")]
+    found += [lines(F.col("source") == name, name) for name in SOURCES]
+    months = F.col("yyyymm") if "yyyymm" in grain else F.lit(None).cast("string")
+    return [*found, F.min(months).alias("first_month"), F.max(months).alias("last_month")]
+
+
+def observed_cells(
+    sales: DataFrame, grain: Sequence[str] = FULL_GRAIN
+) -> tuple[DataFrame, Audit]:
+    """Deduplicated cells of a tagged union of sources, written once, and their audit.
 
     The sums are written first, and the chains' location codes are taken from
     them: the sales themselves are read once. Written, the cells carry no
     partitioning by location from the dedup, so that later sums combine a hot
-    location in many tasks before they shuffle it.
+    location in many tasks before they shuffle it. The audit is observed in the
+    tasks that write, so it costs no scan.
     """
-    summed = materialise(sum_cells(sales, grain), "summed")
-    return materialise(precedence_dedup(summed), "cells")
+    before, after = Observation("before-dedup"), Observation("after-dedup")
+    summed = materialise(sum_cells(sales, grain).observe(before, *_noted(grain)), "summed")
+    cells = materialise(precedence_dedup(summed).observe(after, *_noted(grain)), "cells")
+    return cells, Audit(before.get, after.get)
+
+
+def sales_cells(sales: DataFrame, grain: Sequence[str] = FULL_GRAIN) -> DataFrame:
+    """Deduplicated cells alone."""
+    return observed_cells(sales, grain)[0]

@@ -10,10 +10,10 @@ A location takes the customer of the first rule that finds one:
 5. for chains, a street number of the name in the address of exactly one CRM
    row of that chain, or, when no address has it, in exactly one CRM name.
 
-Every rule first reduces the CRM rows to one row per lookup key (the first row,
-or the lowest and highest row number, equal when there is a single hit). Joins
-are then many-to-one: a name or address shared by very many rows on both sides
-never pairs those rows up, and a hot key is split on its many side.
+One aggregation reduces the CRM rows to one row per lookup key (the lowest and
+highest row number, equal when there is a single hit). Joins are then
+many-to-one: a name or address shared by very many rows on both sides never
+pairs those rows up, and a hot key is split on its many side.
 """
 
 from __future__ import annotations
@@ -41,108 +41,143 @@ def _single(lo: Column, hi: Column) -> Column:
 
 # --- Rules on whole keys ------------------------------------------------------
 
+# The keys of the CRM, as grouping sets.
+NAME, LOCATION_NAME, ADDRESS = ("norm_name",), ("norm_loc",), ("norm_addr",)
+PLACE = ("norm_name", "norm_addr")
+_KEYS = ("norm_name", "norm_addr", "norm_loc")
 
-def first_by(crm: DataFrame, *keys: str) -> DataFrame:
+
+def crm_keys(crm: DataFrame) -> DataFrame:
+    """Lowest and highest CRM row (``lo``, ``hi``) of every name, location name, address, and
+    name with address: one aggregation and one written table for all rules.
+
+    ``kind`` tells the key by the columns it leaves out; those are null.
+    """
+    grouped = crm.select("ref_ord", *_KEYS).groupingSets(
+        [NAME, LOCATION_NAME, ADDRESS, PLACE], *_KEYS
+    ).agg(
+        F.grouping_id().cast("int").alias("kind"), F.min("ref_ord").alias("lo"),
+        F.max("ref_ord").alias("hi"),
+    )
+    return materialise(grouped, "crm-keys")
+
+
+def _by(keys: DataFrame, *columns: str) -> DataFrame:
+    """Rows of one kind of key: its columns, ``lo`` and ``hi``, without empty keys."""
+    kind = sum((name not in columns) << at for at, name in enumerate(reversed(_KEYS)))
+    return keys.where((F.col("kind") == kind) & (F.col(columns[0]) != "")).select(
+        *columns, "lo", "hi"
+    )
+
+
+def first_by(keys: DataFrame, *columns: str) -> DataFrame:
     """First CRM row of each key."""
-    filled = crm.where(F.col(keys[0]) != "")
-    return filled.groupBy(*keys).agg(F.min("ref_ord").alias("hit"))
+    return _by(keys, *columns).select(*columns, F.col("lo").alias("hit"))
 
 
-def only_by_address(crm: DataFrame) -> DataFrame:
+def only_by_address(keys: DataFrame) -> DataFrame:
     """The CRM row of each address that a single row has."""
-    long_enough = crm.where(F.length("norm_addr") >= MIN_ADDRESS_LENGTH)
+    long_enough = F.length("norm_addr") >= MIN_ADDRESS_LENGTH
+    hit = _single(F.col("lo"), F.col("hi"))
     return (
-        long_enough.groupBy("norm_addr")
-        .agg(_single(F.min("ref_ord"), F.max("ref_ord")).alias("hit"))
+        _by(keys, *ADDRESS).where(long_enough).select("norm_addr", hit.alias("hit"))
         .where(F.col("hit").isNotNull())
     )
 
 
 def match_exact_name(keyed: DataFrame, crm: DataFrame) -> DataFrame:
-    same_name = first_by(crm, "norm_name")
-    same_place = first_by(crm, "norm_name", "norm_addr").withColumnRenamed("hit", "place_hit")
+    keys = crm_keys(crm)
+    same_place = first_by(keys, *PLACE).withColumnRenamed("hit", "place_hit")
     return (
-        lookup(lookup(keyed, same_name, "norm_name", "inner"), same_place, PLACE_KEY)
+        keyed.join(first_by(keys, *NAME), "norm_name").join(same_place, PLACE_KEY, "left")
         .select("location_code", F.coalesce("place_hit", "hit").alias("hit"))
     )
 
 
 def match_location_name(keyed: DataFrame, crm: DataFrame) -> DataFrame:
-    by_location = first_by(crm, "norm_loc").withColumnRenamed("norm_loc", "norm_name")
-    return lookup(keyed, by_location, "norm_name", "inner").select("location_code", "hit")
+    by_location = first_by(crm_keys(crm), *LOCATION_NAME)
+    return keyed.join(
+        by_location.withColumnRenamed("norm_loc", "norm_name"), "norm_name"
+    ).select("location_code", "hit")
 
 
 def match_address(keyed: DataFrame, crm: DataFrame) -> DataFrame:
     named = keyed.where(F.col("norm_name") != "")
-    hits = only_by_address(crm)
-    return lookup(named, hits, "norm_addr", "inner").select("location_code", "hit")
+    return named.join(only_by_address(crm_keys(crm)), "norm_addr").select("location_code", "hit")
 
 
 # --- Rules on parts of names --------------------------------------------------
 
 
-def _cuts(texts: DataFrame, needles: DataFrame) -> DataFrame:
-    """Every substring of ``text`` that has the first characters and the length
-    of some needle, as ``needle``; the other columns are kept.
+def _grams(rows: DataFrame, text: str, *kept: str) -> DataFrame:
+    """``kept``, the length of the text as ``size``, and its grams with their places from 1."""
+    starts = F.sequence(F.lit(1), F.length(text) - (MIN_NAME_LENGTH - 1))
+    grams = F.transform(
+        starts,
+        lambda at: F.struct(
+            at.alias("at"), F.substr(F.col(text), at, F.lit(MIN_NAME_LENGTH)).alias("gram")
+        ),
+    )
+    long_enough = rows.where(F.length(text) >= MIN_NAME_LENGTH)
+    return long_enough.select(*kept, F.length(text).alias("size"), F.inline(grams))
 
-    A text yields at most one cut per start and needle length, however many
-    needles share their first characters. Equality with a needle is then exact
-    containment, so no pair is formed only to be rejected.
+
+def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
+    """Every needle that a text contains, beside the columns of ``texts``.
+
+    An inverted index: each needle is listed under the rarest gram it has, which must occur in
+    the texts. What is shuffled of a text are its grams, a few bytes each with a number and a
+    place, so the bytes grow with its length; the text itself is joined once, to the places that
+    such a gram marks. There it is cut where needles listed under that gram would lie: one cut
+    per place in the needle and needle length, however many needles share them. A cut that
+    equals a needle is a containment, so no pair is formed only to be rejected.
     """
-    gram = MIN_NAME_LENGTH
-    lengths = needles.groupBy(F.substring("needle", 1, gram).alias("gram")).agg(
-        F.collect_set(F.length("needle")).alias("lengths")
+    numbered = materialise(texts.withColumn("text_no", F.monotonically_increasing_id()), "texts")
+    spots = _grams(numbered, "text", "text_no")
+    seen = spots.groupBy("gram").agg(F.count("*").alias("uses"))
+    marks = lookup(_grams(needles, "needle", "needle"), seen, "gram")
+    rarest = (
+        marks.groupBy("needle", "size")
+        .agg(F.min(F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), "gram", "at")).alias("g"))
+        .where("g.uses > 0")  # a gram that no text has: the needle is in none
+    )
+    cuts = rarest.groupBy("g.gram").agg(
+        F.collect_set(F.struct(F.col("g.at").alias("inside"), F.col("size").alias("length")))
+        .alias("cuts")
     )
-    starts = F.sequence(F.lit(1), F.length("text") - (gram - 1))
-    tails = (
-        texts.where(F.length("text") >= gram)
-        .select("*", F.explode(starts).alias("start"))
-        .withColumn("tail", F.expr("substring(text, start)"))
-        .withColumn("gram", F.substring("tail", 1, gram))
-        .drop("start")
+    start = F.col("at") - F.col("cut.inside") + 1
+    fits = (start >= 1) & (start + F.col("cut.length") - 1 <= F.col("size"))
+    places = (
+        lookup(spots, cuts, "gram", "inner").withColumn("cut", F.explode("cuts")).where(fits)
+        .select("text_no", start.alias("start"), F.col("cut.length").alias("length"))
     )
-    fitting = F.filter("lengths", lambda size: size <= F.length("tail"))
+    needle = F.substr(F.col("text"), F.col("start"), F.col("length"))
     return (
-        lookup(tails, lengths, "gram", "inner")
-        .withColumn("size", F.explode(fitting))
-        .withColumn("needle", F.expr("substring(tail, 1, size)"))
-        .drop("gram", "lengths", "tail", "size")
+        places.join(numbered, "text_no").withColumn("needle", needle)
+        .select(*texts.columns, "needle").distinct()
+        .join(needles.select("needle"), "needle", "left_semi")
     )
 
 
-def _long(names: DataFrame, name: str, alias: str) -> DataFrame:
-    return names.where(F.length(name) >= MIN_NAME_LENGTH).withColumnRenamed(name, alias)
-
-
-def contains_hits(names: DataFrame, crm: DataFrame) -> DataFrame:
+def contains_hits(names: DataFrame, keys: DataFrame) -> DataFrame:
     """(norm_name, hit) of names inside exactly one CRM name or location name."""
-    needles = _long(names.select("norm_name").distinct(), "norm_name", "needle")
-    texts = (
-        crm.select("ref_ord", F.explode(F.array("norm_name", "norm_loc")).alias("text"))
-        .groupBy("text")
-        .agg(F.min("ref_ord").alias("lo"), F.max("ref_ord").alias("hi"))
+    needles = names.select(F.col("norm_name").alias("needle")).distinct()
+    either = _by(keys, *NAME).toDF("text", "lo", "hi").unionByName(
+        _by(keys, *LOCATION_NAME).toDF("text", "lo", "hi")
     )
-    found = _cuts(texts, needles).groupBy("needle").agg(
+    texts = either.groupBy("text").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    found = contained(texts, needles).groupBy("needle").agg(
         _single(F.min("lo"), F.max("hi")).alias("hit")
     )
-    return (
-        found.where(F.col("hit").isNotNull())
-        .join(needles, "needle", "left_semi")
-        .withColumnRenamed("needle", "norm_name")
-    )
+    return found.where(F.col("hit").isNotNull()).withColumnRenamed("needle", "norm_name")
 
 
-def contained_by_hits(names: DataFrame, crm: DataFrame) -> DataFrame:
+def contained_by_hits(names: DataFrame, keys: DataFrame) -> DataFrame:
     """(norm_name, hit) of names that exactly one CRM name is part of."""
-    needles = (
-        _long(crm, "norm_name", "needle")
-        .groupBy("needle")
-        .agg(F.min("ref_ord").alias("lo"), F.max("ref_ord").alias("hi"))
-    )
-    needles = materialise(needles, "needles")
+    needles = _by(keys, *NAME).withColumnRenamed("norm_name", "needle")
     texts = names.select(F.col("norm_name").alias("text")).distinct()
     return (
-        _cuts(texts, needles.select("needle"))
+        contained(texts, needles)
         .join(needles, "needle")
         .groupBy("text")
         .agg(_single(F.min("lo"), F.max("hi")).alias("hit"))
@@ -152,12 +187,12 @@ def contained_by_hits(names: DataFrame, crm: DataFrame) -> DataFrame:
 
 
 def match_contains(keyed: DataFrame, crm: DataFrame) -> DataFrame:
-    hits = contains_hits(keyed, crm)
+    hits = contains_hits(keyed, crm_keys(crm))
     return lookup(keyed, hits, "norm_name", "inner").select("location_code", "hit")
 
 
 def match_contained_by(keyed: DataFrame, crm: DataFrame) -> DataFrame:
-    hits = contained_by_hits(keyed, crm)
+    hits = contained_by_hits(keyed, crm_keys(crm))
     return lookup(keyed, hits, "norm_name", "inner").select("location_code", "hit")
 
 
@@ -233,8 +268,9 @@ def resolve(keyed: DataFrame, crm: DataFrame, config: Config) -> DataFrame:
     Rules on names run once per distinct name, and the containment rules only
     on the names that the rules before them leave.
     """
-    by_name = first_by(crm, "norm_name").withColumnRenamed("hit", "name_hit")
-    by_location = first_by(crm, "norm_loc").select(
+    keys = crm_keys(crm)
+    by_name = first_by(keys, *NAME).withColumnRenamed("hit", "name_hit")
+    by_location = first_by(keys, *LOCATION_NAME).select(
         F.col("norm_loc").alias("norm_name"), F.col("hit").alias("location_hit")
     )
     names = materialise(
@@ -246,16 +282,16 @@ def resolve(keyed: DataFrame, crm: DataFrame, config: Config) -> DataFrame:
         "names",
     )
     unnamed = names.where(F.coalesce("name_hit", "location_hit").isNull()).select("norm_name")
-    inside = contains_hits(unnamed, crm).withColumnRenamed("hit", "contains_hit")
-    around = contained_by_hits(unnamed, crm).withColumnRenamed("hit", "contained_hit")
-    place = first_by(crm, "norm_name", "norm_addr").withColumnRenamed("hit", "place_hit")
-    address = only_by_address(crm).withColumnRenamed("hit", "address_hit")
+    inside = contains_hits(unnamed, keys).withColumnRenamed("hit", "contains_hit")
+    around = contained_by_hits(unnamed, keys).withColumnRenamed("hit", "contained_hit")
+    place = first_by(keys, *PLACE).withColumnRenamed("hit", "place_hit")
+    address = only_by_address(keys).withColumnRenamed("hit", "address_hit")
     street = match_street_number(keyed, crm, config).withColumnRenamed("hit", "street_hit")
 
     named = names.join(inside, "norm_name", "left").join(around, "norm_name", "left")
     candidates = lookup(keyed, named, "norm_name")
-    candidates = lookup(candidates, place, PLACE_KEY)
-    candidates = lookup(candidates, address, "norm_addr")
+    # stored tables with one row per key
+    candidates = candidates.join(place, PLACE_KEY, "left").join(address, "norm_addr", "left")
     # one row per location on both sides
     candidates = candidates.join(street, "location_code", "left")
     in_order = (

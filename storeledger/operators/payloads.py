@@ -114,6 +114,30 @@ def xml_form() -> Column:
     )
 
 
+# What ``xml_form`` writes.
+XML_SCHEMA = (
+    "filledFormId string, holderId string, holderType int, name string, apiName string,"
+    " status string, formFields struct<formField: array<struct<fieldType: int, apiName: string,"
+    " index: int, name: string, value: string>>>"
+)
+
+
+def from_xml_form() -> list[Column]:
+    """The columns of a payload, from forms read back."""
+    fields = F.transform(
+        "formFields.formField",
+        lambda x: F.struct(
+            x["fieldType"].alias("field_type"), x["apiName"].alias("api_name"),
+            x["index"].alias("index"), x["name"].alias("name"), x["value"].alias("value"),
+        ),
+    )
+    return [
+        F.col("filledFormId").alias("target_id"), F.col("holderId").alias("holder_id"),
+        F.col("holderType").alias("holder_type"), F.col("name"),
+        F.col("apiName").alias("api_name"), F.col("status"), fields.alias("fields"),
+    ]
+
+
 def form_xml(payloads: DataFrame, row_tag: str = "form") -> DataFrame:
     """``row_tag`` is the root element the receiver expects."""
     return payloads.select(

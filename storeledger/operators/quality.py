@@ -2,16 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.config import SOURCES
-from storeledger.operators.cells import located
+from storeledger.config import AMOUNT, DISTRIBUTOR, SOURCES
+from storeledger.operators.cells import Audit, located
 from storeledger.operators.matching import is_mapped
 from storeledger.operators.unify import precedence_dedup, source_rank
 from storeledger.staging import materialise
 
 
+def dedup_audit(audit: Audit, spark: SparkSession) -> DataFrame:
+    """Distributor rows before and after the dedup, as noted while a run wrote its cells."""
+    before, after = audit.before[DISTRIBUTOR], audit.after[DISTRIBUTOR]
+    return spark.createDataFrame(
+        [(before, after, before - after)], "rows_before long, rows_after long, rows_removed long"
+    )
+
+
+def observed_profile(audit: Audit, cells: DataFrame) -> DataFrame:
+    """``run_profile`` from what was noted; only the locations are counted, in one column."""
+    noted = audit.after
+    return distinct_locations(cells).agg(F.count("*").alias("locations")).select(
+        F.lit(noted["lines"]).cast("long").alias("transactions"),
+        F.lit(noted["unlocated"]).cast("long").alias("rows_without_location"), "locations",
+        F.lit(noted["first_month"]).cast("string").alias("first_month"),
+        F.lit(noted["last_month"]).cast("string").alias("last_month"),
+        *[F.lit(noted[name]).cast("long").alias(f"{name}_rows") for name in SOURCES],
+    )
+
+
 def run_profile(cells: DataFrame) -> DataFrame:
     """Sales, locations, month range and sales per source, from sales cells."""
     lines = F.coalesce(F.sum("lines"), F.lit(0))
@@ -70,21 +92,73 @@ def reconcile_invoices(sales: DataFrame) -> DataFrame:
     return shared(invoices, "before").unionByName(shared(precedence_dedup(invoices), "after"))
 
 
+BY_LOCATION, BY_SKU = "location", "sku and location"
+MEASURES = {"sales": "total", "quantity": "qty"}
+
+
 def reconcile_totals(
     view: DataFrame, expected: DataFrame, tolerance: float = 0.005
 ) -> DataFrame:
-    """Compare a long view with an independent one, both (location_code, yyyymm,
-    total), keeping keys that only one side has."""
-    both = view.withColumnRenamed("total", "view_total").join(
-        expected.withColumnRenamed("total", "expected_total"),
-        ["location_code", "yyyymm"],
-        "full_outer",
+    """Compare sales and quantities of a run with independent ones, at two grains.
+
+    Both frames have ``location_code, vendor_item, yyyymm, total, qty``, at any finer grain:
+    sums of a run, and single lines or other sums. Both are added up per location and month and
+    per SKU, location and month in one aggregation (grouping sets), which combines before it
+    shuffles, so no key of either side meets the other in a join. Rows without location or
+    month are in no report; rows without a SKU are in those by location only. Without
+    ``vendor_item``, ``total`` or ``qty`` on both sides that grain or measure is left out.
+
+    One row per grain, key and measure: ``grain, location_code, vendor_item, yyyymm, measure,
+    view_value, expected_value, status``, keys that only one side has included.
+    """
+    shared = set(view.columns) & set(expected.columns)
+    measures = {name: column for name, column in MEASURES.items() if column in shared}
+    by_sku = "vendor_item" in shared
+    sku = F.col("vendor_item") if by_sku else F.lit(None).cast("string").alias("vendor_item")
+    keys = ["location_code", "vendor_item", "yyyymm"]
+    sides = {"view": view, "expected": expected}
+
+    both = reduce(DataFrame.unionByName, [
+        df.select(
+            "location_code", sku, "yyyymm", F.lit(side).alias("side"),
+            *[F.col(column).cast(AMOUNT).alias(column) for column in measures.values()],
+        )
+        for side, df in sides.items()
+    ]).where(F.col("location_code").isNotNull() & F.col("yyyymm").isNotNull())
+    grain = F.when(F.grouping("vendor_item") == 0, BY_SKU).otherwise(BY_LOCATION)
+    grains = [keys, ["location_code", "yyyymm"]] if by_sku else [["location_code", "yyyymm"]]
+    compared = both.groupingSets(grains, *keys).agg(
+        (grain if by_sku else F.lit(BY_LOCATION)).alias("grain"),
+        *[F.count_if(F.col("side") == side).alias(f"{side}_rows") for side in sides],
+        *[F.sum(F.when(F.col("side") == side, F.col(column))).alias(f"{side}_{column}")
+          for side in sides for column in measures.values()],
     )
-    gap = F.abs(F.col("view_total") - F.col("expected_total"))
+    values = F.array(*[
+        F.struct(
+            F.lit(name).alias("measure"), F.col(f"view_{column}").alias("view_value"),
+            F.col(f"expected_{column}").alias("expected_value"),
+        )
+        for name, column in measures.items()
+    ])
+    zero = F.lit(0).cast(AMOUNT)
+    gap = F.abs(F.coalesce("view_value", zero) - F.coalesce("expected_value", zero))
     status = (
-        F.when(F.col("expected_total").isNull(), "not expected")
-        .when(F.col("view_total").isNull(), "missing")
+        F.when(F.col("expected_rows") == 0, "not expected")
+        .when(F.col("view_rows") == 0, "missing")
         .when(gap <= tolerance, "equal")
         .otherwise("different")
     )
-    return both.withColumn("status", status)
+    return (
+        compared.where((F.col("grain") == BY_LOCATION) | F.col("vendor_item").isNotNull())
+        .select("grain", *keys, "view_rows", "expected_rows", F.inline(values))
+        .select("grain", *keys, "measure", "view_value", "expected_value",
+                status.alias("status"))
+    )
+
+
+def reconciliation_summary(compared: DataFrame) -> DataFrame:
+    """Keys and values of each grain and measure by status."""
+    return compared.groupBy("grain", "measure", "status").agg(
+        F.count("*").alias("keys"), F.sum("view_value").alias("view_value"),
+        F.sum("expected_value").alias("expected_value"),
+    )

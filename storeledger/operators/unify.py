@@ -41,6 +41,15 @@ def precedence_dedup(sales: DataFrame, chains: DataFrame | None = None) -> DataF
     return sales.join(codes, reported_twice, "left_anti")
 
 
+def unified(sales: DataFrame) -> DataFrame:
+    """Single sales without those reported twice, from one scan of the sources.
+
+    The tagged sales are written once. The chains' codes are read from what was written, two
+    columns of the chains' rows, and then filter it.
+    """
+    return precedence_dedup(materialise(sales, "tagged"))
+
+
 def source_rank() -> Column:
     """Position of a row's source in the union order, from 1."""
     return F.array_position(F.array(*map(F.lit, SOURCES)), F.col("source")).cast("int")

@@ -8,10 +8,12 @@ from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from storeledger.config import Config
 from storeledger.operators import payloads as forms
-from storeledger.operators.cells import FULL_GRAIN, sales_cells
+from storeledger.operators import quality
+from storeledger.operators.cells import FULL_GRAIN, Audit, observed_cells
 from storeledger.operators.locations import location_ref, one_per_location
 from storeledger.operators.matching import apply_overrides, location_map, unmapped_locations
 from storeledger.operators.metrics import (
@@ -34,6 +36,7 @@ class Run:
     months: tuple[str, ...]
     period: Period
     config: Config
+    audit: Audit | None = None
 
     @cached_property
     def descriptions(self) -> DataFrame:
@@ -67,6 +70,12 @@ class Run:
     def sku_months(self) -> tuple[str, ...]:
         return tuple(sku_month_list(self.cells))
 
+    def dedup_audit(self) -> DataFrame:
+        return quality.dedup_audit(self.audit, self.cells.sparkSession)
+
+    def profile(self) -> DataFrame:
+        return quality.observed_profile(self.audit, self.cells)
+
     def views(self) -> dict[str, DataFrame]:
         """All five report tables, unevaluated."""
         return {
@@ -94,7 +103,7 @@ def run(
     ``sku_aliases`` are renamed. A coarser ``grain`` does for a run that makes
     some of the reports only.
     """
-    cells = sales_cells(sales, grain)
+    cells, audit = observed_cells(sales, grain)
     if sku_aliases is not None:
         cells = apply_sku_aliases(cells, sku_aliases)
     if saved_map is None:
@@ -105,7 +114,7 @@ def run(
         mapped = apply_overrides(mapped, overrides)
     mapped = materialise(mapped, "location-map")
     months = tuple(month_list(cells))
-    return Run(cells, mapped, months, period(months, config), config)
+    return Run(cells, mapped, months, period(months, config), config, audit)
 
 
 def saved_or_built(
@@ -198,3 +207,51 @@ def write_payloads(payloads: DataFrame, path: str, row_tag: str = "form") -> Non
     payloads.select(forms.xml_form().alias("form")).select("form.*").write.mode(
         "overwrite"
     ).format("xml").option("rowTag", row_tag).option("rootTag", f"{row_tag}s").save(path)
+
+
+def delivered(spark: SparkSession, path: str, row_tag: str = "form") -> DataFrame:
+    """The forms in a sink, with the columns of payloads and their ``report_month``."""
+    schema = f"{forms.XML_SCHEMA}, report_month string"
+    try:
+        found = spark.read.schema(schema).format("xml").option("rowTag", row_tag).load(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], schema)
+    return found.select(*forms.from_xml_form(), "report_month")
+
+
+DELIVERED, THERE, FAILED, SKIPPED = "delivered", "already there", "failed", "skipped"
+
+
+def deliver(built: Forms, path: str, row_tag: str = "form") -> DataFrame:
+    """Add the forms to a sink that does not hold them yet, as XML by report month.
+
+    A form is known by its target and month. A run that was cut short may be repeated: what it
+    has written stays, the rest is added, and a third run writes nothing. Returns ``target_ord,
+    target_id, report_month, status`` of all targets, by what the sink held before and holds now:
+    delivered, already there, failed (not in the sink), skipped (the target is unknown).
+    """
+    spark, keys = built.payloads.sparkSession, ["target_id", "report_month"]
+    months = built.resolved.select("target_ord", "report_month")
+    before = materialise(
+        delivered(spark, path, row_tag).select(*keys).distinct(), "delivered-before"
+    )
+    new = built.payloads.join(months, "target_ord").join(before, keys, "left_anti")
+    new.select(forms.xml_form().alias("form"), "report_month").select(
+        "form.*", "report_month"
+    ).write.mode("append").partitionBy("report_month").format("xml").option(
+        "rowTag", row_tag
+    ).option("rootTag", f"{row_tag}s").save(path)
+    now = materialise(
+        delivered(spark, path, row_tag).select(*keys).distinct()
+        .join(before.withColumn("earlier", F.lit(True)), keys, "left"),
+        "delivered-now",
+    ).withColumn("there", F.lit(True))
+    status = (
+        F.when(F.col("key_kind").isNull(), SKIPPED).when(F.col("earlier"), THERE)
+        .when(F.col("there"), DELIVERED).otherwise(FAILED)
+    )
+    return built.resolved.join(now, keys, "left").select(
+        "target_ord", *keys, status.alias("status")
+    )

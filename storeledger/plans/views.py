@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeledger.config import Config
@@ -34,47 +34,80 @@ def by_sku_location_month_long(cells: DataFrame) -> DataFrame:
     )
 
 
-def _widen(long: DataFrame, keys: Sequence[str], value: str, months: Sequence[str]) -> DataFrame:
-    """Month columns in order, 0 where a key has no sales."""
-    wide = long.groupBy(*keys).pivot("yyyymm", list(months)).agg(F.sum(value))
-    filled = [
-        F.coalesce(F.col(f"`{m}`").cast("double"), F.lit(0.0)).alias(m) for m in months
-    ]
-    return wide.select(*keys, *filled)
+def _month(values: Column, month: str) -> Column:
+    """Value of a month in a map by month, 0 where a key has no sales."""
+    found = F.try_element_at(values, F.lit(month)).cast("double")
+    return F.coalesce(found, F.lit(0.0)).alias(month)
 
 
-def sales_by_location_month(
-    cells: DataFrame, location_map: DataFrame, months: Sequence[str]
+def _by_month(long: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``keys, values``: a map by month, from rows that are one per key and month."""
+    entry = F.struct("yyyymm", F.col(value))
+    return long.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("values"))
+
+
+def sku_month_sums(cells: DataFrame, value: str) -> DataFrame:
+    """``location_code, vendor_item, yyyymm`` and the sum of a measure, dealt out by SKU and
+    location.
+
+    Cells are sums already, so combining them again before a shuffle would find little. Dealt
+    out once, the sums per month and what is gathered from them need no further shuffle.
+    """
+    keys = ["location_code", "vendor_item"]
+    dealt = (
+        _dated(cells).where(F.col("vendor_item").isNotNull())
+        .select(*keys, "yyyymm", value).repartition(*keys)
+    )
+    return dealt.groupBy(*keys, "yyyymm").agg(F.sum(value).alias(value))
+
+
+def wide_by_location(
+    long: DataFrame, location_map: DataFrame, months: Sequence[str]
 ) -> DataFrame:
-    wide = _widen(_dated(cells), ["location_code"], "total", months)
+    """A row per location with a column per month, from sums per location and month."""
     meta = ("location_code", "customer_name", "chain", "crm_customer_id", "crm_customer_name")
-    return enrich(wide, location_map).select(*meta, *[F.col(f"`{m}`") for m in months])
+    return enrich(_by_month(long, ["location_code"], "total"), location_map).select(
+        *meta, *[_month(F.col("values"), m) for m in months]
+    )
 
 
-def _by_sku_location_month(
-    cells: DataFrame,
+def wide_by_sku_location(
+    long: DataFrame,
     descriptions: DataFrame,
     location_map: DataFrame,
     months: Sequence[str],
     value: str,
 ) -> DataFrame:
-    skus = _dated(cells).where(F.col("vendor_item").isNotNull())
-    wide = _widen(skus, ["location_code", "vendor_item"], value, months)
-    described = wide.join(descriptions, "vendor_item", "left")
+    """A row per SKU and location with a column per month. The columns are made behind the
+    joins, so what is shuffled holds the months a SKU was sold in, not all of them."""
+    values = _by_month(long, ["location_code", "vendor_item"], value)
+    described = values.join(descriptions, "vendor_item", "left")
     meta = ("location_code", "chain", "crm_customer_id", "vendor_item", "item_description")
-    return enrich(described, location_map).select(*meta, *[F.col(f"`{m}`") for m in months])
+    return enrich(described, location_map).select(
+        *meta, *[_month(F.col("values"), m) for m in months]
+    )
+
+
+def sales_by_location_month(
+    cells: DataFrame, location_map: DataFrame, months: Sequence[str]
+) -> DataFrame:
+    """A location may hold much of the data: its sales are summed per month before they are
+    shuffled, and what is gathered per location has one entry a month."""
+    return wide_by_location(sales_by_location_month_long(cells), location_map, months)
 
 
 def sales_by_sku_location_month(
     cells: DataFrame, descriptions: DataFrame, location_map: DataFrame, months: Sequence[str]
 ) -> DataFrame:
-    return _by_sku_location_month(cells, descriptions, location_map, months, "total")
+    sums = sku_month_sums(cells, "total")
+    return wide_by_sku_location(sums, descriptions, location_map, months, "total")
 
 
 def qty_by_sku_location_month(
     cells: DataFrame, descriptions: DataFrame, location_map: DataFrame, months: Sequence[str]
 ) -> DataFrame:
-    return _by_sku_location_month(cells, descriptions, location_map, months, "qty")
+    sums = sku_month_sums(cells, "qty")
+    return wide_by_sku_location(sums, descriptions, location_map, months, "qty")
 
 
 def snapshot_metrics(cells: DataFrame, when: Period, config: Config) -> DataFrame:

@@ -67,6 +67,123 @@ def stored_cells(
         width *= 4
 
 
+# A line with a quoted cell that goes on in the next line; a quote counts where a cell begins.
+_OPEN_CELL = r'^(?:(?:"(?:[^"]|"")*+"[^,]*+|[^",][^,]*+)?,)*+"(?:[^"]|"")*+\z'
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*\z)'  # outside quotes
+_TITLE_LINES = (256, 65_536)  # where a header is looked for, first and at last
+
+
+def stored_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``file, sourcefile, block, row, value`` of all lines, written once.
+
+    The files are split, and each line is stored with its place. What is found in the first
+    lines of a file then holds for all later reads, however they are split, and those read
+    compressed columns in place of the text.
+    """
+    rows = spark.read.text([path] if isinstance(path, str) else list(path)).select(
+        *_file(), "value"
+    )
+    if not rows.inputFiles():
+        raise FileNotFoundError(f"no files at {path}")
+    return materialise(rows, "lines-of-files")
+
+
+def _records(lines: Column) -> Column:
+    """CSV records of (row, value) lines: their text, and the row of their last line."""
+    nothing = F.lit(None).cast("string")
+
+    def add(found: Column, line: Column) -> Column:
+        text = F.when(found["open"].isNull(), line["value"]).otherwise(
+            F.concat(found["open"], F.lit("\n"), line["value"])
+        )
+        ended = F.array_append(found["done"], F.struct(text.alias("text"), line["row"].alias("end")))
+        goes_on = text.rlike(_OPEN_CELL)
+        return F.struct(
+            F.when(goes_on, found["done"]).otherwise(ended).alias("done"),
+            F.when(goes_on, text).alias("open"),
+        )
+
+    none = F.array().cast("array<struct<text:string,end:bigint>>")
+    start = F.struct(none.alias("done"), nothing.alias("open"))
+    return F.aggregate(lines, start, add, lambda found: found["done"])
+
+
+def _cells(record: Column) -> Column:
+    def bare(cell: Column) -> Column:
+        inside = F.regexp_extract(cell, r'(?s)^\s*"(.*)"\s*\z', 1)
+        return F.when(
+            cell.rlike(r'(?s)^\s*".*"\s*\z'), F.replace(inside, F.lit('""'), F.lit('"'))
+        ).otherwise(cell)
+
+    return F.transform(F.split(record, _COMMA, -1), bare)
+
+
+def _headers(
+    lines: DataFrame, starts: DataFrame, known: Column, name: Callable[[Column], Column], most: int
+) -> DataFrame:
+    """``file, header_row, names``, from the first ``most`` lines of each file."""
+    region = (
+        lines.where("block = 0").join(starts, "file").where(F.col("row") < F.col("start") + most)
+        .groupBy("file").agg(F.sort_array(F.collect_list(F.struct("row", "value"))).alias("lines"))
+    )
+    records = region.select("file", F.explode(_records(F.col("lines"))).alias("record"))
+    names = F.transform(_cells(F.col("record.text")), name)
+    return (
+        records.select("file", F.col("record.end").alias("header_row"), names.alias("names"))
+        .where(F.size(F.array_intersect("names", known)) >= HEADER_MATCHES)
+        .groupBy("file").agg(F.min(F.struct("header_row", "names")).alias("header"))
+        .select("file", "header.*")
+    )
+
+
+def _read_split(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Sequence[str],
+    name: Callable[[Column], Column],
+    required: Sequence[str],
+) -> DataFrame:
+    lines = stored_lines(spark, path)
+    starts = materialise(
+        lines.where("block = 0").groupBy("file").agg(F.min("row").alias("start")), "file-starts"
+    )
+    known = F.array(*map(F.lit, columns))
+    headers = materialise(_headers(lines, starts, known, name, _TITLE_LINES[0]), "headers")
+    lost = starts.join(headers, "file", "left_anti")
+    if not lost.isEmpty():
+        more = _headers(lines, lost, known, name, _TITLE_LINES[1])
+        headers = materialise(headers.unionByName(more), "headers")
+        _reject(starts.join(headers, "file", "left_anti"), "no header row")
+    for column in required:
+        _reject(headers.where(~F.array_contains("names", column)), f"no column {column}")
+    width = headers.agg(F.max(F.size("names"))).first()[0] or 1
+    places = F.struct(*[
+        F.array_position("names", F.lit(c)).cast("int").alias(f"at{i}")
+        for i, c in enumerate(columns)
+    ])
+    placed = materialise(headers.withColumn("places", places), "header-places")
+    # cells beyond the header have no name
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    cells = F.from_csv("value", schema)
+    return (
+        lines.join(placed, "file")
+        .where(((F.col("block") > 0) | (F.col("row") > F.col("header_row")))
+               & F.col("value").rlike(r"[^\x00-\x20]"))  # the CSV reader skips blank lines too
+        .select(
+            "file", "sourcefile", "block", "row", "names", "places", cells.alias("parsed")
+        )
+        .withColumn("cells", F.array(*[F.col(f"parsed.c{i}") for i in range(width)]))
+        .select(
+            "file", "sourcefile", "block", "row", "names",
+            *[
+                F.when(F.col(f"places.at{i}") > 0, F.get("cells", F.col(f"places.at{i}") - 1))
+                .alias(c)
+                for i, c in enumerate(columns)
+            ],
+        )
+    )
+
+
 def read_titled(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -82,7 +199,13 @@ def read_titled(
     ``columns``. Files may differ in titles and column order; unknown columns are left out,
     absent ones are null. A file without header, or without one of the ``required`` columns, is
     an error. Returns ``file, sourcefile, block, row, names`` and the columns.
+
+    With ``multi_line`` False files are split: cells of titles and header may hold line breaks
+    (the title region of each file is read on its own), cells of the rows below may not. The
+    header must be among the first 65,536 lines and in the first split of its file.
     """
+    if not multi_line:
+        return _read_split(spark, path, columns, name, required)
     rows = stored_cells(spark, path, multi_line)
     names = F.transform("cells", lambda cell: name(F.coalesce(cell, F.lit(""))))
     known = F.array(*map(F.lit, columns))

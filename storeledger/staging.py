@@ -13,10 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; without that setting a folder in the
-    session's warehouse, which every executor reaches as it does any saved table."""
+    """The folder in ``spark.checkpoint.dir``; without that setting the warehouse folder that
+    the session was given.
+
+    Spark's own default for the warehouse is a folder below the driver's working directory,
+    which other machines do not see; only a local session may use it.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if folder is None:
+        context = spark.sparkContext
+        given = context.getConf().contains("spark.sql.warehouse.dir")
+        if not given and not context.master.startswith("local"):
+            raise ValueError(
+                "set spark.checkpoint.dir, or spark.sql.warehouse.dir, to a folder that all"
+                " executors share"
+            )
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 def application_folder(spark: SparkSession) -> str:

@@ -414,6 +414,42 @@ overrides AS (
   FROM buyers WHERE c_acctbal < 0)"""
 
 
+def exact(value: str) -> str:
+    """A sum at one scale, so that amounts and quantities go into one column unrounded."""
+    return f"CAST(sum({value}) AS DECIMAL(28,8))"
+
+
+# A view's sums beside the chains' own, joined key by key, for each grain and measure.
+COMPARED = f"""
+chainline AS (
+  SELECT c_name AS location_code, sku AS vendor_item,
+    strftime(o_orderdate, '%Y-%m') AS yyyymm, amount, units
+  FROM line WHERE chain IS NOT NULL),
+locsums AS (
+  SELECT * FROM (SELECT location_code, yyyymm, {exact('total')} AS vt, {exact('qty')} AS vq FROM sales
+                 GROUP BY ALL)
+  FULL JOIN (SELECT location_code, yyyymm, {exact('amount')} AS et, {exact('units')} AS eq FROM chainline
+             GROUP BY ALL) USING (location_code, yyyymm)),
+skusums AS (
+  SELECT * FROM (SELECT location_code, vendor_item, yyyymm, {exact('total')} AS vt, {exact('qty')} AS vq
+                 FROM sales WHERE vendor_item IS NOT NULL GROUP BY ALL)
+  FULL JOIN (SELECT location_code, vendor_item, yyyymm, {exact('amount')} AS et, {exact('units')} AS eq
+             FROM chainline WHERE vendor_item IS NOT NULL GROUP BY ALL)
+    USING (location_code, vendor_item, yyyymm)),
+measured AS (
+  SELECT 'location' AS grain, location_code, NULL AS vendor_item, yyyymm, 'sales' AS measure,
+    vt AS v, et AS e FROM locsums
+  UNION ALL SELECT 'location', location_code, NULL, yyyymm, 'quantity', vq, eq FROM locsums
+  UNION ALL SELECT 'sku and location', location_code, vendor_item, yyyymm, 'sales', vt, et
+    FROM skusums
+  UNION ALL SELECT 'sku and location', location_code, vendor_item, yyyymm, 'quantity', vq, eq
+    FROM skusums),
+compared AS (
+  SELECT *, CASE WHEN e IS NULL THEN 'not expected' WHEN v IS NULL THEN 'missing'
+    WHEN abs(v - e) <= 0.005 THEN 'equal' ELSE 'different' END AS status
+  FROM measured)"""
+
+
 def oracle_sql() -> dict[str, str]:
     key_numbers = f"array_to_string({numbers('match_key')}, ',')"
     return {
@@ -522,16 +558,16 @@ def oracle_sql() -> dict[str, str]:
                  FROM sales GROUP BY invoice_num)"""
         ),
         "reconcile_totals": sql(
-            """SELECT location_code, yyyymm, CAST(v AS DOUBLE) AS view_total,
-                 CAST(e AS DOUBLE) AS expected_total,
-                 CASE WHEN e IS NULL THEN 'not expected' WHEN v IS NULL THEN 'missing'
-                   WHEN abs(v - e) <= 0.005 THEN 'equal' ELSE 'different' END AS status
-               FROM (SELECT location_code, yyyymm, sum(total) AS v FROM sales
-                     GROUP BY location_code, yyyymm)
-               FULL JOIN (SELECT c_name AS location_code,
-                       strftime(o_orderdate, '%Y-%m') AS yyyymm, sum(amount) AS e
-                     FROM line WHERE chain IS NOT NULL GROUP BY 1, 2)
-                 USING (location_code, yyyymm)"""
+            """SELECT grain, location_code, vendor_item, yyyymm, measure,
+                 CAST(v AS DOUBLE) AS view_value, CAST(e AS DOUBLE) AS expected_value, status
+               FROM compared""",
+            COMPARED,
+        ),
+        "reconciliation_summary": sql(
+            """SELECT grain, measure, status, count(*) AS keys, CAST(sum(v) AS DOUBLE) AS view_value,
+                 CAST(sum(e) AS DOUBLE) AS expected_value
+               FROM compared GROUP BY grain, measure, status""",
+            COMPARED,
         ),
         "canonical_description": sql("SELECT * FROM descr", METRICS),
         "sku_variant_group": f"""SELECT p_partkey, vendor_item, {GROUP} AS sku_group,
@@ -604,17 +640,7 @@ def oracle_sql() -> dict[str, str]:
                FROM sales JOIN locmap m USING (location_code) GROUP BY location_code, yyyymm""",
             *LOCATED,
         ),
-        "sales_by_location_month": sql(
-            f"""SELECT location_code, customer_name, chain, crm_customer_id, crm_customer_name,
-                  w.* EXCLUDE (location_code)
-                FROM (SELECT location_code, {wide("total")} FROM sales GROUP BY location_code) w
-                LEFT JOIN locmap USING (location_code)""",
-            *LOCATED,
-        ),
-        "sales_by_sku_location_month": wide_skus("total"),
-        "qty_by_sku_location_month": wide_skus("qty"),
-        "location_snapshot": sql("SELECT * FROM snapshot", *REPORTED),
-        "top_skus": sql("SELECT * FROM topskus", *REPORTED),
+        **report_tables(),
         "tier_distribution": sql(
             "SELECT sla_tier, count(*) AS locations FROM tiers GROUP BY sla_tier", METRICS
         ),
@@ -700,7 +726,34 @@ def oracle_sql() -> dict[str, str]:
             "SELECT location_code, chain FROM locmap WHERE crm_customer_id = ''", *LOCATED
         ),
         "written_payloads": sql(
-            "SELECT count(*) AS forms FROM payloads p JOIN resolved r USING (target_ord)",
+            """SELECT p.target_id, r.crm_customer_id AS holder_id,
+                 CASE WHEN r.crm_customer_id IS NOT NULL THEN 2 END AS holder_type,
+                 'Sales Report' AS name, 'SalesReport' AS api_name, 'PROCESSED' AS status,
+                 CAST(p.fields AS VARCHAR) AS fields
+               FROM payloads p JOIN resolved r USING (target_ord)""",
+            *TARGETED,
+        ),
+        "delivery_results": sql(
+            """SELECT run, CASE WHEN key_kind IS NULL THEN 'skipped' WHEN run = 1 THEN 'delivered'
+                 ELSE 'already there' END AS status, count(*) AS targets
+               FROM resolved, (VALUES (1), (2)) AS t(run) GROUP BY ALL""",
             *TARGETED,
         ),
+    } | {f"stored_{name}": table for name, table in report_tables().items()}
+
+
+def report_tables() -> dict[str, str]:
+    """The five report tables, also as they are read back from the store."""
+    return {
+        "sales_by_location_month": sql(
+            f"""SELECT location_code, customer_name, chain, crm_customer_id, crm_customer_name,
+                  w.* EXCLUDE (location_code)
+                FROM (SELECT location_code, {wide("total")} FROM sales GROUP BY location_code) w
+                LEFT JOIN locmap USING (location_code)""",
+            *LOCATED,
+        ),
+        "sales_by_sku_location_month": wide_skus("total"),
+        "qty_by_sku_location_month": wide_skus("qty"),
+        "location_snapshot": sql("SELECT * FROM snapshot", *REPORTED),
+        "top_skus": sql("SELECT * FROM topskus", *REPORTED),
     }

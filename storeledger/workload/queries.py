@@ -17,7 +17,7 @@ from storeledger.operators import (
 )
 from storeledger.operators.standardize import filter_detail
 from storeledger.plans import run as runs
-from storeledger.plans import views
+from storeledger.plans import store, views
 from storeledger.sources import customers, reports
 from storeledger.staging import staging_path
 from storeledger.workload import report_files, star
@@ -280,13 +280,15 @@ def precedence_dedup(spark, sf):
 
 @query
 def unified_sales(spark, sf):
-    sales = unify.precedence_dedup(star.tagged_sales(spark, sf), star.chain_sales(spark, sf))
+    sales = unify.unified(star.tagged_sales(spark, sf))
     return as_double(sales, "qty", "unit_price", "total")
 
 
 @query
 def dedup_audit(spark, sf):
-    return unify.dedup_audit(star.tagged_sales(spark, sf, items=False))
+    sales = star.tagged_sales(spark, sf, items=False)
+    _, audit = cell_ops.observed_cells(sales, cell_ops.LOCATION_GRAIN)
+    return quality.dedup_audit(audit, spark)
 
 
 @query
@@ -301,7 +303,9 @@ def distinct_locations(spark, sf):
 
 @query
 def run_profile(spark, sf):
-    return quality.run_profile(_cells(spark, sf, cell_ops.LOCATION_GRAIN))
+    sales = star.tagged_sales(spark, sf, items=False)
+    cells, audit = cell_ops.observed_cells(sales, cell_ops.LOCATION_GRAIN)
+    return quality.observed_profile(audit, cells)
 
 
 @query
@@ -309,24 +313,26 @@ def reconcile_invoices(spark, sf):
     return quality.reconcile_invoices(star.tagged_sales(spark, sf, items=False))
 
 
-@query
-def reconcile_totals(spark, sf):
-    cells = _cells(spark, sf, cell_ops.LOCATION_GRAIN)
-    view = views.sales_by_location_month_long(cells)
+def _compared(spark, sf) -> DataFrame:
     # the chains' own totals, straight from their order lines, refunds included
-    raw = star.report_lines(spark, sf, AUTHORITATIVE, items=False)
+    raw = star.report_lines(spark, sf, AUTHORITATIVE)
     date = month_fns.parse_report_date(F.col("invoice_date"))
-    expected = (
-        raw.select(
-            text.strip(F.col("location")).alias("location_code"),
-            month_fns.month_key(date).alias("yyyymm"),
-            "total",
-        )
-        .groupBy("location_code", "yyyymm")
-        .agg(F.sum("total").alias("total"))
+    expected = raw.select(
+        text.strip(F.col("location")).alias("location_code"), "vendor_item",
+        month_fns.month_key(date).alias("yyyymm"), "total", F.col("ship_qty").alias("qty"),
     )
-    compared = quality.reconcile_totals(view, expected)
-    return as_double(compared, "view_total", "expected_total")
+    return quality.reconcile_totals(_cells(spark, sf), expected)
+
+
+@query
+def reconcile_totals(spark, sf):
+    return as_double(_compared(spark, sf), "view_value", "expected_value")
+
+
+@query
+def reconciliation_summary(spark, sf):
+    summary = quality.reconciliation_summary(_compared(spark, sf))
+    return as_double(summary, "view_value", "expected_value")
 
 
 # --- SKUs ---------------------------------------------------------------------
@@ -681,8 +687,57 @@ def written_unmapped_locations(spark, sf):
 
 @query
 def written_payloads(spark, sf):
-    """Payloads written as XML and read back."""
+    """Payloads delivered twice, of which the second run adds nothing, and read back."""
+    path = staging_path(spark, "payloads")
+    forms = _forms(spark, sf)
+    for _ in range(2):
+        runs.deliver(forms, path)
+    read = runs.delivered(spark, path).drop("report_month")
+    return read.withColumn("fields", F.to_json("fields"))
+
+
+@query
+def delivery_results(spark, sf):
+    """Targets by what became of them, in a first and in a second delivery."""
     path = staging_path(spark, "payloads")
-    runs.write_payloads(_forms(spark, sf).payloads, path)
-    read = spark.read.format("xml").option("rowTag", "form").load(path)
-    return read.agg(F.count("*").alias("forms"))
+    forms = _forms(spark, sf)
+    counted = [
+        runs.deliver(forms, path).groupBy("status").agg(F.count("*").alias("targets"))
+        .withColumn("run", F.lit(run))
+        for run in (1, 2)
+    ]
+    return runs.materialise(reduce(DataFrame.unionByName, counted), "delivery-results")
+
+
+def _stored_table(spark, sf, name, grain=cell_ops.FULL_GRAIN) -> DataFrame:
+    """A report table stored twice, of which the second time changes nothing, and read back."""
+    folder, run = staging_path(spark, "report-store"), _run(spark, sf, grain)
+    for changes in (True, False):
+        changed = store.store_report_tables(run, folder)
+        assert all(map(bool, changed.values())) == changes
+    return store.read_report_table(spark, folder, name)
+
+
+@query
+def stored_sales_by_location_month(spark, sf):
+    return _stored_table(spark, sf, "sales_by_location_month")
+
+
+@query
+def stored_sales_by_sku_location_month(spark, sf):
+    return _stored_table(spark, sf, "sales_by_sku_location_month")
+
+
+@query
+def stored_qty_by_sku_location_month(spark, sf):
+    return _stored_table(spark, sf, "qty_by_sku_location_month")
+
+
+@query
+def stored_location_snapshot(spark, sf):
+    return _stored_table(spark, sf, "location_snapshot")
+
+
+@query
+def stored_top_skus(spark, sf):
+    return _stored_table(spark, sf, "top_skus")

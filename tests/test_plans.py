@@ -6,11 +6,15 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
-from storeledger.operators.unify import chain_codes
+from storeledger.operators import cells, matching, unify
+from storeledger.operators.unify import chain_codes, dedup_audit
+from storeledger.plans import views
 from storeledger.plans.views import ranked_skus
 from storeledger.sources.reports import all_sales, read_table
 from storeledger.workload import queries as q
+from storeledger.workload.star import tagged_sales
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,7 +58,7 @@ def test_small_dimensions_are_broadcast_by_size(spark):
 
 
 def test_scan_reads_needed_columns_only(no_broadcast):
-    text = plan(q.registry()["dedup_audit"](no_broadcast, SF))
+    text = plan(dedup_audit(tagged_sales(no_broadcast, SF, items=False)))
     scans = [line for line in text.splitlines() if line.startswith("ReadSchema")]
     lines = [s for s in scans if "l_orderkey" in s]
     assert lines and all("l_shipdate" not in s and "l_extendedprice" not in s for s in lines)
@@ -77,3 +81,66 @@ def test_chain_filter_reaches_the_scan(no_broadcast):
     text = plan(q.registry()["chain_codes"](no_broadcast, SF))
     pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]
     assert any("c_mktsegment" in line for line in pushed)
+
+
+def scans_of(text: str, column: str) -> int:
+    """Scans of a plan that read a column."""
+    schemas = [line for line in text.splitlines() if line.startswith("ReadSchema")]
+    return sum(column in line for line in schemas)
+
+
+@pytest.fixture
+def staged_plans(no_broadcast, monkeypatch):
+    """Plans of all tables that are written on the way."""
+    from storeledger import staging
+
+    plans = []
+
+    def noting(df, label, real=staging.materialise):
+        plans.append((label, plan(df)))
+        return real(df, label)
+
+    for module in (cells, unify, matching, staging):
+        monkeypatch.setattr(module, "materialise", noting)
+    return plans
+
+
+def test_order_lines_are_read_once(no_broadcast, staged_plans):
+    last = plan(q.registry()["unified_sales"](no_broadcast, SF))
+    every = [text for _, text in staged_plans] + [last]
+    assert sum(scans_of(text, "l_extendedprice") for text in every) == 1
+    assert sum("lineitem.parquet" in text for text in every) == 1
+
+
+def test_dedup_audit_has_no_scan_of_its_own(no_broadcast, staged_plans):
+    text = plan(q.registry()["dedup_audit"](no_broadcast, SF))
+    assert "FileScan" not in text and "Scan parquet" not in text
+    assert sum("lineitem.parquet" in text for _, text in staged_plans) == 1
+
+
+def test_crm_is_aggregated_once(no_broadcast, staged_plans):
+    q.registry()["location_map"](no_broadcast, SF)
+    keys = [text for label, text in staged_plans if label == "crm-keys"]
+    assert len(keys) == 1 and "Expand" in keys[0]
+
+
+def test_month_columns_take_one_exchange(no_broadcast):
+    sums = views.sku_month_sums(q._cells(no_broadcast, SF), "total")
+    values = views._by_month(sums, ["location_code", "vendor_item"], "total")
+    text = plan(values).split("===")[0]
+    tree = text[: text.index("(1) ")]
+    assert tree.count("Exchange") == 1
+
+
+def test_containment_shuffles_grams_not_tails(no_broadcast, staged_plans):
+    """Bytes of a text of double length are doubled, not four times as many."""
+
+    def shuffled(length: int) -> int:
+        row = "X" * (length - 6)
+        texts = no_broadcast.range(400).selectExpr(f"concat('{row}', lpad(id, 6, 'Q')) as text")
+        grams = matching._grams(texts.withColumn("text_no", F.monotonically_increasing_id()),
+                                "text", "text_no")
+        assert "text" not in grams.columns
+        return grams.agg(F.sum(F.lit(20) + F.length("gram"))).first()[0]
+
+    assert shuffled(400) < 2.1 * shuffled(200)

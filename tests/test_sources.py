@@ -191,3 +191,52 @@ def test_monthly_tables_keep_other_months(spark, frame, tmp_path):
         str(tmp_path / "snap"))
     assert rows(written) == [("A", "2025-09"), ("A", "2025-10")]
     assert rows(spark.read.csv(str(tmp_path / "wide"), header=True)) == [("A", "1")]
+
+
+BROKEN_HEADER = '''Monthly report, 12" wide
+
+,"Printed for
+""internal"" use"
+"Vendor
+Item",Customer,"Ship
+Qty","Record
+Type","Customer, ""Name""",Total,"Invoice
+Date"
+'''
+
+
+def test_header_cells_with_line_breaks_in_a_split_file(spark, tmp_path):
+    lines = "".join(f'K{i},"C{i % 7}",{i},1,"Ann, ""{i}""",{i},x\n' for i in range(20000))
+    (tmp_path / "big.csv").write_text(BROKEN_HEADER + lines)
+    (tmp_path / "small.csv").write_text("\n\nTitle\nTotal,Customer,Vendor Item,Invoice Date\n1,C,K,x\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        table = reports.read_reports(spark, f"{tmp_path}/*.csv", multi_line=False)
+        assert table.rdd.getNumPartitions() > 3
+        big = table.where("sourcefile = 'big.csv'")
+        assert big.count() == 20000
+        assert big.where("vendor_item = concat('K', total) and ship_qty = total").count() == 20000
+        assert big.where("customer like 'C_' and record_type = '1'").count() == 20000
+        assert rows(table.where("sourcefile = 'small.csv'"), "customer", "total") == [("C", "1")]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_split_and_whole_files_give_the_same_rows(spark, folder, tmp_path):
+    (tmp_path / "jan.csv").write_text(JAN.replace('"two\nlines"', '"two lines"') + "\n\nK5,C5\n")
+    # another quoting, blank lines and short rows
+    whole = reports.read_reports(spark, f"{folder}/*.csv", details_only=False)
+    split = reports.read_reports(spark, f"{folder}/*.csv", details_only=False, multi_line=False)
+    assert rows(whole) == rows(split) and len(rows(split)) == 7
+
+
+def test_header_far_down_and_wide(spark, tmp_path):
+    fill = ",".join(f"x{i}" for i in range(700))
+    (tmp_path / "far.csv").write_text(
+        "Title\n" * 900 + f"Customer,Vendor Item,Invoice Date,{fill},Total\nC1,K1,x,{fill},12.5\n")
+    (tmp_path / "near.csv").write_text("Customer,Vendor Item,Invoice Date\nC2,K2,x,more,cells\n")
+    table = reports.read_reports(spark, f"{tmp_path}/*.csv", multi_line=False)
+    assert rows(table, "customer", "total") == [("C1", "12.5"), ("C2", None)]
+    (tmp_path / "none.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="no header row in .*none.csv"):
+        reports.read_reports(spark, f"{tmp_path}/*.csv", multi_line=False)

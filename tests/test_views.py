@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from storeledger.config import Config
 from storeledger.operators import metrics, quality, skus, unify
 from storeledger.operators.skus import variant_groups
-from storeledger.operators.cells import FULL_GRAIN, sales_cells, sum_cells
+from storeledger.operators.cells import FULL_GRAIN, observed_cells, sales_cells, sum_cells
 from storeledger.plans import views
 from tests.conftest import rows
 
@@ -218,3 +218,53 @@ def test_totals_against_an_independent_view(spark):
     compared = quality.reconcile_totals(view, other)
     assert rows(compared, "location_code", "status") == [
         ("A", "equal"), ("B", "different"), ("C", "not expected"), ("D", "missing")]
+
+
+def test_quantities_and_grains_are_reconciled(spark):
+    schema = ("location_code string, vendor_item string, yyyymm string, total double, qty double")
+    view = spark.createDataFrame(
+        [("A", "X", "1", 5.0, 1.0), ("A", "Y", "1", 5.0, 2.0), ("A", None, "1", 1.0, 0.0),
+         ("B", "X", "1", 3.0, 3.0), (None, "X", "1", 9.0, 9.0), ("A", "X", None, 9.0, 9.0)], schema)
+    lines = spark.createDataFrame(
+        [("A", "X", "1", 2.0, 1.0), ("A", "X", "1", 3.0, 1.0), ("A", "Y", "1", 6.0, 1.0),
+         ("C", "X", "2", 1.0, 1.0)], schema)
+    compared = quality.reconcile_totals(view, lines)
+    got = {(r.grain, r.location_code, r.vendor_item, r.measure): (
+        r.view_value and float(r.view_value), r.expected_value and float(r.expected_value), r.status)
+        for r in compared.collect()}
+    loc, sku = quality.BY_LOCATION, quality.BY_SKU
+    assert got == {
+        (loc, "A", None, "sales"): (11.0, 11.0, "equal"),
+        (loc, "A", None, "quantity"): (3.0, 3.0, "equal"),
+        (loc, "B", None, "sales"): (3.0, None, "not expected"),
+        (loc, "B", None, "quantity"): (3.0, None, "not expected"),
+        (loc, "C", None, "sales"): (None, 1.0, "missing"),
+        (loc, "C", None, "quantity"): (None, 1.0, "missing"),
+        (sku, "A", "X", "sales"): (5.0, 5.0, "equal"),
+        (sku, "A", "X", "quantity"): (1.0, 2.0, "different"),
+        (sku, "A", "Y", "sales"): (5.0, 6.0, "different"),
+        (sku, "A", "Y", "quantity"): (2.0, 1.0, "different"),
+        (sku, "B", "X", "sales"): (3.0, None, "not expected"),
+        (sku, "B", "X", "quantity"): (3.0, None, "not expected"),
+        (sku, "C", "X", "sales"): (None, 1.0, "missing"),
+        (sku, "C", "X", "quantity"): (None, 1.0, "missing"),
+    }
+    summary = {(r.grain, r.measure, r.status): r["keys"]
+               for r in quality.reconciliation_summary(compared).collect()}
+    assert summary[sku, "sales", "different"] == 1 and summary[loc, "sales", "missing"] == 1
+
+
+def test_the_audit_is_observed_while_cells_are_written(spark):
+    from decimal import Decimal as D
+
+    sales = spark.createDataFrame(
+        [("distributor", "A", "i1", "2025-01", D(5), D(1)), ("distributor", "A", "i1", "2025-01", D(5), D(1)),
+         ("chain_a", "A", "i1", "2025-02", D(5), D(1)), ("distributor", "B", "i2", "2025-03", D(5), D(1)),
+         ("chain_b", None, "i3", None, D(5), D(1))], SALES)
+    grain = ("source", "location_code", "yyyymm")
+    cells, audit = observed_cells(sales, grain)
+    assert rows(quality.dedup_audit(audit, spark)) == rows(unify.dedup_audit(sales)) == [(3, 1, 2)]
+    assert rows(quality.observed_profile(audit, cells)) == rows(quality.run_profile(cells))
+    empty, audit = observed_cells(sales.where("source = 'none'"), grain)
+    assert rows(quality.dedup_audit(audit, spark)) == [(0, 0, 0)]
+    assert rows(quality.observed_profile(audit, empty)) == rows(quality.run_profile(empty))
