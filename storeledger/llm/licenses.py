@@ -42,7 +42,7 @@ TEMPLATES = {
         " \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or"
         " implied.",
 }
-# More of them, which the SQL of the registered query does not search.
+# More of them.
 MORE_TEMPLATES = {
     "agpl-header":
         "under the terms of the GNU Affero General Public License as published by the Free"
@@ -274,25 +274,8 @@ def _matches(found: Column, t: Template) -> Column:
     return F.filter(every, lambda w: w["share"] >= CONTAINED)
 
 
-def scan(
-    docs: DataFrame,
-    texts: Mapping[str, str] = TEMPLATES | MORE_TEMPLATES | SHORT_TEMPLATES,
-    *,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """Licenses found in documents.
-
-    Words are runs of letters and digits, A to Z lower-cased. A template is found when a window
-    of the text holds at least 0.8 of its distinct shingles of five words; one of fewer than five
-    words where all of them follow each other. Returns ``doc_id, license, containment`` (of the
-    best window), ``n_windows`` (windows that contain it) and ``first_word`` (start of the first
-    one). Texts that are null or empty have none; rows that repeat a document each give their
-    rows; an empty table none.
-    """
-    templates = [any_template(name, text) for name, text in texts.items()]
-    rows = docs.select(named(id_column).alias("doc_id"), whole(named(text_column)).alias("text"))
-    likely = candidates(rows, templates)
+def matched(rows: DataFrame, templates: Sequence[Template]) -> DataFrame:
+    """Every window of ``doc_id, text`` against every template, without bands."""
 
     def shingled(words: Column, width: int) -> Column:
         starts = F.sequence(F.lit(0), F.size(words) - width)
@@ -312,7 +295,7 @@ def scan(
 
     found = let(_words(F.col("text")), every)
     return (
-        likely.select("doc_id", F.inline(found))
+        rows.select("doc_id", F.inline(found))
         .where(F.size("windows") > 0)
         .select(
             "doc_id", "license",
@@ -323,29 +306,53 @@ def scan(
     )
 
 
-def oracle_sql(texts: Mapping[str, str] = TEMPLATES) -> str:
+def scan(
+    docs: DataFrame,
+    texts: Mapping[str, str] = TEMPLATES | MORE_TEMPLATES | SHORT_TEMPLATES,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """Licenses found in documents.
+
+    Words are runs of letters and digits, A to Z lower-cased. A template is found when a window
+    of the text holds at least 0.8 of its distinct shingles of five words; one of fewer than five
+    words where all of them follow each other. Returns ``doc_id, license, containment`` (of the
+    best window), ``n_windows`` (windows that contain it) and ``first_word`` (start of the first
+    one). Texts that are null or empty have none; rows that repeat a document each give their
+    rows; an empty table none.
+    """
+    templates = [any_template(name, text) for name, text in texts.items()]
+    rows = docs.select(named(id_column).alias("doc_id"), whole(named(text_column)).alias("text"))
+    return matched(candidates(rows, templates), templates)
+
+
+def oracle_sql(texts: Mapping[str, str] = TEMPLATES | MORE_TEMPLATES | SHORT_TEMPLATES) -> str:
     """The same without bands: every window of every document against every template."""
-    templates = [template(name, text) for name, text in texts.items()]
+    templates = [any_template(name, text) for name, text in texts.items()]
     listed = ", ".join(
-        f"('{t.name}', {len(t.shingles)}, {t.window}, {t.stride}, {list(t.shingles)})"
+        f"('{t.name}', {t.width}, {len(t.shingles)}, {t.window}, {t.stride}, {list(t.shingles)})"
         for t in templates
     )
     return f"""
-        WITH template(license, size, span, stride, shingles) AS (VALUES {listed}),
+        WITH template(license, width, size, span, stride, shingles) AS (VALUES {listed}),
         worded AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                 '[\\p{{L}}\\p{{N}}]+') AS words
             FROM documents
+        ), started AS (
+            SELECT doc_id, words, width, len(words) - width + 1 AS n,
+                   unnest(generate_series(1, len(words) - width + 1)) AS i
+            FROM worded JOIN (SELECT DISTINCT width FROM template) w ON len(words) >= width
         ), shingled AS (
-            SELECT doc_id, len(words) - {WIDTH - 1} AS n, i - 1 AS place,
-                   array_to_string(list_slice(words, i, i + {WIDTH - 1}), ' ') AS shingle
-            FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - {WIDTH - 1})) AS i
-                  FROM worded WHERE len(words) >= {WIDTH})
+            SELECT doc_id, width, n, i - 1 AS place,
+                   array_to_string(list_slice(words, i, i + width - 1), ' ') AS shingle
+            FROM started
         ), hit AS (
             SELECT doc_id, n, license, size, span, stride, place, shingle
-            FROM shingled JOIN (SELECT *, unnest(shingles) AS own FROM template) t
-              ON shingle = own
+            FROM shingled s JOIN (SELECT *, unnest(shingles) AS own FROM template) t
+              ON shingle = own AND s.width = t.width
         ), placed AS (
             SELECT *, unnest(generate_series(
                 greatest(0, (place - span + stride) // stride) * stride, place, stride)) AS start
