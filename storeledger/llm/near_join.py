@@ -1,24 +1,27 @@
 """N-gram Jaccard join by several global token orders.
 
-A token is the 64-bit hash of a word shingle. Under any order that all documents share, two
-sets of Jaccard similarity ``t`` have a token in common among their first ``n - ceil(t n) + 1``
-ones. Two such orders are used. Each sorts tokens by how full their bucket is in its own table
-of bucket counts over the whole corpus, so tokens that many documents hold come last and hardly
-ever lead to candidates. A candidate must share prefix tokens under the first order, at
-positions that leave enough tokens for the similarity, and under the second order; only then
-the whole sets are compared.
-
-Documents with equal sets are one class from the start, and links are searched between class
-representatives. Short posting lists form all their pairs. In a long one, which is mostly a group
-of similar documents, not every pair is formed: all are first compared with two of its members.
-Afterwards only its pairs in different components are left, and these are compared in full, so no
-link between components is lost.
+A token is the 64-bit hash of a word shingle. Under any order that all documents share, two sets
+of Jaccard similarity ``t`` have a token in common among their first ``n - ceil(t n) + 1`` ones,
+and ``k`` tokens among ``k - 1`` more. Two orders are used. The first sorts tokens by how often
+they occur: the most frequent tokens of the corpus are counted one by one, the others by buckets
+of a table of fixed size, so tokens that many documents hold come last and hardly ever lead to
+candidates. The second does not follow the counts: it is the order of another hash, with the
+frequent tokens last. A candidate must share prefix tokens under the first order, at positions
+that leave enough tokens for the similarity, and an eighth of a set's tokens, which is several,
+under the second; only then the whole sets are compared.
+
+Documents with equal sets are one class from the start, and links are searched between classes.
+Short posting lists form all their pairs. In a long one, which is mostly a group of similar
+documents, not every pair is formed: all are first compared with two of its members. Afterwards
+only its pairs in different components are left, and these are compared in full, so no link
+between components is lost. ``near_links`` compares every pair of every list instead.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -29,7 +32,9 @@ from pyspark.sql import functions as F
 from storeledger.llm.common import Recent, fresh, named, whole
 from storeledger.staging import materialise
 
-_BUCKET_BITS = 20  # two tables of 1 M counts: 8 MB, whatever the input
+_BUCKET_BITS = 20  # a table of 1 M counts: 4 MB, whatever the input
+_FREQUENT = 1 << 18  # tokens counted one by one: 4 MB, whatever the input
+_FREQUENT_OF_TASK = 1 << 14  # of which a task names so many
 _SLICES = 64
 _CACHED_WORDS = 250_000
 _SHORT_LIST = 32  # posting lists up to this length form all their pairs at once
@@ -83,8 +88,8 @@ class Shingler:
         return [np.unique(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def _bucket(hashes: np.ndarray, order: int) -> np.ndarray:
-    return (hashes * _MIX[order + 1]) >> np.uint64(64 - _BUCKET_BITS)
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes * _MIX[1]) >> np.uint64(64 - _BUCKET_BITS)
 
 
 def _parts(column: pa.Array, size: int = 128) -> Iterator[tuple[int, list]]:
@@ -92,35 +97,86 @@ def _parts(column: pa.Array, size: int = 128) -> Iterator[tuple[int, list]]:
         yield at, column.slice(at, size).to_pylist()
 
 
-def _bucket_counts(texts: DataFrame, width: int) -> np.ndarray:
-    """For both orders, how many tokens of the corpus fall into each bucket."""
+@dataclass(frozen=True)
+class Counts:
+    """What the orders follow: counts of buckets, and of the most frequent tokens (sorted)."""
+
+    buckets: np.ndarray
+    tokens: np.ndarray
+    uses: np.ndarray
+
+    def of(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of tokens, and which of them are frequent ones."""
+        fill = self.buckets[_bucket(tokens)].astype(np.int64)
+        if not len(self.tokens):
+            return fill, np.zeros(len(tokens), bool)
+        place = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        known = self.tokens[place] == tokens
+        # a frequent token comes behind all others, which only share its bucket's count
+        return np.where(known, self.uses[place] + (1 << 40), fill), known
+
+
+def _token_counts(texts: DataFrame, width: int) -> Counts:
+    """One pass over all texts.
+
+    A task keeps the counts of all buckets, and of tokens the most frequent ones: after every
+    four million tokens only twice as many as it may name go on. What reaches the driver is one
+    table of buckets and the ``_FREQUENT`` tokens with the largest sums over the tasks. The
+    counts only order tokens, the same for all documents, so an inexact one costs no result.
+    """
     buckets = 1 << _BUCKET_BITS
-    step = 2 * buckets // _SLICES
+    step = buckets // _SLICES
 
     def packed(number: int, part: np.ndarray) -> pa.RecordBatch:
         # the order needs no exact count beyond the largest of 32 bits
         data = np.minimum(part, np.iinfo(np.int32).max).astype(np.int32).tobytes()
         return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int32()), pa.array([zlib.compress(data, 1)], pa.binary())],
-            names=["slice", "counts"],
+            [pa.array([number], pa.int32()), pa.array([zlib.compress(data, 1)], pa.binary()),
+             pa.array([None], pa.int64()), pa.array([None], pa.int64())],
+            names=["slice", "counts", "token", "uses"],
         )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts, seen = Shingler(width), np.zeros(2 * buckets, np.int64), False
+        shingler, counts, seen = Shingler(width), np.zeros(buckets, np.int64), False
         waiting: list[np.ndarray] = []
+        tokens, uses = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            new = np.concatenate(waiting)
+            np.add(counts, np.bincount(_bucket(new).astype(np.int32), minlength=buckets),
+                   out=counts)
+            # only tokens whose bucket is full enough can be among the most frequent
+            full = np.partition(counts, -_FREQUENT_OF_TASK)[-_FREQUENT_OF_TASK]
+            new = new[counts[_bucket(new)] >= max(full, 2)]
+            found, own = np.unique(new, return_counts=True)
+            both, place = np.unique(np.concatenate([tokens, found]), return_inverse=True)
+            total = np.bincount(place, np.concatenate([uses, own])).astype(np.int64)
+            if len(both) > 2 * _FREQUENT_OF_TASK:
+                best = np.argpartition(total, -2 * _FREQUENT_OF_TASK)[-2 * _FREQUENT_OF_TASK :]
+                best.sort()
+                both, total = both[best], total[best]
+            return both, total
+
         for batch in batches:
             for _, texts in _parts(batch.column(0), 512):
                 hashes, seen = shingler.hashes(texts)[0], True
-                for order in (0, 1):
-                    waiting.append(_bucket(hashes, order).astype(np.int32) + order * buckets)
+                waiting.append(hashes)
                 if sum(map(len, waiting)) > 4 << 20:
-                    counts += np.bincount(np.concatenate(waiting), minlength=2 * buckets)
+                    tokens, uses = added()
                     waiting = []
         if waiting:
-            counts += np.bincount(np.concatenate(waiting), minlength=2 * buckets)
+            tokens, uses = added()
         if seen:
             for s in range(_SLICES):
                 yield packed(s, counts[s * step : (s + 1) * step])
+            best = np.argsort(-uses, kind="stable")[:_FREQUENT_OF_TASK]
+            best = best[uses[best] > 1]
+            nothing = pa.nulls(len(best), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(best), -1, np.int32)), nothing,
+                 pa.array(tokens[best].view(np.int64)), pa.array(uses[best])],
+                names=["slice", "counts", "token", "uses"],
+            )
 
     def add(
         key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
@@ -129,61 +185,84 @@ def _bucket_counts(texts: DataFrame, width: int) -> np.ndarray:
         for batch in batches:
             for part in batch.column("counts"):
                 total += np.frombuffer(zlib.decompress(part.as_py()), np.int32)
-        yield packed(key[0].as_py(), total)
+        yield packed(key[0].as_py(), total).select(["slice", "counts"])
 
-    schema = "slice int, counts binary"
-    sums = texts.select("text").mapInArrow(count, schema)
-    table = np.zeros(2 * buckets, np.int32)
-    for row in sums.groupBy("slice").applyInArrow(add, schema).collect():  # _SLICES rows
+    sums = materialise(
+        texts.select("text").mapInArrow(count, "slice int, counts binary, token long, uses long"),
+        "near-counts",
+    )
+    table = np.zeros(buckets, np.int32)
+    of_buckets = sums.where("slice >= 0").select("slice", "counts")
+    for row in of_buckets.groupBy("slice").applyInArrow(  # _SLICES rows
+        add, "slice int, counts binary"
+    ).collect():
         table[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(
             zlib.decompress(row["counts"]), np.int32
         )
-    return table.reshape(2, buckets)
+    frequent = (
+        sums.where("slice < 0").groupBy("token").agg(F.sum("uses").alias("uses"))
+        .orderBy(F.desc("uses"), "token").limit(_FREQUENT).toArrow()
+    )
+    tokens = frequent.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(tokens)
+    return Counts(table, tokens[order], frequent.column("uses").to_numpy()[order])
+
+
+def _leading(tokens: np.ndarray, first: np.ndarray, length: int, *more: np.ndarray) -> np.ndarray:
+    """The first ``length`` tokens in order of ``first``, ties by ``more`` and the token."""
+    near = np.arange(len(tokens))
+    if 0 < length < len(tokens):
+        edge = np.partition(first, length - 1)[length - 1]
+        near = np.flatnonzero(first <= edge)
+    keys = [tokens[near], *(m[near] for m in reversed(more)), first[near]]
+    return tokens[near[np.lexsort(keys)]][:length]
 
 
-def _prefixes(texts: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
+def _prefixes(texts: DataFrame, counts: Counts, width: int, percent: int) -> DataFrame:
     """Per document: size and signature of its set, and its prefixes under both orders.
 
-    The second prefix is kept as 16-bit hashes, which lets more candidates pass, never fewer.
+    The second prefix is kept as 32-bit hashes; ``need`` says how many of it a similar document
+    shares, less the tokens of this one whose hashes are equal.
     """
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, tables = Shingler(width), shared.value
+        shingler, known = Shingler(width), shared.value
         for batch in batches:
-            doc, text = batch.columns
+            doc, text, said = batch.columns
             for at, texts in _parts(text):
-                sizes, marks, firsts, seconds = [], [], [], []
+                sizes, marks, firsts, seconds, needs = [], [], [], [], []
                 for tokens in shingler.sets(texts):
                     n = len(tokens)
-                    length = n - (percent * n + 99) // 100 + 1 if n else 0
-                    orders = []
-                    for order in (0, 1):
-                        fill = tables[order][_bucket(tokens, order)]
-                        if length and length < n:
-                            edge = np.partition(fill, length - 1)[length - 1]
-                            near = np.flatnonzero(fill <= edge)
-                        else:
-                            near = np.arange(n)
-                        place = near[np.lexsort((tokens[near], fill[near]))][:length]
-                        orders.append(tokens[place])
+                    spare = n - (percent * n + 99) // 100  # tokens a similar set may lack
+                    several = min(n - spare, 1 + n // 8) if n else 0
+                    fill, frequent = known.of(tokens)
+                    first = _leading(tokens, fill, spare + 1 if n else 0)
+                    mixed = (tokens * _MIX[2]) >> np.uint64(1)
+                    second = _leading(
+                        tokens, mixed + (frequent.astype(np.uint64) << np.uint64(63)),
+                        spare + several,
+                    )
+                    short = np.unique((second * _MIX[3] >> np.uint64(32)).astype(np.uint32))
                     sizes.append(n)
                     marks.append(tokens.tobytes())
-                    firsts.append(orders[0].view(np.int64))
-                    second = np.unique((orders[1] >> np.uint64(40)).astype(np.uint16))
-                    seconds.append(second.view(np.int16))
+                    firsts.append(first.view(np.int64))
+                    seconds.append(short.view(np.int32))
+                    needs.append(several - (len(second) - len(short)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        doc.slice(at, 128), pa.array(sizes, pa.int64()),
+                        doc.slice(at, 128), said.slice(at, 128), pa.array(sizes, pa.int64()),
                         pa.array([_digest(m) for m in marks], pa.binary()),
                         pa.array(firsts, pa.list_(pa.int64())),
-                        pa.array(seconds, pa.list_(pa.int16())),
+                        pa.array(seconds, pa.list_(pa.int32())), pa.array(needs, pa.int32()),
                     ],
-                    names=["doc", "n", "mark", "first", "second"],
+                    names=["doc", "said", "n", "mark", "first", "second", "need"],
                 )
 
     return texts.mapInArrow(
-        run, "doc long, n long, mark binary, first array<long>, second array<short>"
+        run,
+        "doc long, said string, n long, mark binary, first array<long>, second array<int>,"
+        " need int",
     )
 
 
@@ -198,7 +277,7 @@ def _flag(ids: np.ndarray) -> np.ndarray:
 
 
 def _candidate_sets(texts: DataFrame, candidates: DataFrame, width: int) -> DataFrame:
-    """The whole sets of candidate documents (and of a few others, which does no harm)."""
+    """The whole sets of candidate documents, with their signatures (and of a few others)."""
     places = 1 << _FILTER_BITS
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,10 +324,14 @@ def _candidate_sets(texts: DataFrame, candidates: DataFrame, width: int) -> Data
                 own = pa.array(chosen[at : at + 128])
                 sets = [s.view(np.int64) for s in shingler.sets(text.take(own).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [doc.take(own), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "tokens"]
+                    [
+                        doc.take(own), pa.array([_digest(s.tobytes()) for s in sets]),
+                        pa.array(sets, pa.list_(pa.int64())),
+                    ],
+                    names=["doc", "mark", "tokens"],
                 )
 
-    return texts.mapInArrow(run, "doc long, tokens array<long>")
+    return texts.mapInArrow(run, "doc long, mark binary, tokens array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -313,22 +396,37 @@ def _near_pairs(x: DataFrame, y: DataFrame, percent: int, which: Column) -> Data
 
 
 def _second_order(pairs: DataFrame, seconds: DataFrame) -> DataFrame:
-    """Pairs that share a prefix token under the second order too."""
-    side_a = seconds.select(F.col("doc").alias("a"), F.col("second").alias("second_a"))
-    side_b = seconds.select(F.col("doc").alias("b"), F.col("second").alias("second_b"))
+    """Pairs that share enough prefix tokens under the second order too."""
+    side_a = seconds.select(F.col("doc").alias("a"), F.col("second").alias("second_a"),
+                            F.col("need").alias("need_a"))
+    side_b = seconds.select(F.col("doc").alias("b"), F.col("second").alias("second_b"),
+                            F.col("need").alias("need_b"))
     both = pairs.join(side_a, "a").join(side_b, "b")
-    passed = both.where(F.arrays_overlap("second_a", "second_b")).select("a", "b")
+    shared = F.size(F.array_intersect("second_a", "second_b"))
+    passed = both.where(
+        F.arrays_overlap("second_a", "second_b") & (shared >= F.least("need_a", "need_b"))
+    ).select("a", "b")
     return materialise(passed, "near-candidates")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose whole sets are similar."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose whole sets are similar, with the tokens they share and have."""
     set_a = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("tokens_a"))
     set_b = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tokens_b"))
     both = pairs.join(set_a, "a").join(set_b, "b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    union = F.size("tokens_a") + F.size("tokens_b") - shared
-    return both.where(shared * 100 >= union * percent).select("a", "b")
+    counted = both.select(
+        "a", "b", shared.alias("shared"),
+        (F.size("tokens_a") + F.size("tokens_b")).alias("sizes"),
+    )
+    union = F.col("sizes") - F.col("shared")
+    return counted.where(F.col("shared") * 100 >= union * percent).select(
+        "a", "b", "shared", union.alias("all_tokens")
+    )
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    return _compared(pairs, sets, percent).select("a", "b")
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
@@ -338,50 +436,76 @@ def _rooted(rows: DataFrame, roots: DataFrame, column: str, name: str) -> DataFr
     ).drop("known", "known_root")
 
 
-def near_components(
-    docs: DataFrame,
-    *,
-    width: int = 5,
-    percent: int = 80,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """Components of documents linked by a Jaccard similarity of at least ``percent / 100``.
+@dataclass(frozen=True)
+class _Classes:
+    """Documents, and their classes of equal sets as the nodes of the join.
 
-    A document's set holds its distinct shingles of ``width`` words (text without ASCII blanks,
-    A to Z lower-cased); with fewer words it is the whole sequence. Returns ``doc_id, n_shingles,
-    component_id`` (smallest id reachable by links), one row per row of ``docs``. A document
-    without words (null and empty texts) links with nothing and is its own component. Rows that
-    repeat an id are each compared by their own set. A row with a null id belongs to the
-    component of the documents with its set, or to none (null), and links no others. An empty
-    table gives no rows.
+    ``found``: a row per document with ``doc, said`` (a hash of its text), ``n, mark``.
+    ``classes``: ``mark, node, rep`` (the smallest id). ``reps``: ``doc`` (the node), ``n, first,
+    second, need``. ``postings``: ``doc, n, place, token, rows`` of tokens in two classes or more.
     """
-    texts = docs.select(
-        named(id_column).cast("long").alias("doc"), named(text_column).cast("string").alias("text")
-    )
-    counts = _bucket_counts(texts, width)
-    found = materialise(_prefixes(texts, counts, width, percent), "near-prefixes")
 
-    # classes of equal sets; everything below works on one document of each
+    texts: DataFrame
+    found: DataFrame
+    classes: DataFrame
+    reps: DataFrame
+    postings: DataFrame
+    width: int
+    percent: int
+
+    def seconds(self) -> DataFrame:
+        return self.reps.select("doc", "second", "need")
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """``doc, tokens`` of nodes."""
+        own = self.classes.join(nodes.select(F.col("doc").alias("node")), "node", "left_semi")
+        known = self.texts.where(F.col("doc").isNotNull()).select("doc", "text")
+        ids = materialise(own.select(F.col("rep").alias("doc")).distinct(), "near-candidate-ids")
+        sets = _candidate_sets(known, ids, self.width)
+        wanted = own.select(F.col("rep").alias("doc"), "mark", "node")
+        return materialise(
+            sets.join(wanted, ["doc", "mark"]).select(F.col("node").alias("doc"), "tokens")
+            .dropDuplicates(["doc"]),
+            "near-sets",
+        )
+
+
+def _classed(
+    docs: DataFrame, width: int, percent: int, id_column: str, text_column: str
+) -> _Classes:
+    text = named(text_column).cast("string")
+    texts = docs.select(named(id_column).cast("long").alias("doc"), text.alias("text"))
+    counts = _token_counts(texts, width)
+    prepared = texts.select("doc", "text", F.md5(F.col("text").cast("binary")).alias("said"))
+    found = materialise(_prefixes(prepared, counts, width, percent), "near-prefixes")
     filled = found.where((F.col("n") > 0) & F.col("doc").isNotNull())
     classes = materialise(
-        filled.groupBy("mark").agg(F.min("doc").alias("rep")), "near-classes"
+        filled.groupBy("mark").agg(F.min("doc").alias("rep"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "near-classes",
+    )
+    reps = found.join(classes, "mark").where(F.col("doc") == F.col("rep"))
+    reps = materialise(
+        reps.dropDuplicates(["node"]).select(
+            F.col("node").alias("doc"), "n", "first", "second", "need"
+        ),
+        "near-reps",
     )
-    reps = found.join(
-        classes.select(F.col("mark").alias("of_mark"), "rep"),
-        (F.col("mark") == F.col("of_mark")) & (F.col("doc") == F.col("rep")),
-        "left_semi",
-    ).dropDuplicates(["doc", "mark"])
-    reps = materialise(reps.select("doc", "n", "first", "second"), "near-reps")
     postings = reps.select(
         "doc", F.col("n").cast("int").alias("n"), F.posexplode("first").alias("place", "token")
     )
-    # lists with a single document lead nowhere
+    # lists with a single class lead nowhere
     lists = postings.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
     postings = postings.join(materialise(lists, "near-lists"), "token")
     postings = materialise(postings, "near-postings")
-    short = postings.where(F.col("rows") <= _SHORT_LIST)
-    long = postings.where(F.col("rows") > _SHORT_LIST)
+    return _Classes(texts, found, classes, reps, postings, width, percent)
+
+
+def _component_links(known: _Classes) -> DataFrame:
+    """Links that hold the components together, between nodes."""
+    percent, seconds = known.percent, known.seconds()
+    short = known.postings.where(F.col("rows") <= _SHORT_LIST)
+    long = known.postings.where(F.col("rows") > _SHORT_LIST)
 
     # every pair of a short list, and each document of a long one with two of its members: the
     # one with the fewest rarer tokens, and any other
@@ -399,15 +523,11 @@ def near_components(
             percent, F.col("x") != F.col("y"),
         )
     )
-    seconds = reps.select("doc", "second")
     candidates = _second_order(near.distinct(), seconds)
-    nodes = materialise(
-        candidates.select(F.explode(F.array("a", "b")).alias("doc"))
-        .unionByName(long.select("doc")).distinct(),
-        "near-candidate-ids",
+    nodes = candidates.select(F.explode(F.array("a", "b")).alias("doc")).unionByName(
+        long.select("doc")
     )
-    known = texts.where(F.col("doc").isNotNull())
-    sets = materialise(_candidate_sets(known, nodes, width), "near-sets")
+    sets = known.sets(materialise(nodes.distinct(), "near-nodes"))
     links = materialise(_verified(candidates, sets, percent), "near-links")
     roots = components(links)
 
@@ -432,29 +552,134 @@ def near_components(
     )
     rest = _second_order(rest.distinct(), seconds)
     more = materialise(_verified(rest, sets, percent), "near-links")
-    roots = components(links.unionByName(more))
+    return links.unionByName(more)
+
+
+def _with_components(known: _Classes, by_id: bool) -> DataFrame:
+    """``found`` with ``component``, the smallest id of the classes linked with a row's class
+    (null without words); ``by_id``: rows that share an id are linked too."""
+    links = _component_links(known)
+    if by_id:
+        # of an id with several sets, each is linked with the first: none where ids are unique
+        several = (
+            known.found.where((F.col("n") > 0) & F.col("doc").isNotNull())
+            .groupBy("doc").agg(F.min("mark").alias("one"), F.max("mark").alias("other"))
+            .where(F.col("one") != F.col("other")).select("doc", "one")
+        )
+        number = known.classes.select("mark", "node")
+        shared = known.found.join(materialise(several, "near-repeated"), "doc").select(
+            "mark", "one"
+        ).distinct().join(number, "mark").select("one", F.col("node").alias("b")).join(
+            number.withColumnRenamed("mark", "one"), "one"
+        ).select(F.col("node").alias("a"), "b").where("a <> b")
+        links = links.unionByName(shared)
+    roots = components(links)
+    rooted = _rooted(known.classes, roots, "node", "root")
+    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component"))
+    rooted = rooted.join(materialise(smallest, "near-smallest"), "root").select(
+        "mark", "component"
+    )
+    return known.found.join(materialise(rooted, "near-components"), "mark", "left").select(
+        "doc", "said", "n", "component"
+    )
+
 
-    # back from representatives to documents: the smallest id of all classes of a component
-    classed = _rooted(classes.select("mark", "rep"), roots, "rep", "component")
-    classed = materialise(classed.select("mark", "component"), "near-components")
-    return found.join(classed, "mark", "left").select(
+def near_components(
+    docs: DataFrame,
+    *,
+    width: int = 5,
+    percent: int = 80,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """Components of documents linked by a Jaccard similarity of at least ``percent / 100``.
+
+    A document's set holds its distinct shingles of ``width`` words (text without ASCII blanks,
+    A to Z lower-cased); with fewer words it is the whole sequence. Returns ``doc_id, n_shingles,
+    component_id`` (smallest id reachable by links), one row per row of ``docs``. A document
+    without words (null and empty texts) links with nothing and is its own component. Rows that
+    repeat an id are each compared by their own set, and are linked by the id. A row with a null
+    id belongs to the component of the documents with its set, or to none (null), and links no
+    others. An empty table gives no rows.
+    """
+    known = _classed(docs, width, percent, id_column, text_column)
+    return _with_components(known, by_id=True).select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.coalesce("component", "doc")).otherwise(F.col("doc"))
         .alias("component_id"),
     )
 
 
+def near_links(
+    docs: DataFrame,
+    *,
+    width: int = 5,
+    percent: int = 80,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> tuple[DataFrame, DataFrame]:
+    """The join itself: all links between classes of equal sets, and the members of the classes.
+
+    Returns ``a, b, shared, all_tokens`` with ``a < b``, one row per pair of classes whose
+    similarity ``shared / all_tokens`` reaches ``percent / 100``, and ``doc_id, class_id``, one
+    row per document with an id and with words. Every pair of every posting list passes the two
+    orders and is verified, so no link is lost; a group of n similar, different texts has
+    n (n - 1) / 2 links, and they are all there. ``near_components`` does not need them.
+    """
+    known = _classed(docs, width, percent, id_column, text_column)
+    sides = _side(known.postings, "x"), _side(known.postings, "y")
+    near = _near_pairs(*sides, percent, F.col("x") < F.col("y")).distinct()
+    candidates = _second_order(near, known.seconds())
+    nodes = candidates.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    sets = known.sets(materialise(nodes, "near-nodes"))
+    members = known.found.where(F.col("doc").isNotNull()).join(
+        known.classes.select("mark", "node"), "mark"
+    )
+    return (
+        _compared(candidates, sets, percent),
+        members.select(F.col("doc").alias("doc_id"), F.col("node").alias("class_id")),
+    )
+
+
+def link_counts(links: DataFrame, members: DataFrame) -> DataFrame:
+    """``doc_id, class_id, n_links``: how many other documents each one is linked with, those
+    with an equal set included, from ``near_links``. No pair of documents is formed."""
+    sizes = members.groupBy("class_id").agg(F.count("*").alias("size"))
+    sizes = materialise(sizes, "class-sizes")
+    ends = links.select(F.explode(F.array(
+        F.struct(F.col("a").alias("class_id"), F.col("b").alias("other")),
+        F.struct(F.col("b").alias("class_id"), F.col("a").alias("other")),
+    )).alias("end")).select("end.*")
+    beside = ends.join(sizes.toDF("other", "others"), "other").groupBy("class_id").agg(
+        F.sum("others").alias("linked")
+    )
+    counts = sizes.join(beside, "class_id", "left").select(
+        "class_id", (F.coalesce("linked", F.lit(0)) + F.col("size") - 1).alias("n_links")
+    )
+    return members.join(materialise(counts, "class-links"), "class_id").select(
+        "doc_id", "class_id", "n_links"
+    )
+
+
 def keep_one(
-    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **how
+    docs: DataFrame,
+    *,
+    width: int = 5,
+    percent: int = 80,
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
-    """``docs`` with the smallest id of each component, all columns kept.
+    """``docs`` with the smallest id of each group of linked sets, all columns kept.
 
-    Rows without an id stay. Rows that repeat the kept id stay too.
+    Rows are decided on by their own text: of rows that repeat an id with other texts, only those
+    go whose set is linked with a document of a smaller id. Rows without an id stay, and so do
+    rows without words and rows that repeat the kept id and its set.
     """
-    found = near_components(docs, id_column=id_column, text_column=text_column, **how)
-    gone = fresh(docs, "near_gone")
-    dropped = found.where(F.col("component_id") < F.col("doc_id")).select(
-        F.col("doc_id").alias(gone)
-    )
-    dropped = materialise(dropped.distinct(), "near-dropped")
-    return docs.join(dropped, named(id_column).cast("long") == F.col(gone), "left_anti")
+    known = _classed(docs, width, percent, id_column, text_column)
+    names = [fresh(docs, "near_gone"), fresh(docs, "near_said")]
+    found = _with_components(known, by_id=False)
+    dropped = found.where(F.col("component") < F.col("doc")).select("doc", "said").distinct()
+    dropped = materialise(dropped.toDF(*names), "near-dropped")
+    said = F.md5(named(text_column).cast("string").cast("binary"))
+    same = (named(id_column).cast("long") == F.col(names[0])) & (said == F.col(names[1]))
+    return docs.join(dropped, same, "left_anti")
