@@ -122,16 +122,41 @@ def mix(
     empty text has size 0, and a source without words has target 0 and no copies. Rows that
     repeat id and text share a point, so they are taken alike. An empty table gives none.
     """
-    text = whole(named(text_column))
     sized = materialise(
         docs.select(
             named(id_column).alias("doc_id"),
             named(source_column).cast("string").alias("source"),
-            F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-            F.xxhash64(named(id_column), text).alias("point"),
+            F.regexp_count(whole(named(text_column)), F.lit(WORD)).cast("long").alias("size"),
+            _point(id_column, text_column).alias("point"),
         ),
         "mix-sizes",
     )
+    decided = _decided(sized, weights, share, most)
+    return (
+        sized.join(decided, F.col("source").eqNullSafe(F.col("cut_source")))
+        .withColumn("copies", _copies(F.col("point")))
+        .select(
+            "doc_id", "source", "size", "source_size", "target", "copies",
+            (F.col("size") * F.col("copies")).alias("taken"), "point",
+        )
+    )
+
+
+def _point(id_column: str, text_column: str) -> Column:
+    """A document's place on the hash line."""
+    return F.xxhash64(named(id_column), whole(named(text_column)))
+
+
+def _copies(point: Column) -> Column:
+    """How often a document at ``point`` is taken, beside its source's row of ``_decided``."""
+    once_more = _bucket(point, _LEVELS - 1) < F.col("threshold")
+    return F.col("whole") + once_more.cast("long")
+
+
+def _decided(
+    sized: DataFrame, weights: Sequence[float], share: float, most: float
+) -> DataFrame:
+    """One row per source: ``cut_source, source_size, target, whole, threshold``."""
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
     cuts = _targets(sizes, weights, share, most).select(
@@ -151,36 +176,45 @@ def mix(
         F.col("source").alias("cut_source"), "source_size", "target", "whole",
         F.coalesce(threshold, F.lit(0)).alias("threshold"),
     )
-    once_more = (_bucket(F.col("point"), _LEVELS - 1) < F.col("threshold")).cast("long")
-    return (
-        sized.join(
-            materialise(decided, "mix-thresholds"),
-            F.col("source").eqNullSafe(F.col("cut_source")),
-        )
-        .withColumn("copies", F.col("whole") + once_more)
-        .select(
-            "doc_id", "source", "size", "source_size", "target", "copies",
-            (F.col("size") * F.col("copies")).alias("taken"), "point",
-        )
-    )
+    return materialise(decided, "mix-thresholds")
 
 
-def take(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **how):
-    """The mix itself: the rows of ``docs``, each as often as it is taken, all columns kept.
+def take(
+    docs: DataFrame,
+    *,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as ``mix`` takes it, all columns kept.
 
-    Documents without words carry no weight and stay once.
+    A row is decided on by its own hash and its source's threshold, so only the table of sources
+    meets the texts. Documents without words carry no weight and stay once.
     """
-    decided = mix(docs, id_column=id_column, text_column=text_column, **how)
-    once = decided.groupBy("point").agg(
-        F.max(F.when(F.col("size") > 0, F.col("copies")).otherwise(1)).alias("times")
-    )
-    point, times, copy = (fresh(docs, x) for x in ("mix_point", "mix_times", "mix_copy"))
-    once = materialise(once.toDF(point, times), "mix-copies")
     text = whole(named(text_column))
+    sized = materialise(
+        docs.select(
+            named(source_column).cast("string").alias("source"),
+            F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
+            _point(id_column, text_column).alias("point"),
+        ),
+        "mix-sizes",
+    )
+    decided = _decided(sized, weights, share, most).select("cut_source", "whole", "threshold")
+    names = [fresh(docs, x) for x in ("mix_source", "mix_whole", "mix_threshold")]
+    copy = fresh(docs, "mix_copy")
+    once_more = (
+        _bucket(_point(id_column, text_column), _LEVELS - 1) < F.col(names[2])
+    ).cast("long")
+    times = F.when(text.rlike(WORD), F.col(names[1]) + once_more).otherwise(1)
     return (
-        docs.withColumn(point, F.xxhash64(named(id_column), text))
-        .join(once, point)
-        .where(F.col(times) > 0)
-        .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+        docs.join(
+            decided.toDF(*names),
+            named(source_column).cast("string").eqNullSafe(F.col(names[0])),
+        )
+        .withColumn(copy, F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
         .select(*[named(c) for c in docs.columns])
     )
