@@ -88,25 +88,37 @@ def as_text(found: Column) -> Column:
     return F.array_join(digits, "")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """Rows ``doc_id, text, sketch`` with ``next_text, next_sketch`` of the next document.
+def _blocks(docs: DataFrame, blocks: int) -> DataFrame:
+    """``docs`` with ``point``, the hash of the text, and ``block``: a number that grows along
+    the order of ids, falling, nulls last, then points, falling.
 
-    Next is the one with the next smaller id (a null id is the smallest); after the last comes
-    the first. Rows that repeat an id follow each other by the hash of their text. Ids are dealt
-    into blocks along their own quantiles, so one sort of each block and one row per block give
-    every neighbour, and each text moves once.
+    Blocks are cut at the quantiles of the ids. An id that several quantiles fall on is cut
+    further by its points, and so are the rows without an id, so a hot id is many blocks.
     """
-    spark = docs.sparkSession
-    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = docs.agg(
         F.percentile_approx(_ORDER, [i / blocks for i in range(1, blocks)], 10 * blocks)
     ).first()[0]
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts or [])) or [0]]).cast("array<bigint>")
-    block = F.coalesce(F.size(F.filter(bounds, lambda b: b > F.col(_ORDER))), F.lit(blocks))
-    rows = docs.withColumns(
-        {"block": F.when(F.col(_ORDER).isNull(), blocks).otherwise(block),
-         "point": F.xxhash64("text")}
-    )
+    bounds = F.array(*[F.lit(c) for c in sorted(cuts or [0])]).cast("array<bigint>")
+    rank = F.lit(0.5) - F.col("point") / float(1 << 64)  # 0 for the largest point, below 1
+    above = F.size(F.filter(bounds, lambda b: b > F.col(_ORDER)))
+    here = F.size(F.filter(bounds, lambda b: b == F.col(_ORDER)))
+    block = F.when(
+        F.col(_ORDER).isNull(), blocks + F.least(F.floor(rank * blocks), F.lit(blocks - 1))
+    ).otherwise(above + F.least(F.floor(rank * (here + 1)), here))
+    return docs.withColumn("point", F.xxhash64("text")).withColumn("block", block.cast("int"))
+
+
+def with_next(docs: DataFrame, **how) -> DataFrame:
+    """Rows ``doc_id, text`` with their ``sketch``, and ``next_text, next_sketch`` of the next
+    document.
+
+    Next is the one with the next smaller id (a null id is the smallest); after the last comes
+    the first. Rows that repeat an id follow each other by the hash of their text. Ids are dealt
+    into blocks along their own order, so one sort of each block and one row per block give
+    every neighbour, and each text moves once. An empty table gives none.
+    """
+    blocks = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _blocks(docs.select(_ORDER, "text"), blocks)
     first = materialise(
         rows.groupBy("block").agg(F.max(F.struct(_ORDER, "point")).alias("first"))
         .select("block", "first.*"),
@@ -124,7 +136,7 @@ def with_next(docs: DataFrame) -> DataFrame:
             "left_semi",
         )
         .dropDuplicates(["block"])
-        .select("block", F.col("text").alias("head_text"), F.col("sketch").alias("head_sketch"))
+        .select("block", F.col("text").alias("head_text"))
     )
     down = Window.partitionBy().orderBy("block")  # one row per block
     after = materialise(
@@ -138,14 +150,20 @@ def with_next(docs: DataFrame) -> DataFrame:
     )
     heads = materialise(
         after.join(heads, F.col("head_block") == F.col("block")).select(
-            F.col("last_block").alias("of_block"), "head_text", "head_sketch"
+            F.col("last_block").alias("of_block"), "head_text"
         ),
         "block-texts",
     )
+    # sketches of one text per block, made of the few rows that were written
+    heads = materialise(
+        heads.withColumn("head_sketch", sketch(F.col("head_text"), **how)), "block-sketches"
+    )
     order = Window.partitionBy("block").orderBy(
         F.col(_ORDER).desc_nulls_last(), F.col("point").desc()
     )
-    beside = rows.withColumn("next", F.lead(F.struct("text", "sketch")).over(order))
+    beside = rows.withColumn("sketch", sketch(F.col("text"), **how)).withColumn(
+        "next", F.lead(F.struct("text", "sketch")).over(order)
+    )
     last = F.col("next").isNull()
     return beside.join(heads, F.col("block") == F.col("of_block")).select(
         _ORDER, "text", "sketch",
@@ -158,17 +176,25 @@ def fingerprints(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **how
 ) -> DataFrame:
     """``doc_id, text`` (null as empty) and ``sketch``, one row per row of ``docs``."""
-    text = whole(named(text_column))
+    return _documents(docs, id_column, text_column).withColumn(
+        "sketch", sketch(F.col("text"), **how)
+    )
+
+
+def _documents(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(
-        named(id_column).cast("long").alias("doc_id"), text.alias("text"),
-        sketch(text, **how).alias("sketch"),
+        named(id_column).cast("long").alias("doc_id"),
+        whole(named(text_column)).alias("text"),
     )
 
 
-def edited_pairs(docs: DataFrame, **how) -> DataFrame:
+def edited_pairs(
+    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", **how
+) -> DataFrame:
     """Each document beside its edited text: the last third of its characters replaced by the
-    first as many of the next document (see ``with_next``)."""
-    paired = with_next(fingerprints(docs, **how))
+    first as many of the next document (see ``with_next``). A null text is empty; an empty
+    table gives none."""
+    paired = with_next(_documents(docs, id_column, text_column), **how)
     chars = F.char_length("text")
     third = F.floor(chars / 3).cast("int")
     edited = F.concat(
