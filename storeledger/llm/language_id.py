@@ -18,7 +18,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeledger.llm.common import fresh, named
@@ -132,16 +132,19 @@ def train(
 ) -> LanguageModel:
     """Learn piece probabilities from the rows with a language.
 
-    At most about ``sample`` documents per language are used (a fixed hash of the text decides
-    which), each as a whole. Rows without text or language teach nothing. Without any labelled
-    row the model knows no language.
+    At most ``sample`` different texts per language are used, each once and as a whole: those
+    with the smallest hashes, so copies of a text neither raise its weight nor the number. Rows
+    without text or language teach nothing. Without any labelled row the model knows no
+    language; an empty table has none.
     """
     labelled = docs.select(
         named(lang_column).cast("string").alias("lang"), named(text_column).alias("text")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    labelled = labelled.withColumn("place", F.xxhash64("text"))
     # one row per language
-    counts = {r["lang"]: r["rows"] for r in
-              labelled.groupBy("lang").agg(F.count("*").alias("rows")).collect()}
+    counts = {r["lang"]: r["texts"] for r in
+              labelled.select("lang", "place").distinct().groupBy("lang")
+              .agg(F.count("*").alias("texts")).collect()}
     languages = sorted(counts)
     pieces = public_pieces() if pieces is None else sorted(set(pieces))
     model = Pieces(
@@ -154,12 +157,16 @@ def train(
         return LanguageModel([], model)
 
     number = F.create_map(*[F.lit(x) for n, lang in enumerate(languages) for x in (lang, n)])
+    # twice as many as wanted by a share of the hashes, then exactly the smallest ones
     rate = F.create_map(
-        *[F.lit(x) for lang in languages for x in (lang, min(1.0, sample / counts[lang]))]
+        *[F.lit(x) for lang in languages for x in (lang, min(1.0, 2 * sample / counts[lang]))]
     )
-    place = (F.xxhash64("text").bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53))
-    chosen = labelled.where(place < rate[F.col("lang")]).select(
-        number[F.col("lang")].cast("int").alias("lang"), "text"
+    share = F.col("place") / float(1 << 64) + 0.5
+    smallest = Window.partitionBy("lang").orderBy("place")
+    chosen = (
+        labelled.where(share <= rate[F.col("lang")]).dropDuplicates(["lang", "place"])
+        .withColumn("nth", F.row_number().over(smallest)).where(F.col("nth") <= sample)
+        .select(number[F.col("lang")].cast("int").alias("lang"), "text")
     )
 
     context, width = docs.sparkSession.sparkContext, len(languages)
