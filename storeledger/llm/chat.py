@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.llm.common import named, whole
+from storeledger.staging import materialise
 
 # --- Fixed values: the grammar ---
 OPEN, HEAD, MIDDLE, CLOSE = "<turn>", "### ", ": ", "</turn>\n"
@@ -30,8 +31,10 @@ _TEXT_CONTROL = re.compile(r"(\\|<(?=/?turn>)|#(?=## ))")
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 _PART_CHARS = 1 << 20  # a longer conversation goes on in the next part
+_SPAN = 1 << 33  # parts of a task
 _PARTS = (
-    "conv_id {key}, part int, text string, loss array<struct<start:int,end:int>>, n_turns int"
+    "conv_id {key}, part long, whole boolean, text string,"
+    " loss array<struct<start:int,end:int>>, n_turns int"
 )
 
 
@@ -86,33 +89,40 @@ def format_chats(
 ) -> DataFrame:
     """Render conversations as text with a loss mask.
 
-    Returns ``conv_id, part, text, loss, n_turns``: ``loss`` lists the character spans of the
-    learned role's texts. A conversation is one row, or several parts of about a million
-    characters, cut between turns; rows of a conversation are streamed in order, never held
-    together. Order is the turn number (null first), ties go by role and text. Null roles and
-    texts are empty; rows without conversation id are one conversation; repeated rows are
-    repeated turns; an empty table gives none.
+    Returns ``conv_id, part, whole, text, loss, n_turns``: ``loss`` lists the character spans of
+    the learned role's texts. A conversation is one row, or several parts of about a million
+    characters, cut between turns and where a task ends; ``part`` grows along a conversation, and
+    ``whole`` marks a part that is known to be all of it. Rows are dealt out by range of
+    conversation and turn, so a conversation that holds much of the table is rendered, read back
+    and checked by many tasks, and streamed in each.
+
+    Order is the turn number (null first), ties go by role and text. Null roles and texts are
+    empty; rows without conversation id are one conversation; repeated rows are repeated turns;
+    an empty table gives none.
     """
     rows = turns.select(
         named(conversation_column).alias("conv_id"), named(turn_column).alias("turn"),
         whole(named(role_column)).alias("role"), whole(named(text_column)).alias("text"),
     )
     key = rows.schema["conv_id"].dataType
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    order = ["conv_id", "turn", "role", "text"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = ordered.select("conv_id", "role", "text", F.spark_partition_id().alias("task"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = None
-        current, part, waiting, size = None, 0, [], 0
+        kind, task, made, began = None, 0, 0, False
+        current, inside, earlier, waiting, size = None, False, 0, [], 0
 
-        def flush() -> pa.RecordBatch:
+        def flush(ended: bool) -> pa.RecordBatch:
             text, loss = _part(waiting, learned_role)
             spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([current], kind), pa.array([part], pa.int32()), pa.array([text]),
+                    pa.array([current], kind), pa.array([task * _SPAN + made]),
+                    pa.array([ended and inside and not earlier]), pa.array([text]),
                     pa.array([loss], spans), pa.array([len(waiting)], pa.int32()),
                 ],
-                names=["conv_id", "part", "text", "loss", "n_turns"],
+                names=["conv_id", "part", "whole", "text", "loss", "n_turns"],
             )
 
         for batch in batches:
@@ -120,16 +130,20 @@ def format_chats(
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
                 columns = (c.to_pylist() for c in piece.columns)
-                for conv, _, role, text in zip(*columns, strict=True):
+                for conv, role, text, own_task in zip(*columns, strict=True):
                     if waiting and (conv != current or size >= _PART_CHARS):
-                        yield flush()
-                        part = part + 1 if conv == current else 0
+                        yield flush(conv != current)
+                        made += 1
+                        earlier = earlier + 1 if conv == current else 0
                         waiting, size = [], 0
-                    current = conv
+                    if conv != current or not began:
+                        # its first turn is in this task if another one's is before it
+                        inside, began = began, True
+                    current, task = conv, own_task
                     waiting.append((role, text))
                     size += len(text)
         if waiting:
-            yield flush()
+            yield flush(False)  # may go on in the next task
 
     return ordered.mapInArrow(run, _PARTS.format(key=key.simpleString()))
 
@@ -137,10 +151,16 @@ def format_chats(
 def digests(formatted: DataFrame) -> DataFrame:
     """Read formatted conversations back: digests of their turns and of the text to learn from.
 
-    Returns ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``.
+    Returns ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``, one
+    row per conversation; that of the rows without an id has a null id, an empty table gives
+    none. Whole parts are read where they are; only the parts of a conversation that lies in
+    several tasks are brought together, in order, because a digest needs one stream.
     """
     key = formatted.schema["conv_id"].dataType.simpleString()
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    formatted = materialise(formatted, "chat-parts")
+    cut = formatted.where("not whole").repartition("conv_id").sortWithinPartitions(
+        "conv_id", "part"
+    )
     names = [
         "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars",
     ]
@@ -179,8 +199,10 @@ def digests(formatted: DataFrame) -> DataFrame:
         if state is not None:
             yield finished()
 
-    return ordered.mapInArrow(
-        run,
+    schema = (
         f"conv_id {key}, n_turns long, turns_sha256 string, loss_chars long,"
-        " loss_sha256 string, formatted_chars long",
+        " loss_sha256 string, formatted_chars long"
+    )
+    return formatted.where("whole").mapInArrow(run, schema).unionByName(
+        cut.mapInArrow(run, schema)
     )
