@@ -20,7 +20,8 @@ from storeledger.llm.common import ascii_lower, fresh, named, whole
 from storeledger.staging import lookup, materialise
 
 _BLANKS = " \t\n\x0b\x0c\r"
-_HOT_SHARE = 1000
+_HOT_SHARE = 1000  # a hash cell with more than this part of all lines, or more lines
+_HOT_ROWS = 1 << 20  # than this, is decided by sums
 
 
 def lines_of(text: Column) -> Column:
@@ -95,10 +96,12 @@ def line_bitmaps(
     counts = lines.groupBy(cell.alias("cell")).agg(F.count("*").alias("rows"))
     total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("all_rows"))
     hot = materialise(
-        counts.join(F.broadcast(total)).where(F.col("rows") * _HOT_SHARE > F.col("all_rows")),
+        counts.join(F.broadcast(total)).where(
+            (F.col("rows") * _HOT_SHARE > F.col("all_rows")) | (F.col("rows") > _HOT_ROWS)
+        ),
         "hot-lines",
     )
-    hot = F.broadcast(hot.select(F.col("cell").alias("hot")))  # fewer than _HOT_SHARE rows
+    hot = F.broadcast(hot.select(F.col("cell").alias("hot")))  # at most 65,536 cells
     dropped = _streamed(lines.join(hot, cell == F.col("hot"), "left_anti"), min_docs).unionByName(
         _summed(lines.join(hot, cell == F.col("hot"), "left_semi"), min_docs)
     )
