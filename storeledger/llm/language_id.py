@@ -304,7 +304,11 @@ def predict(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score``, one row per row of ``docs``."""
+    """``doc_id, held_out, lang_pred, score``, one row per row of ``docs``.
+
+    Of equally likely languages the first by name counts. Whole texts are scored; rows that
+    repeat an id are each predicted; an empty table gives none.
+    """
     return docs.select(
         named(id_column).alias("doc_id"), held_out(id_column).alias("held_out"),
         prediction(docs, model, text_column).alias("found"),

@@ -409,11 +409,20 @@ def _second_order(pairs: DataFrame, seconds: DataFrame) -> DataFrame:
     return materialise(passed, "near-candidates")
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose whole sets are similar, with the tokens they share and have."""
-    set_a = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("tokens_a"))
-    set_b = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("tokens_b"))
-    both = pairs.join(set_a, "a").join(set_b, "b")
+def _compared(
+    pairs: DataFrame, sets: DataFrame, marks: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs whose whole sets are similar, with the tokens they share and have.
+
+    ``marks`` has the signature of each node, by which ``sets`` are found.
+    """
+    def side(name: str) -> DataFrame:
+        return marks.select(F.col("doc").alias(name), F.col("mark").alias(f"mark_{name}"))
+
+    marked = pairs.join(side("a"), "a").join(side("b"), "b")
+    set_a = sets.select(F.col("mark").alias("mark_a"), F.col("tokens").alias("tokens_a"))
+    set_b = sets.select(F.col("mark").alias("mark_b"), F.col("tokens").alias("tokens_b"))
+    both = marked.join(set_a, "mark_a").join(set_b, "mark_b")
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     counted = both.select(
         "a", "b", shared.alias("shared"),
@@ -422,11 +431,13 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     union = F.col("sizes") - F.col("shared")
     return counted.where(F.col("shared") * 100 >= union * percent).select(
         "a", "b", "shared", union.alias("all_tokens")
-    )
+    ).distinct()  # a set may be there twice
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    return _compared(pairs, sets, percent).select("a", "b")
+def _verified(
+    pairs: DataFrame, sets: DataFrame, marks: DataFrame, percent: int
+) -> DataFrame:
+    return _compared(pairs, sets, marks, percent).select("a", "b")
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
@@ -456,17 +467,16 @@ class _Classes:
     def seconds(self) -> DataFrame:
         return self.reps.select("doc", "second", "need")
 
+    def marks(self) -> DataFrame:
+        return self.classes.select(F.col("node").alias("doc"), "mark")
+
     def sets(self, nodes: DataFrame) -> DataFrame:
-        """``doc, tokens`` of nodes."""
+        """``mark, tokens`` of nodes (and of a few other documents), as written."""
         own = self.classes.join(nodes.select(F.col("doc").alias("node")), "node", "left_semi")
         known = self.texts.where(F.col("doc").isNotNull()).select("doc", "text")
         ids = materialise(own.select(F.col("rep").alias("doc")).distinct(), "near-candidate-ids")
-        sets = _candidate_sets(known, ids, self.width)
-        wanted = own.select(F.col("rep").alias("doc"), "mark", "node")
         return materialise(
-            sets.join(wanted, ["doc", "mark"]).select(F.col("node").alias("doc"), "tokens")
-            .dropDuplicates(["doc"]),
-            "near-sets",
+            _candidate_sets(known, ids, self.width).select("mark", "tokens"), "near-sets"
         )
 
 
@@ -528,7 +538,7 @@ def _component_links(known: _Classes) -> DataFrame:
         long.select("doc")
     )
     sets = known.sets(materialise(nodes.distinct(), "near-nodes"))
-    links = materialise(_verified(candidates, sets, percent), "near-links")
+    links = materialise(_verified(candidates, sets, known.marks(), percent), "near-links")
     roots = components(links)
 
     # the rest of the long lists: pairs whose documents are in different components still
@@ -551,7 +561,7 @@ def _component_links(known: _Classes) -> DataFrame:
         _side(outside, "x", "root"), _side(split, "y", "root", "main"), percent, apart
     )
     rest = _second_order(rest.distinct(), seconds)
-    more = materialise(_verified(rest, sets, percent), "near-links")
+    more = materialise(_verified(rest, sets, known.marks(), percent), "near-links")
     return links.unionByName(more)
 
 
@@ -636,7 +646,7 @@ def near_links(
         known.classes.select("mark", "node"), "mark"
     )
     return (
-        _compared(candidates, sets, percent),
+        _compared(candidates, sets, known.marks(), percent),
         members.select(F.col("doc").alias("doc_id"), F.col("node").alias("class_id")),
     )
 

@@ -87,6 +87,13 @@ def test_fingerprints(spark, rows):
 def test_shards(spark, rows):
     got = {r.doc_id: r for r in result(spark, "op7_shard")}
     slots, shards = defaultdict(list), defaultdict(set)
+    loads, groups = Counter(), Counter()
+    for r in rows:
+        loads[got[r.doc_id].shard] += got[r.doc_id]["size"]
+        groups[r.text] += got[r.doc_id]["size"]
+    # no shard is further above an even share than the largest group of equal texts
+    assert max(loads.values()) <= sum(loads.values()) / 40 + max(groups.values())
+    assert set(loads) <= set(range(40))
     for r in rows:
         found, data = got[r.doc_id], (r.text or "").encode()
         assert found["size"] == len(data) + 16 and found.text_crc32 == zlib.crc32(data)
