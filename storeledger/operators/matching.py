@@ -123,7 +123,7 @@ def _grams(rows: DataFrame, text: str, *kept: str) -> DataFrame:
 
 
 def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
-    """Every needle that a text contains, beside the columns of ``texts``.
+    """Every ``needle`` that a ``text`` of its ``side`` contains, beside the columns of ``texts``.
 
     An inverted index: each needle is listed under the rarest gram it has, which must occur in
     the texts. What is shuffled of a text are its grams, a few bytes each with a number and a
@@ -132,58 +132,91 @@ def contained(texts: DataFrame, needles: DataFrame) -> DataFrame:
     per place in the needle and needle length, however many needles share them. A cut that
     equals a needle is a containment, so no pair is formed only to be rejected.
     """
+    key = ["side", "gram"]
     numbered = materialise(texts.withColumn("text_no", F.monotonically_increasing_id()), "texts")
-    spots = _grams(numbered, "text", "text_no")
-    seen = spots.groupBy("gram").agg(F.count("*").alias("uses"))
-    marks = lookup(_grams(needles, "needle", "needle"), seen, "gram")
+    spots = _grams(numbered, "text", "side", "text_no")
+    seen = spots.groupBy(*key).agg(F.count("*").alias("uses"))
+    marks = lookup(_grams(needles, "needle", "side", "needle"), seen, key)
     rarest = (
-        marks.groupBy("needle", "size")
+        marks.groupBy("side", "needle", "size")
         .agg(F.min(F.struct(F.coalesce("uses", F.lit(0)).alias("uses"), "gram", "at")).alias("g"))
         .where("g.uses > 0")  # a gram that no text has: the needle is in none
     )
-    cuts = rarest.groupBy("g.gram").agg(
+    cuts = rarest.groupBy("side", "g.gram").agg(
         F.collect_set(F.struct(F.col("g.at").alias("inside"), F.col("size").alias("length")))
         .alias("cuts")
     )
     start = F.col("at") - F.col("cut.inside") + 1
     fits = (start >= 1) & (start + F.col("cut.length") - 1 <= F.col("size"))
     places = (
-        lookup(spots, cuts, "gram", "inner").withColumn("cut", F.explode("cuts")).where(fits)
+        lookup(spots, cuts, key, "inner").withColumn("cut", F.explode("cuts")).where(fits)
         .select("text_no", start.alias("start"), F.col("cut.length").alias("length"))
     )
     needle = F.substr(F.col("text"), F.col("start"), F.col("length"))
     return (
         places.join(numbered, "text_no").withColumn("needle", needle)
         .select(*texts.columns, "needle").distinct()
-        .join(needles.select("needle"), "needle", "left_semi")
+        .join(needles.select("side", "needle"), ["side", "needle"], "left_semi")
     )
 
 
-def contains_hits(names: DataFrame, keys: DataFrame) -> DataFrame:
-    """(norm_name, hit) of names inside exactly one CRM name or location name."""
-    needles = names.select(F.col("norm_name").alias("needle")).distinct()
+# Which side is searched for the names of the other.
+IN_CRM, IN_NAME = "in crm", "in name"
+
+
+def _side(name: str) -> Column:
+    return F.lit(name).alias("side")
+
+
+def _searched_crm(names: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     either = _by(keys, *NAME).toDF("text", "lo", "hi").unionByName(
         _by(keys, *LOCATION_NAME).toDF("text", "lo", "hi")
     )
     texts = either.groupBy("text").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    found = contained(texts, needles).groupBy("needle").agg(
+    needles = names.select(_side(IN_CRM), F.col("norm_name").alias("needle")).distinct()
+    return texts.select(_side(IN_CRM), "text", "lo", "hi"), needles
+
+
+def _searched_names(names: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    nothing = F.lit(None).cast("bigint")
+    texts = names.select(
+        _side(IN_NAME), F.col("norm_name").alias("text"), nothing.alias("lo"), nothing.alias("hi")
+    ).distinct()
+    return texts, _by(keys, *NAME).select(_side(IN_NAME), F.col("norm_name").alias("needle"))
+
+
+def _inside(found: DataFrame) -> DataFrame:
+    hits = found.where(F.col("side") == IN_CRM).groupBy("needle").agg(
         _single(F.min("lo"), F.max("hi")).alias("hit")
     )
-    return found.where(F.col("hit").isNotNull()).withColumnRenamed("needle", "norm_name")
+    return hits.where(F.col("hit").isNotNull()).withColumnRenamed("needle", "norm_name")
+
+
+def _around(found: DataFrame, keys: DataFrame) -> DataFrame:
+    owners = _by(keys, *NAME).withColumnRenamed("norm_name", "needle")
+    hits = (
+        found.where(F.col("side") == IN_NAME).select("text", "needle").join(owners, "needle")
+        .groupBy("text").agg(_single(F.min("lo"), F.max("hi")).alias("hit"))
+    )
+    return hits.where(F.col("hit").isNotNull()).withColumnRenamed("text", "norm_name")
+
+
+def contains_hits(names: DataFrame, keys: DataFrame) -> DataFrame:
+    """(norm_name, hit) of names inside exactly one CRM name or location name."""
+    return _inside(contained(*_searched_crm(names, keys)))
 
 
 def contained_by_hits(names: DataFrame, keys: DataFrame) -> DataFrame:
     """(norm_name, hit) of names that exactly one CRM name is part of."""
-    needles = _by(keys, *NAME).withColumnRenamed("norm_name", "needle")
-    texts = names.select(F.col("norm_name").alias("text")).distinct()
-    return (
-        contained(texts, needles)
-        .join(needles, "needle")
-        .groupBy("text")
-        .agg(_single(F.min("lo"), F.max("hi")).alias("hit"))
-        .where(F.col("hit").isNotNull())
-        .withColumnRenamed("text", "norm_name")
-    )
+    return _around(contained(*_searched_names(names, keys)), keys)
+
+
+def containment_hits(names: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both of these, from one index over the texts of both sides."""
+    sides = zip(_searched_crm(names, keys), _searched_names(names, keys), strict=True)
+    texts, needles = (one.unionByName(other) for one, other in sides)
+    found = materialise(contained(texts, needles), "contained")
+    return _inside(found), _around(found, keys)
 
 
 def match_contains(keyed: DataFrame, crm: DataFrame) -> DataFrame:
@@ -282,8 +315,9 @@ def resolve(keyed: DataFrame, crm: DataFrame, config: Config) -> DataFrame:
         "names",
     )
     unnamed = names.where(F.coalesce("name_hit", "location_hit").isNull()).select("norm_name")
-    inside = contains_hits(unnamed, keys).withColumnRenamed("hit", "contains_hit")
-    around = contained_by_hits(unnamed, keys).withColumnRenamed("hit", "contained_hit")
+    inside, around = containment_hits(unnamed, keys)
+    inside = inside.withColumnRenamed("hit", "contains_hit")
+    around = around.withColumnRenamed("hit", "contained_hit")
     place = first_by(keys, *PLACE).withColumnRenamed("hit", "place_hit")
     address = only_by_address(keys).withColumnRenamed("hit", "address_hit")
     street = match_street_number(keyed, crm, config).withColumnRenamed("hit", "street_hit")

@@ -89,33 +89,42 @@ def _remove(spark: SparkSession, folders: Sequence[str]) -> None:
         files.delete(path, True)
 
 
-def store_report_tables(run: Run, folder: str) -> dict[str, list[str]]:
-    """Store a run: monthly sums by location and by SKU and location, the map of the locations,
-    the descriptions, and the snapshot and top SKUs of its report month. Returns the months of
-    the two long tables that changed."""
-    changed = {
-        BY_LOCATION: store_months(
-            views.sales_by_location_month_long(run.cells), f"{folder}/{BY_LOCATION}"
-        ),
-        BY_SKU: store_months(
-            views.by_sku_location_month_long(run.cells), f"{folder}/{BY_SKU}"
-        ),
-    }
-    run.location_map.write.mode("overwrite").parquet(f"{folder}/{LOCATIONS}")
-    run.descriptions.write.mode("overwrite").parquet(f"{folder}/{DESCRIPTIONS}")
-    store_snapshots(run, folder)
+SNAPSHOTS = ("location_snapshot", "top_skus")
+WIDE = {  # table: the long table and the measure it is made of
+    "sales_by_location_month": (BY_LOCATION, "total"),
+    "sales_by_sku_location_month": (BY_SKU, "total"),
+    "qty_by_sku_location_month": (BY_SKU, "qty"),
+}
+
+
+def store_report_tables(
+    run: Run, folder: str, tables: Sequence[str] = (*WIDE, *SNAPSHOTS)
+) -> dict[str, list[str]]:
+    """Store what the report tables are made of: monthly sums by location and by SKU and
+    location, the map of the locations, the descriptions, and the snapshot and the top SKUs of
+    the run's report month. Returns the months of each long table that changed.
+
+    Months that did not change and the snapshots of other report months are left as they are.
+    """
+    long = {WIDE[name][0] for name in tables if name in WIDE}
+    changed = {}
+    if BY_LOCATION in long:
+        sums = views.sales_by_location_month_long(run.cells)
+        changed[BY_LOCATION] = store_months(sums, f"{folder}/{BY_LOCATION}")
+    if BY_SKU in long:
+        sums = views.by_sku_location_month_long(run.cells)
+        changed[BY_SKU] = store_months(sums, f"{folder}/{BY_SKU}")
+        run.descriptions.write.mode("overwrite").parquet(f"{folder}/{DESCRIPTIONS}")
+    if long:
+        run.location_map.write.mode("overwrite").parquet(f"{folder}/{LOCATIONS}")
+    for name in SNAPSHOTS:
+        if name in tables:
+            getattr(run, name)().write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("report_month").parquet(f"{folder}/{name}")
     return changed
 
 
-def store_snapshots(run: Run, folder: str) -> None:
-    """The snapshot and the top SKUs; those of other report months stay."""
-    for name, table in (("location_snapshot", run.location_snapshot()),
-                        ("top_skus", run.top_skus())):
-        table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "report_month"
-        ).parquet(f"{folder}/{name}")
-
-
 def _months(long: DataFrame) -> list[str]:
     """Months of a stored table: the names of its folders, one row each."""
     return sorted(r["yyyymm"] for r in long.select("yyyymm").distinct().collect())
@@ -123,16 +132,17 @@ def _months(long: DataFrame) -> list[str]:
 
 def read_report_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the five report tables, from what is stored."""
-    if name in ("location_snapshot", "top_skus"):
+    if name in SNAPSHOTS:
         found = spark.read.parquet(f"{folder}/{name}")
         return found.withColumn("report_month", F.col("report_month").cast("string"))
+    if name not in WIDE:
+        raise ValueError(f"no report table {name}")
+    kind, value = WIDE[name]
+    long = _stored(spark, f"{folder}/{kind}")
+    if long is None:
+        raise FileNotFoundError(f"{name} is not stored in {folder}")
     locations = spark.read.parquet(f"{folder}/{LOCATIONS}")
-    if name == "sales_by_location_month":
-        long = _stored(spark, f"{folder}/{BY_LOCATION}")
+    if kind == BY_LOCATION:
         return views.wide_by_location(long, locations, _months(long))
-    values = {"sales_by_sku_location_month": "total", "qty_by_sku_location_month": "qty"}
-    if name not in values:
-        raise ValueError(f"no report table {name}")
-    long = _stored(spark, f"{folder}/{BY_SKU}")
     descriptions = spark.read.parquet(f"{folder}/{DESCRIPTIONS}")
-    return views.wide_by_sku_location(long, descriptions, locations, _months(long), values[name])
+    return views.wide_by_sku_location(long, descriptions, locations, _months(long), value)

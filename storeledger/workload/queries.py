@@ -710,17 +710,19 @@ def delivery_results(spark, sf):
 
 
 def _stored_table(spark, sf, name, grain=cell_ops.FULL_GRAIN) -> DataFrame:
-    """A report table stored twice, of which the second time changes nothing, and read back."""
+    """A report table stored twice, of which the second time changes no month, and read back."""
     folder, run = staging_path(spark, "report-store"), _run(spark, sf, grain)
-    for changes in (True, False):
-        changed = store.store_report_tables(run, folder)
-        assert all(map(bool, changed.values())) == changes
+    store.store_report_tables(run, folder, [name])
+    again = store.store_report_tables(run, folder, [name])
+    if any(again.values()):
+        raise ValueError(f"stored months changed without a change: {again}")
     return store.read_report_table(spark, folder, name)
 
 
 @query
 def stored_sales_by_location_month(spark, sf):
-    return _stored_table(spark, sf, "sales_by_location_month")
+    grain = cell_ops.LOCATION_PLACE_GRAIN
+    return _stored_table(spark, sf, "sales_by_location_month", grain)
 
 
 @query
@@ -735,7 +737,7 @@ def stored_qty_by_sku_location_month(spark, sf):
 
 @query
 def stored_location_snapshot(spark, sf):
-    return _stored_table(spark, sf, "location_snapshot")
+    return _stored_table(spark, sf, "location_snapshot", SNAPSHOT_GRAIN)
 
 
 @query

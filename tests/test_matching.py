@@ -213,6 +213,8 @@ def test_containment_equals_nested_loop(spark, crm):
     keys = matching.crm_keys(table)
     assert dict(rows(matching.contains_hits(keyed, keys), "norm_name", "hit")) == inside
     assert dict(rows(matching.contained_by_hits(keyed, keys), "norm_name", "hit")) == around
+    both = [dict(rows(hits, "norm_name", "hit")) for hits in matching.containment_hits(keyed, keys)]
+    assert both == [inside, around]
     assert inside and around
 
 
