@@ -120,7 +120,7 @@ def _token_counts(texts: DataFrame, width: int) -> Counts:
     """One pass over all texts.
 
     A task keeps the counts of all buckets, and of tokens the most frequent ones: after every
-    four million tokens only twice as many as it may name go on. What reaches the driver is one
+    million tokens only twice as many as it may name go on. What reaches the driver is one
     table of buckets and the ``_FREQUENT`` tokens with the largest sums over the tasks. The
     counts only order tokens, the same for all documents, so an inexact one costs no result.
     """
@@ -161,7 +161,7 @@ def _token_counts(texts: DataFrame, width: int) -> Counts:
             for _, texts in _parts(batch.column(0), 512):
                 hashes, seen = shingler.hashes(texts)[0], True
                 waiting.append(hashes)
-                if sum(map(len, waiting)) > 4 << 20:
+                if sum(map(len, waiting)) > 1 << 20:
                     tokens, uses = added()
                     waiting = []
         if waiting:
