@@ -175,9 +175,9 @@ def _read_split(
         .withColumn("cells", F.array(*[F.col(f"parsed.c{i}") for i in range(width)]))
         .select(
             "file", "sourcefile", "block", "row", "names",
+            # place 0, of a column the file lacks, gives null
             *[
-                F.when(F.col(f"places.at{i}") > 0, F.get("cells", F.col(f"places.at{i}") - 1))
-                .alias(c)
+                F.get("cells", F.col(f"places.at{i}") - 1).alias(c)
                 for i, c in enumerate(columns)
             ],
         )
