@@ -34,10 +34,20 @@ def by_sku_location_month_long(cells: DataFrame) -> DataFrame:
     )
 
 
-def _month(values: Column, month: str) -> Column:
-    """Value of a month in a map by month, 0 where a key has no sales."""
-    found = F.try_element_at(values, F.lit(month)).cast("double")
-    return F.coalesce(found, F.lit(0.0)).alias(month)
+def _month_columns(rows: DataFrame, meta: Sequence[str], months: Sequence[str]) -> DataFrame:
+    """``meta`` and a column per month, 0 where a key has no sales, from the map ``values``.
+
+    The map is brought into the order of the months first, and the columns take their places
+    from that. A search of the map in every column makes one method of the whole table, too long
+    for the JVM to compile.
+    """
+    def value(month: Column) -> Column:
+        return F.coalesce(F.try_element_at("values", month).cast("double"), F.lit(0.0))
+
+    in_order = F.transform(F.array(*map(F.lit, months)), value)
+    return rows.select(*meta, in_order.alias("in_order")).select(
+        *meta, *[F.get("in_order", F.lit(at)).alias(month) for at, month in enumerate(months)]
+    )
 
 
 def _by_month(long: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -66,9 +76,8 @@ def wide_by_location(
 ) -> DataFrame:
     """A row per location with a column per month, from sums per location and month."""
     meta = ("location_code", "customer_name", "chain", "crm_customer_id", "crm_customer_name")
-    return enrich(_by_month(long, ["location_code"], "total"), location_map).select(
-        *meta, *[_month(F.col("values"), m) for m in months]
-    )
+    named = enrich(_by_month(long, ["location_code"], "total"), location_map)
+    return _month_columns(named, meta, months)
 
 
 def wide_by_sku_location(
@@ -83,9 +92,7 @@ def wide_by_sku_location(
     values = _by_month(long, ["location_code", "vendor_item"], value)
     described = values.join(descriptions, "vendor_item", "left")
     meta = ("location_code", "chain", "crm_customer_id", "vendor_item", "item_description")
-    return enrich(described, location_map).select(
-        *meta, *[_month(F.col("values"), m) for m in months]
-    )
+    return _month_columns(enrich(described, location_map), meta, months)
 
 
 def sales_by_location_month(
