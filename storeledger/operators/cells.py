@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from storeledger.config import SOURCES
-from storeledger.operators.unify import precedence_dedup
+from storeledger.operators.unify import drop_reported_twice, precedence_dedup, written_codes
 from storeledger.staging import materialise
 
 PLACE = ("customer_name", "address", "city", "state", "zip")
@@ -46,9 +46,10 @@ class Audit:
     after: dict
 
 
-def _noted(grain: Sequence[str]) -> list[Column]:
+def _noted(grain: Sequence[str], counted: str = "true") -> list[Column]:
     def lines(condition: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("lines"))), F.lit(0)).alias(name)
+        found = F.sum(F.when(F.expr(counted) & condition, F.col("lines")))
+        return F.coalesce(found, F.lit(0)).alias(name)
 
     found = [lines(F.lit(True), "lines"), lines(F.col("location_code").isNull(), "unlocated")]
     found += [lines(F.col("source") == name, name) for name in SOURCES]
@@ -73,6 +74,35 @@ def observed_cells(
     return cells, Audit(before.get, after.get)
 
 
+def cells_and_places(
+    sales: DataFrame, grain: Sequence[str] = FULL_GRAIN
+) -> tuple[DataFrame, DataFrame, Audit]:
+    """Deduplicated cells of ``grain`` without the places, the lines of each location's places,
+    and the audit.
+
+    The places of a location are needed once, for its reference row, and no sum depends on them.
+    Grouping sets sum the cells and count the places side by side, in one scan and one shuffle:
+    a cell is not repeated for every way a location's address is written, and carries none of it.
+    """
+    keys = [name for name in grain if name not in PLACE]
+    spots = ["source", "location_code", *PLACE]
+    columns = list(dict.fromkeys([*keys, *spots]))
+    both = sales.groupingSets([keys, spots], *columns).agg(
+        F.grouping("yyyymm").cast("int").alias("of_place"),
+        F.sum("total").alias("total"),
+        F.sum("qty").alias("qty"),
+        F.count("*").alias("lines"),
+    )
+    before, after = Observation("before-dedup"), Observation("after-dedup")
+    summed = materialise(both.observe(before, *_noted(grain, "of_place = 0")), "summed")
+    spot_lines = summed.where("of_place = 1").select(*spots, "lines")
+    cells = summed.where("of_place = 0").select(*keys, "total", "qty", "lines")
+    codes = written_codes(spot_lines)
+    kept = drop_reported_twice(cells, codes).observe(after, *_noted(grain))
+    cells = materialise(kept, "cells")
+    return cells, drop_reported_twice(spot_lines, codes), Audit(before.get, after.get)
+
+
 def sales_cells(sales: DataFrame, grain: Sequence[str] = FULL_GRAIN) -> DataFrame:
     """Deduplicated cells alone."""
     return observed_cells(sales, grain)[0]

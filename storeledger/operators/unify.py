@@ -33,8 +33,16 @@ def precedence_dedup(sales: DataFrame, chains: DataFrame | None = None) -> DataF
     is not shuffled when they are few. When they are many, the sort-merge anti
     join splits a hot location at run time.
     """
-    known = chain_codes(sales if chains is None else chains)
-    codes = materialise(known, "chain-codes").withColumnRenamed("location_code", "chain_code")
+    return drop_reported_twice(sales, written_codes(sales if chains is None else chains))
+
+
+def written_codes(chains: DataFrame) -> DataFrame:
+    return materialise(chain_codes(chains), "chain-codes")
+
+
+def drop_reported_twice(sales: DataFrame, codes: DataFrame) -> DataFrame:
+    """``precedence_dedup`` with codes that are written already."""
+    codes = codes.withColumnRenamed("location_code", "chain_code")
     reported_twice = ~F.col("source").isin(*AUTHORITATIVE) & (
         F.col("location_code") == F.col("chain_code")
     )

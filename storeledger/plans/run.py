@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from storeledger.config import Config
 from storeledger.operators import payloads as forms
 from storeledger.operators import quality
-from storeledger.operators.cells import FULL_GRAIN, Audit, observed_cells
+from storeledger.operators.cells import (
+    FULL_GRAIN, PLACE, Audit, cells_and_places, observed_cells,
+)
 from storeledger.operators.locations import location_ref, one_per_location
 from storeledger.operators.matching import apply_overrides, location_map, unmapped_locations
 from storeledger.operators.metrics import (
@@ -101,13 +103,17 @@ def run(
     The sales are read once. The location map is built unless one is given;
     customers set by hand in ``overrides`` win over matched ones. SKUs named in
     ``sku_aliases`` are renamed. A coarser ``grain`` does for a run that makes
-    some of the reports only.
+    some of the reports only. The cells carry no places: those are counted
+    beside them, for a map that is built.
     """
-    cells, audit = observed_cells(sales, grain)
+    if saved_map is None:
+        cells, places, audit = cells_and_places(sales, grain)
+    else:
+        cells, audit = observed_cells(sales, [name for name in grain if name not in PLACE])
     if sku_aliases is not None:
         cells = apply_sku_aliases(cells, sku_aliases)
     if saved_map is None:
-        mapped = location_map(location_ref(cells), crm, config)
+        mapped = location_map(location_ref(places), crm, config)
     else:
         mapped = one_per_location(saved_map)
     if overrides is not None:

@@ -36,12 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
+    # one by one: Spark takes nations joined with regions for a table larger than the customers
     return (
         table(spark, sf_dir, "customer")
-        .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .withColumn(
             "chain",
             F.when(F.col("c_mktsegment") == SEGMENTS[CHAIN_A], CHAIN_A).when(
@@ -99,11 +98,11 @@ def report_lines(
     """Raw report lines of the given sources, tagged with ``source``.
 
     One scan of the order lines serves all sources. ``items`` False leaves out
-    the part table for reports without SKUs.
+    the part table for reports without SKUs. Parts are joined first, while the
+    lines are narrow: where the parts are too large to broadcast, this shuffles
+    no text of the invoices.
     """
-    lines = table(spark, sf_dir, "lineitem").join(
-        invoices(spark, sf_dir, sources), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    lines = table(spark, sf_dir, "lineitem")
     if items:
         parts = table(spark, sf_dir, "part")
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -111,6 +110,9 @@ def report_lines(
         lines = lines.withColumns(
             {"p_name": F.lit(None).cast("string"), "p_type": F.lit(None).cast("string")}
         )
+    lines = lines.join(
+        invoices(spark, sf_dir, sources), F.col("l_orderkey") == F.col("o_orderkey")
+    )
     is_fee = F.col("sourcefile").contains(FEE_MONTH)
     return lines.select(
         "source", "sourcefile", "invoice", "invoice_date", "customer", "location",
