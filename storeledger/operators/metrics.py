@@ -126,10 +126,14 @@ def most_popular_sku(group_qty: DataFrame) -> DataFrame:
     return group_qty.groupBy("location_code").agg(best["sku_display"].alias("most_popular_sku"))
 
 
+def last_columns(months: Sequence[str]) -> list[str]:
+    return sorted(months)[-3:]
+
+
 def sku_sales_3m(cells: DataFrame, months: Sequence[str]) -> DataFrame:
     """Average sales per (location, SKU) over the last three of ``months``, the
     columns of the SKU tables, whatever the report month is."""
-    last = sorted(months)[-3:]
+    last = last_columns(months)
     return (
         located(cells)
         .where(F.col("vendor_item").isNotNull() & F.col("yyyymm").isNotNull())

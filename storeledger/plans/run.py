@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.config import Config
+from storeledger.functions.months import months_back
 from storeledger.operators import payloads as forms
 from storeledger.operators import quality
 from storeledger.operators.cells import (
@@ -19,7 +20,7 @@ from storeledger.operators.cells import (
 from storeledger.operators.locations import location_ref, one_per_location
 from storeledger.operators.matching import apply_overrides, location_map, unmapped_locations
 from storeledger.operators.metrics import (
-    Period, month_list, period, sku_month_list, sku_sales_3m,
+    Period, in_months, last_columns, month_list, period, sku_month_list, sku_sales_3m,
 )
 from storeledger.operators.payloads import form_fields, form_payloads
 from storeledger.operators.skus import apply_sku_aliases, canonical_description
@@ -68,6 +69,12 @@ class Run:
     def sku_sales_3m(self) -> DataFrame:
         return sku_sales_3m(self.cells, self.sku_months)
 
+    def sku_sales_sold(self) -> DataFrame:
+        """``sku_sales_3m`` of the SKUs sold in these months, for reports that show 0 for all
+        others: what a location sold before is not shuffled."""
+        sold = self.cells.where(in_months(last_columns(self.sku_months)))
+        return sku_sales_3m(sold, self.sku_months)
+
     @cached_property
     def sku_months(self) -> tuple[str, ...]:
         return tuple(sku_month_list(self.cells))
@@ -97,15 +104,20 @@ def run(
     overrides: DataFrame | None = None,
     sku_aliases: DataFrame | None = None,
     grain: Sequence[str] = FULL_GRAIN,
+    sku_months: Sequence[str] | None = None,
 ) -> Run:
     """Prepare a run over the tagged, standardised union of all sources.
 
     The sales are read once. The location map is built unless one is given;
     customers set by hand in ``overrides`` win over matched ones. SKUs named in
     ``sku_aliases`` are renamed. A coarser ``grain`` does for a run that makes
-    some of the reports only. The cells carry no places: those are counted
-    beside them, for a map that is built.
+    some of the reports only, and so do SKUs told apart in ``sku_months`` alone:
+    the cells of other months are then sums over all SKUs. The cells carry no
+    places: those are counted beside them, for a map that is built.
     """
+    if sku_months is not None:
+        of_sku = F.when(in_months(sku_months), F.col("vendor_item"))
+        sales = sales.withColumn("vendor_item", of_sku)
     if saved_map is None:
         cells, places, audit = cells_and_places(sales, grain)
     else:
@@ -123,6 +135,11 @@ def run(
     return Run(cells, mapped, months, period(months, config), config, audit)
 
 
+def snapshot_sku_months(config: Config) -> list[str] | None:
+    """Months whose SKUs the snapshot tells apart; None while the report month is not known."""
+    return config.report_month and months_back(config.report_month, 3)
+
+
 def saved_or_built(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], reuse: bool = True
 ) -> DataFrame:
@@ -171,7 +188,7 @@ def run_forms(prepared: Run, targets: DataFrame) -> Forms:
         targets,
         prepared.location_snapshot(),
         materialise(prepared.top_skus(), "top-skus"),
-        prepared.sku_sales_3m(),
+        prepared.sku_sales_sold(),
         prepared.config,
     )
 

@@ -122,10 +122,13 @@ def snapshot_metrics(cells: DataFrame, when: Period, config: Config) -> DataFram
 
     Sums per (location, SKU group) come first and give both the most popular
     group and, added up, the sales of the location, so no metric is joined.
+    Only the last three months are summed per group: the cells of all others are
+    combined to one row per location before they are shuffled.
     """
     recent = in_months(when.last3) & F.col("vendor_item").isNotNull()
+    told_apart = located(cells).withColumn("vendor_item", F.when(recent, F.col("vendor_item")))
     groups = (
-        variant_groups(located(cells), config)
+        variant_groups(told_apart, config)
         .groupBy("location_code", "sku_group", "sku_display")
         .agg(
             *[

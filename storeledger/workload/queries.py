@@ -53,7 +53,8 @@ def _period(cells: DataFrame) -> metrics.Period:
 
 def _run(spark, sf, grain=cell_ops.FULL_GRAIN) -> runs.Run:
     sales = star.tagged_sales(spark, sf, "vendor_item" in grain)
-    return runs.run(sales, star.crm(spark, sf), CONFIG, grain=grain)
+    sku_months = runs.snapshot_sku_months(CONFIG) if grain == SNAPSHOT_GRAIN else None
+    return runs.run(sales, star.crm(spark, sf), CONFIG, grain=grain, sku_months=sku_months)
 
 
 def _forms(spark, sf) -> runs.Forms:
@@ -606,7 +607,7 @@ def target_units(spark, sf):
 def target_sku_sales(spark, sf):
     run, resolved, top = _target_tables(spark, sf)
     listed = targets.target_skus(resolved, top, CONFIG)
-    priced = targets.with_sku_sales(listed, run.sku_sales_3m())
+    priced = targets.with_sku_sales(listed, run.sku_sales_sold())
     return priced.select("target_ord", "target_id", "position", "vendor_item", "avg_sales_3m")
 
 
@@ -614,7 +615,7 @@ def target_sku_sales(spark, sf):
 def sku_lines(spark, sf):
     run, resolved, top = _target_tables(spark, sf)
     listed = targets.target_skus(resolved, top, CONFIG)
-    priced = targets.with_sku_sales(listed, run.sku_sales_3m())
+    priced = targets.with_sku_sales(listed, run.sku_sales_sold())
     return targets.sku_lines(priced)
 
 

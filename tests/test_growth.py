@@ -1,0 +1,68 @@
+"""Work that is left out because no result depends on it, and results that stay the same."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from storeledger.config import Config
+from storeledger.operators import metrics, targets
+from storeledger.plans import run as runs
+from storeledger.plans import views
+from storeledger.workload import queries as q
+from storeledger.workload import star
+from tests.conftest import rows
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def full(spark):
+    return runs.run(star.tagged_sales(spark, SF), star.crm(spark, SF), q.CONFIG)
+
+
+def test_snapshot_tells_skus_apart_in_recent_months_only(full, monkeypatch):
+    seen = []
+
+    def noting(cells, config, real=views.variant_groups):
+        seen.append(cells)
+        return real(cells, config)
+
+    monkeypatch.setattr(views, "variant_groups", noting)
+    views.snapshot_metrics(full.cells, full.period, q.CONFIG)
+    named = seen[0].where(F.col("vendor_item").isNotNull())
+    months = {r["yyyymm"] for r in named.select("yyyymm").distinct().collect()}
+    assert months and months <= set(full.period.last3)
+
+
+def test_cells_for_the_snapshot_sum_over_skus_of_other_months(spark, full, monkeypatch):
+    made = []
+
+    def noting(*given, real=runs.run, **named):
+        made.append(real(*given, **named))
+        return made[-1]
+
+    monkeypatch.setattr(runs, "run", noting)
+    snapshot = q.registry()["location_snapshot"](spark, SF)
+    assert rows(snapshot) == rows(full.location_snapshot())
+    (lean,) = made
+    key = ("source", "location_code", "yyyymm")
+    old = ~metrics.in_months(full.period.last3)
+    assert lean.cells.where(old).count() == full.cells.where(old).select(*key).distinct().count()
+    assert lean.audit == full.audit and lean.months == full.months
+
+
+def test_skus_are_told_apart_while_the_report_month_is_not_known(spark):
+    assert runs.snapshot_sku_months(Config()) is None
+    assert runs.snapshot_sku_months(Config(report_month="2025-01")) == [
+        "2024-11", "2024-12", "2025-01"]
+
+
+def test_forms_sum_sku_sales_of_the_shown_months_only(spark, full):
+    every, sold = full.sku_sales_3m(), full.sku_sales_sold()
+    shown = metrics.in_months(full.sku_months[-3:])
+    keys = ("location_code", "vendor_item")
+    of_shown = metrics.located(full.cells).where(shown & F.col("vendor_item").isNotNull())
+    assert sold.count() == of_shown.select(*keys).distinct().count() < every.count()
+    listed = every.select(*keys)
+    assert rows(targets.with_sku_sales(listed, sold)) == rows(targets.with_sku_sales(listed, every))
