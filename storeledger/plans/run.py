@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storeledger.config import Config
 from storeledger.functions.months import months_back
@@ -240,7 +241,10 @@ def delivered(spark: SparkSession, path: str, row_tag: str = "form") -> DataFram
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        found = spark.createDataFrame([], schema)
+        nothing = T.StructType.fromDDL(schema)  # without a data row, and without Python workers
+        found = spark.range(0).select(
+            *[F.lit(None).cast(field.dataType).alias(field.name) for field in nothing]
+        )
     return found.select(*forms.from_xml_form(), "report_month")
 
 
@@ -254,23 +258,33 @@ def deliver(built: Forms, path: str, row_tag: str = "form") -> DataFrame:
     has written stays, the rest is added, and a third run writes nothing. Returns ``target_ord,
     target_id, report_month, status`` of all targets, by what the sink held before and holds now:
     delivered, already there, failed (not in the sink), skipped (the target is unknown).
+
+    Which targets lack a form is known from their keys, so forms are built for those only, and a
+    sink that lacks none is not read again.
     """
     spark, keys = built.payloads.sparkSession, ["target_id", "report_month"]
-    months = built.resolved.select("target_ord", "report_month")
     before = materialise(
         delivered(spark, path, row_tag).select(*keys).distinct(), "delivered-before"
     )
-    new = built.payloads.join(months, "target_ord").join(before, keys, "left_anti")
-    new.select(forms.xml_form().alias("form"), "report_month").select(
-        "form.*", "report_month"
-    ).write.mode("append").partitionBy("report_month").format("xml").option(
-        "rowTag", row_tag
-    ).option("rootTag", f"{row_tag}s").save(path)
-    now = materialise(
-        delivered(spark, path, row_tag).select(*keys).distinct()
-        .join(before.withColumn("earlier", F.lit(True)), keys, "left"),
-        "delivered-now",
-    ).withColumn("there", F.lit(True))
+    lacking = materialise(
+        built.resolved.where(F.col("key_kind").isNotNull()).join(before, keys, "left_anti")
+        .select("target_ord", "report_month"),
+        "lacking",
+    )
+    earlier = before.withColumn("earlier", F.lit(True))
+    if lacking.isEmpty():
+        now = earlier
+    else:
+        built.payloads.join(lacking, "target_ord").select(
+            forms.xml_form().alias("form"), "report_month"
+        ).select("form.*", "report_month").write.mode("append").partitionBy(
+            "report_month"
+        ).format("xml").option("rowTag", row_tag).option("rootTag", f"{row_tag}s").save(path)
+        now = materialise(
+            delivered(spark, path, row_tag).select(*keys).distinct().join(earlier, keys, "left"),
+            "delivered-now",
+        )
+    now = now.withColumn("there", F.lit(True))
     status = (
         F.when(F.col("key_kind").isNull(), SKIPPED).when(F.col("earlier"), THERE)
         .when(F.col("there"), DELIVERED).otherwise(FAILED)

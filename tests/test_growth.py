@@ -66,3 +66,17 @@ def test_forms_sum_sku_sales_of_the_shown_months_only(spark, full):
     assert sold.count() == of_shown.select(*keys).distinct().count() < every.count()
     listed = every.select(*keys)
     assert rows(targets.with_sku_sales(listed, sold)) == rows(targets.with_sku_sales(listed, every))
+
+
+def test_a_delivery_that_adds_nothing_builds_no_form(spark, full, tmp_path):
+    path = str(tmp_path / "forms")
+    built = runs.run_forms(full, star.all_targets(spark, SF))
+    first = rows(runs.deliver(built, path).groupBy("status").count())
+    fails = built.payloads.withColumn("name", F.raise_error(F.lit("built again")).cast("string"))
+    again = runs.deliver(runs.Forms(built.resolved, built.fields, fails), path)
+    second = rows(again.groupBy("status").count())
+    counts = dict(first)
+    assert dict(second) == {"already there": counts["delivered"], "skipped": counts["skipped"]}
+    assert runs.delivered(spark, path).count() == counts["delivered"]
+    with pytest.raises(Exception, match="built again"):
+        runs.deliver(runs.Forms(built.resolved, built.fields, fails), path + "-new")
