@@ -18,7 +18,14 @@ BLANKS = "".join(
 
 
 def strip(text: Column) -> Column:
-    return F.btrim(text.cast("string"), F.lit(BLANKS))
+    """Text without blanks at its ends.
+
+    Spaces are cut first, which is quick. The search for all other blanks looks at every
+    character of the text, so only a text that begins or ends with one has it.
+    """
+    spaced = F.trim(text.cast("string"))
+    ends = [F.substring(spaced, at, 1).isin(*BLANKS) for at in (1, -1)]
+    return F.when(ends[0] | ends[1], F.btrim(spaced, F.lit(BLANKS))).otherwise(spaced)
 
 
 def normalize_header(text: Column) -> Column:
@@ -45,7 +52,9 @@ def norm_key_text(text: str) -> str:
 def concat_address(line1: Column, line2: Column) -> Column:
     def filled(line: Column) -> Column:
         part = strip(line)
-        return F.when((part != "") & (F.lower(part) != "nan"), part)
+        # lower case is slow to find, so it is asked for texts of that length alone
+        named = (F.length(part) != 3) | (F.lower(part) != "nan")
+        return F.when((part != "") & named, part)
 
     return F.concat_ws(", ", filled(line1), filled(line2))
 

@@ -106,3 +106,9 @@ def cells_and_places(
 def sales_cells(sales: DataFrame, grain: Sequence[str] = FULL_GRAIN) -> DataFrame:
     """Deduplicated cells alone."""
     return observed_cells(sales, grain)[0]
+
+
+def cells_read_once(sales: DataFrame, grain: Sequence[str] = FULL_GRAIN) -> DataFrame:
+    """Deduplicated cells alone, for a single reader: the sums are written, as the chains' codes
+    come from them, and the dedup is done where the cells are read."""
+    return precedence_dedup(materialise(sum_cells(sales, grain), "summed"))

@@ -103,10 +103,14 @@ def reconcile_totals(
 
     Both frames have ``location_code, vendor_item, yyyymm, total, qty``, at any finer grain:
     sums of a run, and single lines or other sums. Both are added up per location and month and
-    per SKU, location and month in one aggregation (grouping sets), which combines before it
-    shuffles, so no key of either side meets the other in a join. Rows without location or
-    month are in no report; rows without a SKU are in those by location only. Without
-    ``vendor_item``, ``total`` or ``qty`` on both sides that grain or measure is left out.
+    per SKU, location and month in one aggregation, so no key of either side meets the other in
+    a join. Rows without location or month are in no report; rows without a SKU are in those by
+    location only. Without ``vendor_item``, ``total`` or ``qty`` on both sides that grain or
+    measure is left out.
+
+    Rows are dealt out once, by location and month, and take part in both grains there. Sums
+    of a run are one row per key already, so combining them before the shuffle finds little, and
+    there a row would be a row per grain.
 
     One row per grain, key and measure: ``grain, location_code, vendor_item, yyyymm, measure,
     view_value, expected_value, status``, keys that only one side has included.
@@ -120,17 +124,26 @@ def reconcile_totals(
 
     both = reduce(DataFrame.unionByName, [
         df.select(
-            "location_code", sku, "yyyymm", F.lit(side).alias("side"),
+            "location_code", sku, "yyyymm", F.lit(side == "view").alias("in_view"),
             *[F.col(column).cast(AMOUNT).alias(column) for column in measures.values()],
         )
         for side, df in sides.items()
     ]).where(F.col("location_code").isNotNull() & F.col("yyyymm").isNotNull())
-    grain = F.when(F.grouping("vendor_item") == 0, BY_SKU).otherwise(BY_LOCATION)
-    grains = [keys, ["location_code", "yyyymm"]] if by_sku else [["location_code", "yyyymm"]]
-    compared = both.groupingSets(grains, *keys).agg(
-        (grain if by_sku else F.lit(BY_LOCATION)).alias("grain"),
-        *[F.count_if(F.col("side") == side).alias(f"{side}_rows") for side in sides],
-        *[F.sum(F.when(F.col("side") == side, F.col(column))).alias(f"{side}_{column}")
+    # a row counts in its location, and in its SKU there if it names one
+    in_location = F.struct(
+        F.lit(False).alias("of_sku"), F.lit(None).cast("string").alias("vendor_item")
+    )
+    in_sku = F.struct(F.lit(True).alias("of_sku"), "vendor_item")
+    parts = F.when(F.col("vendor_item").isNull(), F.array(in_location)).otherwise(
+        F.array(in_location, in_sku)
+    )
+    dealt = both.repartition("location_code", "yyyymm").select(
+        "location_code", "yyyymm", "in_view", *measures.values(), F.inline(parts)
+    )
+    of_side = {"view": F.col("in_view"), "expected": ~F.col("in_view")}
+    compared = dealt.groupBy("of_sku", *keys).agg(
+        *[F.count_if(of_side[side]).alias(f"{side}_rows") for side in sides],
+        *[F.sum(F.when(of_side[side], F.col(column))).alias(f"{side}_{column}")
           for side in sides for column in measures.values()],
     )
     values = F.array(*[
@@ -148,9 +161,9 @@ def reconcile_totals(
         .when(gap <= tolerance, "equal")
         .otherwise("different")
     )
+    grain = F.when(F.col("of_sku"), BY_SKU).otherwise(BY_LOCATION).alias("grain")
     return (
-        compared.where((F.col("grain") == BY_LOCATION) | F.col("vendor_item").isNotNull())
-        .select("grain", *keys, "view_rows", "expected_rows", F.inline(values))
+        compared.select(grain, *keys, "view_rows", "expected_rows", F.inline(values))
         .select("grain", *keys, "measure", "view_value", "expected_value",
                 status.alias("status"))
     )

@@ -27,6 +27,8 @@ _REGISTRY: dict[str, Query] = {}
 CONFIG = star.CONFIG
 # the snapshot shows SKUs but no descriptions
 SNAPSHOT_GRAIN = tuple(c for c in cell_ops.FULL_GRAIN if c != "item_description")
+# totals are compared by SKU, whatever its descriptions
+TOTALS_GRAIN = tuple(c for c in cell_ops.SKU_GRAIN if c != "item_description")
 
 
 def query(fn: Query) -> Query:
@@ -315,14 +317,20 @@ def reconcile_invoices(spark, sf):
 
 
 def _compared(spark, sf) -> DataFrame:
+    # both sides read the report lines; written, they are joined once
+    lines = star.report_lines(spark, sf, (DISTRIBUTOR, *AUTHORITATIVE)).select(
+        "source", "customer", "location", "invoice_date", "vendor_item", "ship_qty", "total",
+        "record_type",
+    )
+    raw = runs.materialise(lines, "report-lines")
+    cells = cell_ops.cells_read_once(star.tagged(raw), TOTALS_GRAIN)
     # the chains' own totals, straight from their order lines, refunds included
-    raw = star.report_lines(spark, sf, AUTHORITATIVE)
     date = month_fns.parse_report_date(F.col("invoice_date"))
-    expected = raw.select(
+    expected = raw.where(F.col("source").isin(*AUTHORITATIVE)).select(
         text.strip(F.col("location")).alias("location_code"), "vendor_item",
         month_fns.month_key(date).alias("yyyymm"), "total", F.col("ship_qty").alias("qty"),
     )
-    return quality.reconcile_totals(_cells(spark, sf), expected)
+    return quality.reconcile_totals(cells, expected)
 
 
 @query

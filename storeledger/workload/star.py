@@ -138,7 +138,11 @@ def report_lines(
 
 def tagged_sales(spark: SparkSession, sf_dir: str, items: bool = True) -> DataFrame:
     """Standardised union of all sources, before the dedup."""
-    raw = report_lines(spark, sf_dir, (DISTRIBUTOR, CHAIN_A, CHAIN_B), items)
+    return tagged(report_lines(spark, sf_dir, (DISTRIBUTOR, CHAIN_A, CHAIN_B), items))
+
+
+def tagged(raw: DataFrame) -> DataFrame:
+    """``tagged_sales`` of report lines at hand."""
     by_chain = F.col("source") != DISTRIBUTOR
     location = F.when(by_chain, F.col("location")).otherwise(F.col("customer"))
     return standardize(filter_detail(raw), F.col("source"), location)

@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from storeledger.config import Config
-from storeledger.operators import metrics, targets
+from storeledger.operators import metrics, quality, targets
 from storeledger.plans import run as runs
 from storeledger.plans import views
 from storeledger.workload import queries as q
 from storeledger.workload import star
 from tests.conftest import rows
+from tests.test_plans import plan
 
 SF = "/root/testdata/sf0.001"
 
@@ -80,3 +81,25 @@ def test_a_delivery_that_adds_nothing_builds_no_form(spark, full, tmp_path):
     assert runs.delivered(spark, path).count() == counts["delivered"]
     with pytest.raises(Exception, match="built again"):
         runs.deliver(runs.Forms(built.resolved, built.fields, fails), path + "-new")
+
+
+def test_both_sides_of_the_totals_come_from_one_join_of_the_lines(spark, monkeypatch):
+    made = []
+
+    def noting(*given, real=star.report_lines, **named):
+        made.append(given)
+        return real(*given, **named)
+
+    monkeypatch.setattr(star, "report_lines", noting)
+    assert q.registry()["reconciliation_summary"](spark, SF).count()
+    assert len(made) == 1
+
+
+def test_rows_of_the_totals_are_shuffled_once_for_both_grains(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.sql(
+        "select 'A' as location_code, 'X' as vendor_item, '1' as yyyymm, 1.0D as total, 1.0D as qty"
+    ).write.parquet(path)
+    stored = spark.read.parquet(path)
+    text = plan(quality.reconcile_totals(stored, stored))
+    assert "Expand" not in text and text.count("Exchange (") == 1
