@@ -18,7 +18,7 @@ def parse_report_date(text: Column) -> Column:
     """
     month = F.substring_index(text, "/", 1)
     day = F.substring_index(F.substring_index(text, "/", 2), "/", -1)
-    year = F.substring(text, -2, 2)
+    year = F.substring_index(text, "/", -1)
     century = F.when(year >= "69", "19").otherwise("20")
     iso = F.concat(century, year, F.lit("-"), month, F.lit("-"), day)
     return F.when(text.rlike(_REPORT_DATE), iso.try_cast("date"))

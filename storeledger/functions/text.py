@@ -21,11 +21,12 @@ def strip(text: Column) -> Column:
     """Text without blanks at its ends.
 
     Spaces are cut first, which is quick. The search for all other blanks looks at every
-    character of the text, so only a text that begins or ends with one has it.
+    character of the text, so it is left out where both ends are plain: ASCII above the space.
     """
     spaced = F.trim(text.cast("string"))
-    ends = [F.substring(spaced, at, 1).isin(*BLANKS) for at in (1, -1)]
-    return F.when(ends[0] | ends[1], F.btrim(spaced, F.lit(BLANKS))).otherwise(spaced)
+    last = F.substring(spaced.cast("binary"), -1, 1)
+    plain = (spaced >= "!") & (spaced < "\x80") & last.between(F.lit(b"!"), F.lit(b"\x7f"))
+    return F.when(plain, spaced).otherwise(F.btrim(spaced, F.lit(BLANKS)))
 
 
 def normalize_header(text: Column) -> Column:

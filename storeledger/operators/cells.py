@@ -22,14 +22,17 @@ LOCATION_GRAIN = ("source", "location_code", "yyyymm")
 SKU_GRAIN = ("source", "location_code", "vendor_item", "item_description", "yyyymm")
 LOCATION_PLACE_GRAIN = (*LOCATION_GRAIN, *PLACE)
 FULL_GRAIN = (*SKU_GRAIN, *PLACE)
+MEASURES = ("total", "qty")
 
 
-def sum_cells(sales: DataFrame, grain: Sequence[str]) -> DataFrame:
-    return sales.groupBy(*grain).agg(
-        F.sum("total").alias("total"),
-        F.sum("qty").alias("qty"),
-        F.count("*").alias("lines"),
-    )
+def _sums(measures: Sequence[str]) -> list[Column]:
+    return [*[F.sum(name).alias(name) for name in measures], F.count("*").alias("lines")]
+
+
+def sum_cells(
+    sales: DataFrame, grain: Sequence[str], measures: Sequence[str] = MEASURES
+) -> DataFrame:
+    return sales.groupBy(*grain).agg(*_sums(measures))
 
 
 def located(cells: DataFrame) -> DataFrame:
@@ -58,7 +61,7 @@ def _noted(grain: Sequence[str], counted: str = "true") -> list[Column]:
 
 
 def observed_cells(
-    sales: DataFrame, grain: Sequence[str] = FULL_GRAIN
+    sales: DataFrame, grain: Sequence[str] = FULL_GRAIN, measures: Sequence[str] = MEASURES
 ) -> tuple[DataFrame, Audit]:
     """Deduplicated cells of a tagged union of sources, written once, and their audit.
 
@@ -69,13 +72,14 @@ def observed_cells(
     tasks that write, so it costs no scan.
     """
     before, after = Observation("before-dedup"), Observation("after-dedup")
-    summed = materialise(sum_cells(sales, grain).observe(before, *_noted(grain)), "summed")
+    sums = sum_cells(sales, grain, measures)
+    summed = materialise(sums.observe(before, *_noted(grain)), "summed")
     cells = materialise(precedence_dedup(summed).observe(after, *_noted(grain)), "cells")
     return cells, Audit(before.get, after.get)
 
 
 def cells_and_places(
-    sales: DataFrame, grain: Sequence[str] = FULL_GRAIN
+    sales: DataFrame, grain: Sequence[str] = FULL_GRAIN, measures: Sequence[str] = MEASURES
 ) -> tuple[DataFrame, DataFrame, Audit]:
     """Deduplicated cells of ``grain`` without the places, the lines of each location's places,
     and the audit.
@@ -88,15 +92,12 @@ def cells_and_places(
     spots = ["source", "location_code", *PLACE]
     columns = list(dict.fromkeys([*keys, *spots]))
     both = sales.groupingSets([keys, spots], *columns).agg(
-        F.grouping("yyyymm").cast("int").alias("of_place"),
-        F.sum("total").alias("total"),
-        F.sum("qty").alias("qty"),
-        F.count("*").alias("lines"),
+        F.grouping("yyyymm").cast("int").alias("of_place"), *_sums(measures)
     )
     before, after = Observation("before-dedup"), Observation("after-dedup")
     summed = materialise(both.observe(before, *_noted(grain, "of_place = 0")), "summed")
     spot_lines = summed.where("of_place = 1").select(*spots, "lines")
-    cells = summed.where("of_place = 0").select(*keys, "total", "qty", "lines")
+    cells = summed.where("of_place = 0").select(*keys, *measures, "lines")
     codes = written_codes(spot_lines)
     kept = drop_reported_twice(cells, codes).observe(after, *_noted(grain))
     cells = materialise(kept, "cells")

@@ -16,7 +16,7 @@ from storeledger.functions.months import months_back
 from storeledger.operators import payloads as forms
 from storeledger.operators import quality
 from storeledger.operators.cells import (
-    FULL_GRAIN, PLACE, Audit, cells_and_places, observed_cells,
+    FULL_GRAIN, MEASURES, PLACE, Audit, cells_and_places, observed_cells,
 )
 from storeledger.operators.locations import location_ref, one_per_location
 from storeledger.operators.matching import apply_overrides, location_map, unmapped_locations
@@ -106,6 +106,7 @@ def run(
     sku_aliases: DataFrame | None = None,
     grain: Sequence[str] = FULL_GRAIN,
     sku_months: Sequence[str] | None = None,
+    measures: Sequence[str] = MEASURES,
 ) -> Run:
     """Prepare a run over the tagged, standardised union of all sources.
 
@@ -113,16 +114,18 @@ def run(
     customers set by hand in ``overrides`` win over matched ones. SKUs named in
     ``sku_aliases`` are renamed. A coarser ``grain`` does for a run that makes
     some of the reports only, and so do SKUs told apart in ``sku_months`` alone:
-    the cells of other months are then sums over all SKUs. The cells carry no
-    places: those are counted beside them, for a map that is built.
+    the cells of other months are then sums over all SKUs, and ``measures`` that
+    these reports show. The cells carry no places: those are counted beside them,
+    for a map that is built.
     """
     if sku_months is not None:
         of_sku = F.when(in_months(sku_months), F.col("vendor_item"))
         sales = sales.withColumn("vendor_item", of_sku)
     if saved_map is None:
-        cells, places, audit = cells_and_places(sales, grain)
+        cells, places, audit = cells_and_places(sales, grain, measures)
     else:
-        cells, audit = observed_cells(sales, [name for name in grain if name not in PLACE])
+        placeless = [name for name in grain if name not in PLACE]
+        cells, audit = observed_cells(sales, placeless, measures)
     if sku_aliases is not None:
         cells = apply_sku_aliases(cells, sku_aliases)
     if saved_map is None:

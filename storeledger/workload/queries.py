@@ -56,7 +56,11 @@ def _period(cells: DataFrame) -> metrics.Period:
 def _run(spark, sf, grain=cell_ops.FULL_GRAIN) -> runs.Run:
     sales = star.tagged_sales(spark, sf, "vendor_item" in grain)
     sku_months = runs.snapshot_sku_months(CONFIG) if grain == SNAPSHOT_GRAIN else None
-    return runs.run(sales, star.crm(spark, sf), CONFIG, grain=grain, sku_months=sku_months)
+    # by location and month alone, the reports show sales and no quantities
+    measures = ("total",) if grain == cell_ops.LOCATION_PLACE_GRAIN else cell_ops.MEASURES
+    return runs.run(
+        sales, star.crm(spark, sf), CONFIG, grain=grain, sku_months=sku_months, measures=measures
+    )
 
 
 def _forms(spark, sf) -> runs.Forms:

@@ -103,3 +103,17 @@ def test_rows_of_the_totals_are_shuffled_once_for_both_grains(spark, tmp_path):
     stored = spark.read.parquet(path)
     text = plan(quality.reconcile_totals(stored, stored))
     assert "Expand" not in text and text.count("Exchange (") == 1
+
+
+def test_cells_for_sales_by_location_hold_no_quantities(spark, full, monkeypatch):
+    made = []
+
+    def noting(*given, real=runs.run, **named):
+        made.append(real(*given, **named))
+        return made[-1]
+
+    monkeypatch.setattr(runs, "run", noting)
+    wide = q.registry()["stored_sales_by_location_month"](spark, SF)
+    assert rows(wide) == rows(full.sales_by_location_month())
+    (lean,) = made
+    assert "qty" in full.cells.columns and "qty" not in lean.cells.columns
