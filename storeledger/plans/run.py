@@ -30,7 +30,7 @@ from storeledger.operators.targets import (
 )
 from storeledger.plans import views
 from storeledger.sources.customers import read_location_map
-from storeledger.staging import materialise
+from storeledger.staging import materialise, shuffles_end
 
 
 @dataclass(frozen=True)
@@ -202,15 +202,19 @@ def run_forms(prepared: Run, targets: DataFrame) -> Forms:
 
 def write_views(tables: dict[str, DataFrame], folder: str) -> None:
     """Monthly tables as Parquet by report month, keeping the months already
-    there; wide tables, whose columns change with the data, as CSV."""
+    there; wide tables, whose columns change with the data, as compressed CSV: nearly all of
+    their text are zeros of months without a sale."""
     for name, table in tables.items():
         target = f"{folder.rstrip('/')}/{name}"
-        if "report_month" in table.columns:
-            table.write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy("report_month").parquet(target)
-        else:
-            table.write.mode("overwrite").option("header", True).csv(target)
+        with shuffles_end(table.sparkSession):
+            if "report_month" in table.columns:
+                table.write.mode("overwrite").option(
+                    "partitionOverwriteMode", "dynamic"
+                ).partitionBy("report_month").parquet(target)
+            else:
+                table.write.mode("overwrite").option("header", True).csv(
+                    target, compression="gzip"
+                )
 
 
 def write_location_map(mapped: DataFrame, path: str, unmapped_path: str | None = None) -> int:

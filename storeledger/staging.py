@@ -7,6 +7,8 @@ Spark broadcasts it in a later join only when it is below
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,10 +44,32 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{application_folder(spark)}/{label}-{uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each write in this block when that write ends.
+
+    Spark otherwise keeps them until the driver collects the plans as garbage, which may be after
+    the last query. What is written is read from its own files, so no later query needs them.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the table read back."""
     path = staging_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_end(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
