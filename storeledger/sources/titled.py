@@ -20,12 +20,25 @@ def check_columns(df: DataFrame, required: Sequence[str]) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
+_COMPRESSED = (".bz2", ".deflate", ".gz", ".lz4", ".snappy", ".zst")
+
+
+def _name_without(endings: Sequence[str]) -> Column:
+    name = F.col("_metadata.file_name")
+    plain = [
+        F.when(F.endswith(name, F.lit(end)), F.left(name, F.length(name) - len(end)))
+        for end in endings
+    ]
+    return F.coalesce(*plain, name)
+
+
 def _file() -> list[Column]:
     """A row's file and its place there, to be taken and stored in one scan: blocks of a file
-    are read in any order, the rows of a block in file order."""
+    are read in any order, the rows of a block in file order. A compressed file goes by the name
+    of what it holds."""
     return [
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_name").alias("sourcefile"),
+        _name_without(_COMPRESSED).alias("sourcefile"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     ]

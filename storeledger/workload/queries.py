@@ -93,7 +93,8 @@ def _matched(hits: DataFrame, crm: DataFrame) -> DataFrame:
 
 def _read_reports(spark, sf) -> DataFrame:
     raw = star.report_lines(spark, sf, (DISTRIBUTOR,))
-    path = report_files.write_title_block_reports(raw, staging_path(spark, "reports"))
+    files = star.invoice_files(spark, sf, DISTRIBUTOR)
+    path = report_files.write_title_block_reports(raw, files, staging_path(spark, "reports"))
     return reports.read_reports(spark, path, multi_line=False)
 
 

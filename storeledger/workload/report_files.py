@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.sources.reports import REPORT_COLUMNS
+from storeledger.staging import shuffles_end
 
 SLICES = 2  # files of a month
 # four title rows, then header cells as the report prints them
@@ -13,30 +14,41 @@ _TITLE = ("Monthly sales report", "", "Printed for,internal use", "")
 _KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def write_title_block_reports(raw: DataFrame, path: str) -> str:
-    """A file ``distributor_<month>_<slice>.csv`` per month and slice of the invoices."""
+def _month_and_slice() -> list[Column]:
+    return [
+        F.regexp_replace("sourcefile", "[^0-9-]", "").alias("month"),
+        (F.btrim("invoice").cast("bigint") % SLICES).cast("int").alias("slice"),
+    ]
+
+
+def write_title_block_reports(raw: DataFrame, invoices: DataFrame, path: str) -> str:
+    """A compressed file ``distributor_<month>_<slice>.csv.gz`` per month and slice of the invoices.
+
+    ``invoices`` has the ``sourcefile`` and ``invoice`` of all lines, so the lines themselves are
+    made once. A file whose invoices have no lines is a title block alone.
+    """
     names = [name for name in REPORT_COLUMNS if name != "location"]
     header = ",".join(" ".join(n.capitalize() for n in name.split("_")) for name in names)
     lines = raw.select(
-        F.regexp_replace("sourcefile", "[^0-9-]", "").alias("month"),
-        (F.btrim("invoice").cast("bigint") % SLICES).cast("int").alias("slice"),
-        F.lit(1).alias("place"),
+        *_month_and_slice(), F.lit(1).alias("place"),
         F.to_csv(F.struct(*names), _KEEP_BLANKS).alias("value"),
     )
     title = F.lit("\n".join((*_TITLE, header)))
-    titles = lines.select("month", "slice").distinct().select(
+    titles = invoices.select(*_month_and_slice()).distinct().select(
         "month", "slice", F.lit(0).alias("place"), title.alias("value")
     )
-    (
-        titles.unionByName(lines)
-        .repartition("month", "slice")
-        .sortWithinPartitions("month", "slice", "place")
-        .select("month", "slice", "value")
-        .write.partitionBy("month", "slice")
-        .text(path)
-    )
+    with shuffles_end(raw.sparkSession):
+        (
+            titles.unionByName(lines)
+            .repartition("month", "slice")
+            .sortWithinPartitions("month", "slice", "place")
+            .select("month", "slice", "value")
+            .write.partitionBy("month", "slice")
+            .option("zlib.compress.level", "BEST_SPEED")
+            .text(path, compression="gzip")
+        )
     _name_files(raw.sparkSession, path)
-    return f"{path}/named/*.csv"
+    return f"{path}/named/*.csv.gz"
 
 
 def write_titled_export(table: DataFrame, order: str, path: str) -> str:
@@ -71,7 +83,7 @@ def _name_files(spark, path: str) -> None:
     for found in files.globStatus(hadoop.Path(f"{path}/month=*/slice=*/part-*")):
         part = found.getPath()
         piece, month = part.getParent().getName(), part.getParent().getParent().getName()
-        name = f"distributor_{month.split('=')[1]}_{piece.split('=')[1]}.csv"
+        name = f"distributor_{month.split('=')[1]}_{piece.split('=')[1]}.csv.gz"
         files.rename(part, hadoop.Path(f"{path}/named/{name}"))
 
 

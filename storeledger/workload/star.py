@@ -9,7 +9,7 @@ matching rule has work to do. ``oracles.py`` states the same in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.config import CHAIN_A, CHAIN_B, DISTRIBUTOR, Config
@@ -53,6 +53,20 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_INVOICE = "concat(' ', o_orderkey, ' ')"
+
+
+def _sourcefile(source: Column | str) -> Column:
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    return F.concat(source, F.lit("_"), month, F.lit(".csv")).alias("sourcefile")
+
+
+def invoice_files(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """``invoice, sourcefile`` of all orders, as ``invoices`` names them for a source."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(F.expr(_INVOICE).alias("invoice"), _sourcefile(F.lit(source)))
+
+
 def invoices(spark: SparkSession, sf_dir: str, sources: tuple[str, ...]) -> DataFrame:
     """Report columns that all lines of an order share, once per source."""
     buyers = customers(spark, sf_dir)
@@ -75,7 +89,7 @@ def invoices(spark: SparkSession, sf_dir: str, sources: tuple[str, ...]) -> Data
         .select(
             "o_orderkey",
             "source",
-            F.expr("concat(' ', o_orderkey, ' ')").alias("invoice"),
+            F.expr(_INVOICE).alias("invoice"),
             F.date_format(F.col("o_orderdate").cast("date"), "MM/dd/yy").alias("invoice_date"),
             F.when(by_chain, F.lit("HEAD OFFICE")).otherwise(code).alias("customer"),
             F.when(by_chain, code).alias("location"),
@@ -85,9 +99,7 @@ def invoices(spark: SparkSession, sf_dir: str, sources: tuple[str, ...]) -> Data
             F.col("n_name").alias("city"),
             F.expr("case when r_name <> 'ASIA' then r_name end").alias("state"),
             F.expr("lpad(cast(c_nationkey as string), 5, '0')").alias("zipcode"),
-            F.concat(
-                "source", F.lit("_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".csv")
-            ).alias("sourcefile"),
+            _sourcefile("source"),
         )
     )
 

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import gzip
 import time
 from pathlib import Path
 
+import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from storeledger import staging
 from storeledger.plans import run as runs
+from storeledger.sources import reports
+from storeledger.workload import queries as q
 from tests.conftest import rows
+from tests.test_plans import plan
+
+SF = "/root/testdata/sf0.001"
 
 
 def size_of(folder, suffix="") -> int:
@@ -57,3 +65,44 @@ def test_the_session_keeps_its_own_setting(spark):
         assert spark.conf.get(name) == "false"
     finally:
         spark.conf.unset(name)
+
+
+REPORT = """Monthly report
+Total,Record Type,Customer,Vendor Item,Invoice Date
+7,1,C1,K9,x
+8,2,C1,K10,x
+9,1,"C, 2",K11,x
+"""
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_compressed_reports_give_the_rows_of_plain_ones(spark, tmp_path, multi_line):
+    found = []
+    for kind in ("plain", "packed"):
+        (tmp_path / kind).mkdir()
+        for name in ("jan.csv", "feb.csv"):
+            if kind == "plain":
+                (tmp_path / kind / name).write_text(REPORT)
+            else:
+                with gzip.open(tmp_path / kind / f"{name}.gz", "wt") as out:
+                    out.write(REPORT)
+        table = reports.read_reports(spark, f"{tmp_path}/{kind}/*", multi_line=multi_line)
+        found.append((rows(table), rows(reports.file_row_counts(table))))
+    assert found[0] == found[1] and found[1][1] == [("feb.csv", 2), ("jan.csv", 2)]
+
+
+def test_reports_are_written_from_one_scan_of_the_lines_and_compressed(spark, monkeypatch):
+    made = []
+
+    def noting(writer, path, *given, real=DataFrameWriter.text, **named):
+        made.append((path, plan(writer._df)))
+        return real(writer, path, *given, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "text", noting)
+    counted = rows(reports.file_row_counts(q._read_reports(spark, SF)))
+    ((path, text),) = made
+    assert text.count("lineitem.parquet") == 1
+    files = [f for f in Path(path.removeprefix("file:")).rglob("distributor_*") if f.suffix == ".gz"]
+    assert {f.name.removesuffix(".gz") for f in files} >= {name for name, _ in counted}
+    assert sum(f.stat().st_size for f in files) < sum(
+        len(gzip.decompress(f.read_bytes())) for f in files) / 2
