@@ -14,6 +14,7 @@ from storeledger import staging
 from storeledger.plans import run as runs
 from storeledger.sources import reports
 from storeledger.workload import queries as q
+from storeledger.workload import report_files
 from tests.conftest import rows
 from tests.test_plans import plan
 
@@ -106,3 +107,16 @@ def test_reports_are_written_from_one_scan_of_the_lines_and_compressed(spark, mo
     assert {f.name.removesuffix(".gz") for f in files} >= {name for name, _ in counted}
     assert sum(f.stat().st_size for f in files) < sum(
         len(gzip.decompress(f.read_bytes())) for f in files) / 2
+
+
+def test_a_report_without_lines_has_no_rows(spark, frame, tmp_path):
+    names = [name for name in reports.REPORT_COLUMNS if name not in ("location", "invoice")]
+    invoices = frame("sourcefile, invoice", [
+        ("x_2025-01.csv", " 2 "), ("x_2025-01.csv", " 3 "), ("x_2025-02.csv", " 4 ")])
+    lines = invoices.limit(2).select(
+        "*", *[F.lit("1").alias(name) for name in names], F.explode(F.array(F.lit(1), F.lit(2))))
+    path = report_files.write_title_block_reports(lines, invoices, str(tmp_path / "reports"))
+    table = reports.read_reports(spark, path, multi_line=False)
+    assert rows(reports.file_row_counts(table)) == [
+        ("distributor_2025-01_0.csv", 2), ("distributor_2025-01_1.csv", 2)]
+    assert len(list(tmp_path.glob("reports/named/*.csv.gz"))) == 3
