@@ -177,14 +177,14 @@ def _read_split(
     placed = materialise(headers.withColumn("places", places), "header-places")
     # cells beyond the header have no name
     schema = ", ".join(f"c{i} string" for i in range(width))
-    cells = F.from_csv("value", schema)
+    # parsed below the join: a filter on a column moves to the join, and would parse a line there
+    # once for every cell
+    parsed = lines.where(F.col("value").rlike(r"[^\x00-\x20]")).select(  # as the CSV reader does
+        "file", "sourcefile", "block", "row", F.from_csv("value", schema).alias("parsed")
+    )
     return (
-        lines.join(placed, "file")
-        .where(((F.col("block") > 0) | (F.col("row") > F.col("header_row")))
-               & F.col("value").rlike(r"[^\x00-\x20]"))  # the CSV reader skips blank lines too
-        .select(
-            "file", "sourcefile", "block", "row", "names", "places", cells.alias("parsed")
-        )
+        parsed.join(placed, "file")
+        .where((F.col("block") > 0) | (F.col("row") > F.col("header_row")))
         .withColumn("cells", F.array(*[F.col(f"parsed.c{i}") for i in range(width)]))
         .select(
             "file", "sourcefile", "block", "row", "names",
